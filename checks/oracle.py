@@ -57,12 +57,14 @@ def std(value: str, scope: str = PROJECT) -> str:
         " 16 * ((j - 1) % 4) + 1, 15))::bigint"
     )
     letters = f"right(lpad(to_base({word}, 26), 19, '0'), length(p))"
+    lower = f"translate({letters}, '{_BASE26}', '{_LOWER}')"
     run = (
-        f"case substr(p, 1, 1) when 'a' then translate({letters}, '{_BASE26}', '{_LOWER}')"
-        f" when 'A' then translate({letters}, '{_BASE26}', '{_UPPER}')"
-        f" when '0' then right(lpad(({word})::varchar, 19, '0'), length(p)) else p end"
+        f"case when p[1] = 'a' then {lower}"
+        f" when p[1] = 'A' and p[-1] = 'a' then upper({lower}[1]) || {lower}[2:]"
+        f" when p[1] = 'A' then translate({letters}, '{_BASE26}', '{_UPPER}')"
+        f" when p[1] = '0' then right(lpad(({word})::varchar, 19, '0'), length(p)) else p end"
     )
-    runs = f"regexp_extract_all({classes}, 'A{{1,11}}|a{{1,11}}|0{{1,11}}|[^Aa0]+')"
+    runs = f"regexp_extract_all({classes}, 'A?a{{1,10}}|A{{1,11}}|0{{1,11}}|[^Aa0]+')"
     return (
         f"case when {value} is not null then list_transform([{seed(value, scope)}], lambda s:"
         f" coalesce(array_to_string(list_transform({runs}, lambda p, j: {run}), ''), ''))[1] end"

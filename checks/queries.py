@@ -6,13 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from checks.views import event_rules, legacy_dictionary, pii_customer, table
 from maskwright.functions.generator import MaskContext
-from maskwright.functions.rules import RuleContext, quoted, rule
+from maskwright.functions.rules import quoted
 from maskwright.operators import audit, rulebook
 from maskwright.operators import catalog as cat
 from maskwright.operators import dictionary as dic
@@ -54,10 +53,6 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/maskwright-{uuid.uuid4()}"
 
 
-def masked(name: str, column: str, dtype: T.DataType | None = None, flag: str = "Y") -> Column:
-    return rule(name)(column, RuleContext(CONTEXT, dtype or T.StringType(), flag))
-
-
 # -------------------------------------------------------------- masking rules
 
 
@@ -99,10 +94,8 @@ def mask_standard_decimal(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pii_rule(column: str, name: str, flag: str = "Y") -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        dtype = T.IntegerType() if column == "age" else T.StringType()
-        return pii_customer(spark, sf).select(
-            "c_custkey", masked(name, column, dtype, flag).alias("masked")
-        )
+        result = mask_column(pii_customer(spark, sf), column, name, CONTEXT, flag)
+        return result.select("c_custkey", quoted(column).alias("masked"))
 
     return query
 
@@ -122,11 +115,11 @@ def mask_table_customer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mask_single_run(spark: SparkSession, sf: str) -> DataFrame:
-    return pii_customer(spark, sf).select(
-        "c_custkey",
-        masked("Standard", "username", flag="Y").alias("lasting"),
-        masked("Standard", "username", flag="N").alias("single_run"),
+    names = pii_customer(spark, sf).select(
+        "c_custkey", F.col("username").alias("lasting"), F.col("username").alias("single_run")
     )
+    rules = [ColumnRule("lasting", "Standard", "Y"), ColumnRule("single_run", "Standard", "N")]
+    return mask(names, rules, CONTEXT)
 
 
 def masked_join_orders_customer(spark: SparkSession, sf: str) -> DataFrame:

@@ -46,9 +46,10 @@ UPPER_CLASS = r"\p{IsUppercase}"
 LOWER_CLASS = r"\p{IsLowercase}"
 DIGIT_CLASS = r"[\p{Nd}" + OTHER_DIGITS + "]"
 
-# A value is replaced run by run: one 60-bit word covers at most 11 letters or
-# digits of one class, everything else is kept.
-RUNS = "A{1,11}|a{1,11}|0{1,11}|[^Aa0]+"
+# A value is replaced run by run: one 60-bit word covers at most 11 letters (lower
+# case with or without a capital, or all capitals) or 11 digits; the rest is kept.
+LONGEST_RUN = 11
+RUNS = "A?a{1,10}|A{1,11}|0{1,11}|[^Aa0]+"
 
 
 @dataclass(frozen=True)
@@ -105,28 +106,39 @@ def character_classes(value: Column) -> Column:
     return F.when(F.length(value) == F.octet_length(value), ascii_only).otherwise(unicode_aware)
 
 
-def _word(blocks: Column, index: Column) -> Column:
-    """Word ``index``: four 16-digit words per block, 15 digits (60 bits) used."""
-    block = F.get(blocks, F.shiftright(index, 2))
-    return F.substr(block, index.bitwiseAND(3) * 16 + 1, F.lit(15))
+def _word(block: Column, place: Column | int) -> Column:
+    """Word 0..3 of a block: 15 hex digits out of 16."""
+    start = F.lit(place * 16 + 1) if isinstance(place, int) else place * 16 + 1
+    return F.substr(block, start, F.lit(15))
+
+
+def _number_text(word: Column, base: int, length: Column) -> Column:
+    """The last ``length`` digits of a word written in some base.
+
+    Not right(): that reads its argument twice, and so would compute it twice.
+    """
+    padded = F.concat(F.lit("0" * LONGEST_RUN), F.conv(word, 16, base))
+    return F.substr(padded, -length, length)
 
 
 def _replacement(run: Column, word: Column) -> Column:
-    kind = F.substr(run, F.lit(1), F.lit(1))
-    letters = F.right(F.lpad(F.conv(word, 16, 26), 19, "0"), F.length(run))
-    digits = F.right(F.lpad(F.conv(word, 16, 10), 19, "0"), F.length(run))
+    first = F.substr(run, F.lit(1), F.lit(1))
+    length = F.length(run)
+    lower = F.translate(_number_text(word, 26, length), BASE26, LOWER)
+    upper = F.translate(_number_text(word, 26, length), BASE26, UPPER)
     return (
-        F.when(kind == "a", F.translate(letters, BASE26, LOWER))
-        .when(kind == "A", F.translate(letters, BASE26, UPPER))
-        .when(kind == "0", digits)
+        F.when(first == "a", lower)
+        .when(first == "0", _number_text(word, 10, length))
+        .when(first == "A", F.when(run.endswith("a"), F.initcap(lower)).otherwise(upper))
         .otherwise(run)
     )
 
 
-def mask_text(value: Column, tag: str) -> Column:
+def mask_text(value: Column, seed: Column) -> Column:
     """Replace letters by letters and digits by digits; keep everything else.
 
-    Same length, same pattern of upper case, lower case and digits.
+    Same length, same pattern of upper case, lower case and digits.  ``seed`` is
+    the seed of ``value``.
     """
 
     def with_seed(seed: Column) -> Column:
@@ -141,14 +153,20 @@ def mask_text(value: Column, tag: str) -> Column:
             return bind(
                 blocks,
                 lambda bs: F.array_join(
-                    F.transform(runs, lambda run, i: _replacement(run, _word(bs, i))), ""
+                    F.transform(
+                        runs,
+                        lambda run, i: _replacement(
+                            run, _word(F.get(bs, F.shiftright(i, 2)), i.bitwiseAND(3))
+                        ),
+                    ),
+                    "",
                 ),
             )
 
         runs = F.regexp_extract_all(character_classes(value), F.lit(RUNS), F.lit(0))
         return bind(runs, with_runs)
 
-    return F.when(value.isNotNull(), bind(seed_of(value, tag), with_seed))
+    return F.when(value.isNotNull(), bind(seed, with_seed))
 
 
 # ---------------------------------------------------------------- typed values
@@ -167,26 +185,53 @@ def is_number(dtype: T.DataType) -> bool:
 
 
 def canonical_text(value: Column, dtype: T.DataType) -> Column:
-    """The text under which a value is hashed and looked up.
+    """The text under which a value is hashed, masked and looked up.
 
     Integers and strings holding the same digits agree, so a key that is a
     number in one table and text in another is masked alike.  Floating-point
-    values are written without an exponent; NaN and infinities give null.
+    values are written without an exponent; null if that takes too many digits.
     """
     if is_text(dtype):
         return value
     text = value.cast("string")
     if isinstance(dtype, FLOATS):
         plain = F.rtrim(value.try_cast("decimal(38,6)").cast("string"), F.lit("0"))
-        infinite = F.abs(value) == float("inf")
-        return (
-            F.when(F.isnan(value) | infinite, F.lit(None).cast("string"))
-            .when(text.contains("E"), plain)
-            .otherwise(text)
-        )
+        return F.when(text.contains("E"), plain).otherwise(text)
     return text
 
 
+def not_a_number(value: Column, dtype: T.DataType) -> Column | None:
+    """Condition for NaN and the infinities, which have no digits to replace."""
+    if not isinstance(dtype, FLOATS):
+        return None
+    return F.isnan(value) | (F.abs(value) == float("inf"))
+
+
+def mask_number_text(text: Column, seed: Column) -> Column:
+    """``mask_text`` for plain decimal numbers: ``-``, digits, ``.``, digits.
+
+    Such a text has at most four runs, all served by the first block, so the
+    common case needs no lambda and compiles.  Same result as ``mask_text``.
+    """
+    negative = text.startswith("-")
+    point = F.instr(text, ".")
+    whole_length = F.when(point > 0, point - 1).otherwise(F.length(text)) - negative.cast("int")
+    part_length = F.when(point > 0, F.length(text) - point).otherwise(0)
+    whole_word = F.when(negative, _word(seed, 1)).otherwise(_word(seed, 0))
+    part_word = F.when(negative, _word(seed, 3)).otherwise(_word(seed, 2))
+    whole = _number_text(whole_word, 10, whole_length)
+    part = _number_text(part_word, 10, part_length)
+    return F.when(
+        whole_length.between(1, LONGEST_RUN) & (part_length <= LONGEST_RUN),
+        F.concat(
+            F.when(negative, F.lit("-")).otherwise(F.lit("")),
+            whole,
+            F.when(point > 0, F.lit(".")).otherwise(F.lit("")),
+            F.when(part_length > 0, part).otherwise(F.lit("")),
+        ),
+    ).otherwise(mask_text(text, seed))
+
+
 def too_wide(dtype: T.DataType) -> Column:
     """The error for a masked value its column cannot hold; names no value."""
     name = dtype.simpleString()
@@ -207,17 +252,8 @@ def restore_type(masked: Column, dtype: T.DataType) -> Column:
         sign = F.when(masked.startswith("-"), F.lit("-")).otherwise(F.lit(""))
         digits = F.ltrim(masked, F.lit("-"))
         fitting = F.concat(sign, F.lit(head), F.substring(digits, len(head) + 1, 40))
-        number = F.coalesce(number, fitting.try_cast(name))
+        return F.coalesce(number, fitting.try_cast(name), too_wide(dtype))
     if isinstance(dtype, T.DecimalType) and dtype.precision == dtype.scale:
         # No digit is allowed before the point, so the leading zero stays.
         number = F.regexp_replace(masked, r"^(-?)\d\.", "$10.").try_cast(name)
-    return F.when(masked.isNotNull(), F.coalesce(number, too_wide(dtype)))
-
-
-def mask_value(value: Column, dtype: T.DataType, tag: str) -> Column:
-    """``mask_text`` for any text or number column, keeping its type."""
-    masked = restore_type(mask_text(canonical_text(value, dtype), tag), dtype)
-    if not isinstance(dtype, FLOATS):
-        return masked
-    untouched = value.isNull() | F.isnan(value) | (F.abs(value) == float("inf"))
-    return F.when(untouched, value).otherwise(F.coalesce(masked, too_wide(dtype)))
+    return F.coalesce(number, too_wide(dtype))

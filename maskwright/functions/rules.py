@@ -18,8 +18,9 @@ from maskwright.functions.generator import (
     canonical_text,
     is_number,
     is_text,
+    mask_number_text,
     mask_text,
-    mask_value,
+    not_a_number,
     restore_type,
     seed_number,
     seed_of,
@@ -49,22 +50,36 @@ class RuleContext:
         return self.mask.tag(self.scope(namespace))
 
 
-def _dictionary_key(value: Column, dtype: T.DataType) -> Column:
-    return canonical_text(value, dtype)
+@dataclass(frozen=True)
+class Cell:
+    """A value about to be masked: its text, and the seed of that text."""
+
+    text: Column
+    seed: Column
+    context: RuleContext
+
+    def masked(self, text: Column) -> Column:
+        """Another text, masked as it would be standing alone."""
+        return mask_text(text, seed_of(text, self.context.tag()))
+
 
+def _whole_text(text: Column) -> Column:
+    return text
 
-def _dictionary_value(value: Column, found: Column, dtype: T.DataType) -> Column:
-    return restore_type(found, dtype)
+
+def _found_text(text: Column, found: Column) -> Column:
+    return found
 
 
 @dataclass(frozen=True)
 class Rule:
-    """One masking rule.
+    """One masking rule, working on the text of a value.
 
-    ``generate``    value -> replacement, for values that are to be masked
-    ``keeps``       rows the rule leaves untouched (a condition), or None
+    ``generate``    cell -> replacement text, for values that are to be masked
+    ``keeps``       value -> condition for rows the rule leaves untouched
     ``namespace``   separates results that must not mix with ordinary masks
     ``text_only``   the rule makes no sense on numbers
+    ``digits``      the rule replaces digits, so NaN and infinities stay
     ``key``/``use`` what is looked up in a mask dictionary, and how a hit is used
     ``generate_key``  the mask of such a key, where it differs from ``generate``
     ``parts``       pieces of a value that are masked alike standing alone
@@ -73,13 +88,14 @@ class Rule:
     """
 
     name: str
-    generate: Callable[[Column, RuleContext], Column]
+    generate: Callable[[Cell], Column]
     keeps: Callable[[Column], Column] | None = None
     namespace: str = ""
     text_only: bool = False
-    key: Callable[[Column, T.DataType], Column] = _dictionary_key
-    use: Callable[[Column, Column, T.DataType], Column] = _dictionary_value
-    generate_key: Callable[[Column, RuleContext], Column] | None = None
+    digits: bool = True
+    key: Callable[[Column], Column] = _whole_text
+    use: Callable[[Column, Column], Column] = _found_text
+    generate_key: Callable[[Cell], Column] | None = None
     parts: Callable[[Column], Column] | None = None
     requires: tuple[str, ...] = ()
     whole_digits: int = 0
@@ -94,67 +110,83 @@ class Rule:
         condition = value.isNull()
         if is_text(dtype):
             condition = condition | (value == NULL_TEXT)
+        strange = not_a_number(value, dtype) if self.digits else None
+        if strange is not None:
+            condition = condition | strange
         if self.keeps is not None:
             condition = condition | F.coalesce(self.keeps(value), F.lit(False))
         return condition
 
-    def __call__(
-        self, value: Column | str, context: RuleContext, found: Column | None = None
-    ) -> Column:
-        """The masked column; ``found`` is a dictionary hit, which wins."""
+    def seed(self, text: Column, context: RuleContext) -> Column:
+        return seed_of(text, context.tag(self.namespace))
+
+    def masked_text(self, cell: Cell, found: Column | None = None) -> Column:
+        """The replacement as text; ``found`` is a dictionary hit, which wins."""
+        masked = self.generate(cell)
+        if found is None:
+            return masked
+        return F.when(found.isNotNull(), self.use(cell.text, found)).otherwise(masked)
+
+    def result(self, value: Column, masked_text: Column, dtype: T.DataType) -> Column:
+        """The masked column in its own type, untouched rows included."""
+        return F.when(self.untouched(value, dtype), value).otherwise(
+            restore_type(masked_text, dtype)
+        )
+
+    def masked_key(self, key: Column, context: RuleContext) -> Column:
+        """The mask the rule gives a dictionary key."""
+        generate = self.generate_key or self.generate
+        return generate(Cell(key, self.seed(key, context), context))
+
+    def __call__(self, value: Column | str, context: RuleContext) -> Column:
+        """The masked column as one expression.
+
+        ``mask`` does the same in steps, which computes shared parts only once.
+        """
         value = quoted(value) if isinstance(value, str) else value
-        masked = self.generate(value, context)
-        if found is not None:
-            masked = F.when(
-                found.isNotNull(), self.use(value, found, context.dtype)
-            ).otherwise(masked)
-        return F.when(self.untouched(value, context.dtype), value).otherwise(masked)
+        text = canonical_text(value, context.dtype)
+        cell = Cell(text, self.seed(text, context), context)
+        return self.result(value, self.masked_text(cell), context.dtype)
 
 
 # --------------------------------------------------------------------- e-mail
 
 
-def _at_parts(value: Column) -> tuple[Column, Column, Column]:
+def _at_parts(text: Column) -> tuple[Column, Column, Column]:
     """(has exactly one @, user, domain)."""
-    parts = F.split(value, "@")
+    parts = F.split(text, "@")
     return F.size(parts) == 2, F.get(parts, 0), F.get(parts, 1)
 
 
-def _email(value: Column, context: RuleContext) -> Column:
-    if not is_text(context.dtype):
-        return mask_value(value, context.dtype, context.tag())
-    simple, user, domain = _at_parts(value)
-    tag = context.tag()
-    return F.when(
-        simple, F.concat(mask_text(user, tag), F.lit("@"), mask_text(domain, tag))
-    ).otherwise(mask_text(value, tag))
+def _email(cell: Cell) -> Column:
+    if not is_text(cell.context.dtype):
+        return _standard(cell)
+    parts = F.split(cell.text, "@")
+    # User and domain are masked each on its own; anything else as a whole.
+    pieces = F.when(F.size(parts) == 2, parts).otherwise(F.array(cell.text))
+    return F.array_join(F.transform(pieces, cell.masked), "@")
 
 
-def _email_keep_domain(value: Column, context: RuleContext) -> Column:
-    if not is_text(context.dtype):
-        return mask_value(value, context.dtype, context.tag())
-    simple, user, domain = _at_parts(value)
-    # One mask_text over "user, or the whole value" instead of one per branch.
-    masked = mask_text(F.when(simple, user).otherwise(value), context.tag())
-    return F.when(simple, F.concat(masked, F.lit("@"), domain)).otherwise(masked)
+def _user(text: Column) -> Column:
+    """The user part, or the whole text unless it has exactly one @."""
+    simple, user, _ = _at_parts(text)
+    return F.when(simple, user).otherwise(text)
 
 
-def _user_key(value: Column, dtype: T.DataType) -> Column:
-    if not is_text(dtype):
-        return canonical_text(value, dtype)
-    simple, user, _ = _at_parts(value)
-    return F.when(simple, user).otherwise(value)
+def _with_domain(text: Column, masked_user: Column) -> Column:
+    simple, _, domain = _at_parts(text)
+    return F.concat(masked_user, F.when(simple, F.concat(F.lit("@"), domain)).otherwise(F.lit("")))
 
 
-def _user_value(value: Column, found: Column, dtype: T.DataType) -> Column:
-    if not is_text(dtype):
-        return restore_type(found, dtype)
-    simple, _, domain = _at_parts(value)
-    return F.when(simple, F.concat(found, F.lit("@"), domain)).otherwise(found)
+def _email_keep_domain(cell: Cell) -> Column:
+    if not is_text(cell.context.dtype):
+        return _standard(cell)
+    masked = F.transform(F.array(_user(cell.text)), cell.masked)
+    return _with_domain(cell.text, F.element_at(masked, 1))
 
 
-def _email_user(value: Column) -> Column:
-    simple, user, _ = _at_parts(value)
+def _email_user(text: Column) -> Column:
+    simple, user, _ = _at_parts(text)
     return F.when(simple, F.array(user))
 
 
@@ -165,49 +197,40 @@ WORDS = r"[\p{L}\p{N}_]+"
 WORDS_AND_GAPS = WORDS + r"|[^\p{L}\p{N}_]+"
 
 
-def _standard(value: Column, context: RuleContext) -> Column:
-    return mask_value(value, context.dtype, context.tag())
+def _standard(cell: Cell) -> Column:
+    if is_number(cell.context.dtype):
+        return mask_number_text(cell.text, cell.seed)
+    return mask_text(cell.text, cell.seed)
 
 
-def _age(value: Column, context: RuleContext) -> Column:
-    seed = seed_of(canonical_text(value, context.dtype), context.tag("/age"))
-    if is_number(context.dtype):
-        # NaN and infinities have no canonical text but still need an age.
-        seed = F.coalesce(seed, seed_of(value.cast("string"), context.tag("/age")))
-    age = F.lit(18) + seed_number(seed, 1, 8) % 83
-    name = context.dtype.simpleString()
-    return (age.cast("string") if is_text(context.dtype) else age.cast(name))
+def _age(cell: Cell) -> Column:
+    return (seed_number(cell.seed, 1, 8) % 83 + 18).cast("string")
 
 
-def _full_name(value: Column, context: RuleContext) -> Column:
-    tag = context.tag()
-    pieces = F.regexp_extract_all(value, F.lit(WORDS_AND_GAPS), F.lit(0))
-    masked = F.transform(pieces, lambda p: F.when(p == " ", p).otherwise(mask_text(p, tag)))
+def _full_name(cell: Cell) -> Column:
+    pieces = F.regexp_extract_all(cell.text, F.lit(WORDS_AND_GAPS), F.lit(0))
+    masked = F.transform(pieces, lambda p: F.when(p == " ", p).otherwise(cell.masked(p)))
     return F.array_join(masked, "")
 
 
-def _name_words(value: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(value, F.lit(WORDS), F.lit(0)))
-
-
-def _ip_address(value: Column, context: RuleContext) -> Column:
-    return mask_text(value, context.tag())
+def _name_words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)))
 
 
 def _is_private_ten(value: Column) -> Column:
     return F.substring_index(value, ".", 1) == "10"
 
 
-def _credit_card(value: Column, context: RuleContext) -> Column:
-    seed = seed_of(value, context.tag("/card"))
-    digits = F.lpad(seed_number(seed, 1, 15).cast("string"), 19, "0")
-    body = F.concat(F.lit("4"), F.right(digits, F.lit(14)))
+def _credit_card(cell: Cell) -> Column:
+    digits = F.lpad(F.conv(F.substring(cell.seed, 1, 15), 16, 10), 19, "0")
+    body = F.concat(F.lit("4"), F.substring(digits, 6, 14))
     # Luhn: of the 15 digits the 1st, 3rd, ... 15th count double, less 9 above 9.
     doubled = F.translate(body, "0123456789", "0246813579")
+
     total = F.lit(0)
     for place in range(1, 16):
-        source = doubled if place % 2 else body
-        total = total + F.substring(source, place, 1).cast("int")
+        digit = F.substring(doubled if place % 2 else body, place, 1)
+        total = total + F.ascii(digit) - 48
     check = (F.lit(10) - total % 10) % 10
     return F.concat(body, check.cast("string"))
 
@@ -217,8 +240,8 @@ def _pick(choices: tuple[str, ...], seed: Column, start: int) -> Column:
     return F.element_at(table, (seed_number(seed, start, 6) % len(choices) + 1).cast("int"))
 
 
-def _address(value: Column, context: RuleContext) -> Column:
-    seed = seed_of(value, context.tag("/address"))
+def _address(cell: Cell) -> Column:
+    seed = cell.seed
     number = (seed_number(seed, 1, 6) % 9999 + 1).cast("string")
     postcode = F.lpad((seed_number(seed, 31, 6) % 100000).cast("string"), 5, "0")
     street = F.concat_ws(" ", number, _pick(STREETS, seed, 7), _pick(STREET_TYPES, seed, 13))
@@ -282,22 +305,22 @@ def mask_where(
 
 
 register_rule(Rule("Standard", _standard))
-register_rule(Rule("Age", _age, namespace="/age", whole_digits=3))
+register_rule(Rule("Age", _age, namespace="/age", digits=False, whole_digits=3))
 register_rule(Rule("Email", _email, parts=_email_user))
 register_rule(
     Rule(
         "Email - Retain Domain",
         _email_keep_domain,
-        key=_user_key,
-        use=_user_value,
+        key=_user,
+        use=_with_domain,
         generate_key=_standard,
     )
 )
 register_rule(Rule("Full Name", _full_name, text_only=True, parts=_name_words))
 register_rule(Rule("Physical Address", _address, namespace="/address", text_only=True))
-register_rule(Rule("IP Address", _ip_address, text_only=True))
+register_rule(Rule("IP Address", _standard, text_only=True))
 register_rule(
-    Rule("IP Address - Ignore 10.", _ip_address, keeps=_is_private_ten, text_only=True)
+    Rule("IP Address - Ignore 10.", _standard, keeps=_is_private_ten, text_only=True)
 )
 register_rule(Rule("Credit Card", _credit_card, namespace="/card", text_only=True))
 register_rule(

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions.generator import MaskContext
-from maskwright.functions.rules import RuleContext, quoted, rule
-from maskwright.operators.masking import ColumnRule
+from maskwright.functions.rules import quoted
+from maskwright.operators.masking import ColumnRule, mask, mask_column
 
 
 def collisions(
@@ -20,10 +20,8 @@ def collisions(
     Masks are computed once per distinct original.  Joins on a masked key fan
     out exactly on these values.
     """
-    dtype = df.schema[attribute].dataType
-    rule_context = RuleContext(context, dtype, ref_integrity)
-    originals = df.select(quoted(attribute).alias("original")).distinct()
-    masked = originals.select(rule(rule_name)("original", rule_context).alias("masked"))
+    originals = df.select(quoted(attribute).alias("masked")).distinct()
+    masked = mask_column(originals, "masked", rule_name, context, ref_integrity)
     return (
         masked.where(F.col("masked").isNotNull())
         .groupBy("masked")
@@ -37,13 +35,13 @@ def unchanged(df: DataFrame, rules: Sequence[ColumnRule], context: MaskContext)
 
     One scan and one row of counters per task, whatever the number of rules.
     """
+    originals = {f"__original_{i}": quoted(r.attribute) for i, r in enumerate(rules)}
+    masked = mask(df.withColumns(originals), rules, context)
     counters = []
     for i, r in enumerate(rules):
-        value = quoted(r.attribute)
-        rule_context = RuleContext(context, df.schema[r.attribute].dataType, r.ref_integrity)
-        same = rule(r.rule)(value, rule_context) == value
+        value = F.col(f"__original_{i}")
         counters.append(F.count(value).alias(f"n{i}"))
-        counters.append(F.count(F.when(same, 1)).alias(f"u{i}"))
+        counters.append(F.count(F.when(quoted(r.attribute) == value, 1)).alias(f"u{i}"))
     rows = [
         F.struct(
             F.lit(r.attribute).alias("attribute"),
@@ -53,4 +51,4 @@ def unchanged(df: DataFrame, rules: Sequence[ColumnRule], context: MaskContext)
         )
         for i, r in enumerate(rules)
     ]
-    return df.agg(*counters).select(F.inline(F.array(*rows)))
+    return masked.agg(*counters).select(F.inline(F.array(*rows)))

@@ -14,7 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.functions.generator import MaskContext, canonical_text, is_text, mask_text
+from maskwright.functions.generator import (
+    MaskContext,
+    canonical_text,
+    is_text,
+    mask_text,
+    restore_type,
+    seed_of,
+)
 from maskwright.functions.rules import WORDS, Rule, RuleContext, quoted, rule
 from maskwright.operators.masking import FOUND, ColumnRule, mask
 
@@ -60,9 +67,10 @@ def _entries(value: Column, r: Rule, context: RuleContext, order: int) -> Column
             F.lit(order + part).cast("long").alias("ord"),
         )
 
-    entries = F.array(entry(r.key(value, context.dtype), 0, r.namespace))
+    text = canonical_text(value, context.dtype)
+    entries = F.array(entry(r.key(text), 0, r.namespace))
     if r.parts is not None and is_text(context.dtype):
-        parts = F.coalesce(r.parts(value), F.array().cast("array<string>"))
+        parts = F.coalesce(r.parts(text), F.array().cast("array<string>"))
         entries = F.concat(entries, F.transform(parts, lambda p: entry(p, 1)))
     return F.when(~r.untouched(value, context.dtype), entries)
 
@@ -91,11 +99,16 @@ def column_entries(
 
 
 def _generated(original: Column, r: Rule, dtype: T.DataType, context: MaskContext) -> Column:
-    """The mask rule ``r`` gives ``original``, as dictionary text."""
-    rule_context = RuleContext(context, dtype)
-    if not is_text(dtype):
-        return canonical_text(r.generate(original.try_cast(dtype), rule_context), dtype)
-    return (r.generate_key or r.generate)(original, rule_context)
+    """The mask rule ``r`` gives ``original``, as dictionary text.
+
+    Null where a column of this type cannot hold the original.
+    """
+    masked = r.masked_key(original, RuleContext(context, dtype))
+    if is_text(dtype):
+        return masked
+    # A number's mask is written the way its column will hold it: 042 is 42.
+    possible = canonical_text(original.try_cast(dtype), dtype) == original
+    return F.when(possible, canonical_text(restore_type(masked, dtype), dtype))
 
 
 def new_entries(
@@ -129,7 +142,7 @@ def new_entries(
     masked = F.lit(None).cast("string")
     for (_, _, p), (orders, r, dtype) in makers.items():
         if p == 1:
-            made = mask_text(original, context.tag(context.scope()))
+            made = mask_text(original, seed_of(original, context.tag(context.scope())))
         else:
             made = _generated(original, r, dtype, context)
         masked = F.when(F.col("ord").isin(orders), made).otherwise(masked)
@@ -156,7 +169,7 @@ def _differing(dictionary: DataFrame, r: Rule, dtype: T.DataType, context: MaskC
     generated = _generated(F.col("original"), r, dtype, context)
     return (
         dictionary.where(F.col("scope") == context.scope("Y") + r.namespace)
-        .where(~F.col("masked").eqNullSafe(generated))
+        .where(F.col("masked") != generated)
         .select("original", "masked")
     )
 
@@ -185,7 +198,7 @@ def apply_dictionary(
             continue
         dtype = df.schema[r.attribute].dataType
         this = rule(r.rule)
-        key = this.key(quoted(r.attribute), dtype)
+        key = this.key(canonical_text(quoted(r.attribute), dtype))
         known = (r.rule, dtype.simpleString())
         if known not in sides:
             differing = _differing(dictionary, this, dtype, context)

@@ -6,11 +6,13 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from maskwright.functions.generator import MaskContext
-from maskwright.functions.rules import RuleContext, quoted, rule
+from maskwright.functions.generator import MaskContext, canonical_text, is_text
+from maskwright.functions.rules import Cell, Rule, RuleContext, quoted, rule
 
-# Prefix of the columns a dictionary lookup adds while a table is being masked.
+# Prefixes of columns that exist only while a table is being masked.
+STEP = "__step_"
 FOUND = "__found_"
 
 
@@ -30,24 +32,49 @@ def mask(
     context: MaskContext,
     found: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Mask the ruled columns of ``df`` in one projection.
+    """Mask the ruled columns of ``df`` in one pass.
 
     Other columns and the column order stay as they are.  Every rule sees the
     original row: a rule whose condition reads another column reads it unmasked.
     ``found`` holds dictionary hits by attribute.
+
+    The work is laid out as a chain of projections (text, seed, masked text,
+    result), because an expression that is used several times is computed once
+    only if it is a column of the projection below.
     """
     found = found or {}
-    masked: dict[str, Column] = {}
+    seen: dict[str, tuple[Rule, RuleContext]] = {}
     for r in rules:
-        if r.attribute in masked:
+        if r.attribute in seen:
             raise ValueError(f"more than one rule for attribute {r.attribute}")
         dtype = df.schema[r.attribute].dataType
         if not rule(r.rule).accepts(dtype):
             raise ValueError(f"rule {r.rule} does not support {r.attribute} {dtype.simpleString()}")
-        rule_context = RuleContext(context, dtype, r.ref_integrity)
-        masked[r.attribute] = rule(r.rule)(r.attribute, rule_context, found.get(r.attribute))
+        seen[r.attribute] = rule(r.rule), RuleContext(context, dtype, r.ref_integrity)
+
+    texts: dict[str, Column] = {}
+    seeds: dict[str, Column] = {}
+    masks: dict[str, Column] = {}
+    results: dict[str, Column] = {}
+    for i, (attribute, (this, rule_context)) in enumerate(seen.items()):
+        value, dtype = quoted(attribute), rule_context.dtype
+        text = value
+        if not is_text(dtype):
+            texts[f"{STEP}text_{i}"] = canonical_text(value, dtype)
+            text = F.col(f"{STEP}text_{i}")
+        seeds[f"{STEP}seed_{i}"] = this.seed(text, rule_context)
+        cell = Cell(text, F.col(f"{STEP}seed_{i}"), rule_context)
+        masks[f"{STEP}mask_{i}"] = this.masked_text(cell, found.get(attribute))
+        results[attribute] = this.result(value, F.col(f"{STEP}mask_{i}"), dtype)
+
+    staged = df
+    for step in (texts, seeds, masks):
+        if step:
+            staged = staged.withColumns(step)
     columns = [c for c in df.columns if not c.startswith(FOUND)]
-    return df.select(*[masked[c].alias(c) if c in masked else quoted(c) for c in columns])
+    return staged.select(
+        *[results[c].alias(c) if c in results else quoted(c) for c in columns]
+    )
 
 
 def mask_column(
