@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import event_rules, legacy_dictionary, pii_customer, table
+from checks.views import event_rules, legacy_dictionary, pii_customer, spread_table, table
 from maskwright.functions.generator import MaskContext
 from maskwright.functions.rules import quoted
 from maskwright.operators import audit, rulebook
@@ -57,11 +57,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def mask_standard_str(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select(
+    documents = spread_table(spark, sf, "documents", "doc_id", "text").select(
         F.lit("documents").alias("source_table"), F.col("doc_id").alias("id"),
         F.lit(0).cast("long").alias("part"), "text",
     )
-    turns = table(spark, sf, "conversations").select(
+    turns = spread_table(spark, sf, "conversations", "conv_id", "turn", "text").select(
         F.lit("conversations").alias("source_table"), F.col("conv_id").alias("id"),
         F.col("turn").cast("long").alias("part"), "text",
     )
@@ -69,17 +69,18 @@ def mask_standard_str(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mask_standard_int(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    orders = spread_table(spark, sf, "orders", "o_orderkey", "o_custkey")
     return mask_column(orders, "o_custkey", "Standard", CONTEXT)
 
 
 def mask_standard_double(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    lines = spread_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
     return mask_column(lines, "l_extendedprice", "Standard", CONTEXT)
 
 
 def mask_standard_decimal(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select(
+    columns = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount")
+    lines = spread_table(spark, sf, "lineitem", *columns).select(
         "l_orderkey", "l_linenumber",
         F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
         F.col("l_discount").cast("decimal(2,2)").alias("discount"),

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from maskwright.sources.files import spread_path
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -77,6 +79,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table that is about to be masked, on all cores."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spread_path(spark.read.parquet(path).select(*columns), path)
+
+
 def spark_view(spark: SparkSession, sf_dir: str, sql: str, **names: str) -> DataFrame:
     """A view over the tables named in ``names`` (placeholder -> table)."""
     frames = {placeholder: table(spark, sf_dir, name) for placeholder, name in names.items()}

@@ -42,9 +42,14 @@ OTHER_DIGITS = (
     r"\x{278A}-\x{2792}\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}"
     r"\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}"
 )
-UPPER_CLASS = r"\p{IsUppercase}"
-LOWER_CLASS = r"\p{IsLowercase}"
-DIGIT_CLASS = r"[\p{Nd}" + OTHER_DIGITS + "]"
+# mask() knows the classes of all characters Java holds in one unit; these are the
+# characters it leaves over.
+_BEYOND_ASCII = r"&&[^\x00-\x7F]]"
+LEFT_OVER = (
+    (r"[\p{IsUppercase}" + _BEYOND_ASCII, "A"),
+    (r"[\p{IsLowercase}" + _BEYOND_ASCII, "a"),
+    (r"[\p{Nd}" + OTHER_DIGITS + _BEYOND_ASCII, "0"),
+)
 
 # A value is replaced run by run: one 60-bit word covers at most 11 letters (lower
 # case with or without a capital, or all capitals) or 11 digits; the rest is kept.
@@ -58,15 +63,20 @@ class MaskContext:
 
     ``key`` is the secret.  ``project`` names the lasting scope (referential
     integrity ``Y``), ``run_id`` the scope of a single run (``N``).
+    ``text_engine`` says how text is replaced: on Arrow batches (``arrow``), or
+    by column expressions only (``columns``).  Results are the same.
     """
 
     key: str = field(repr=False)
     project: str = "default"
     run_id: str = "single-run"
+    text_engine: str = "arrow"
 
     def __post_init__(self) -> None:
         if not self.key:
             raise ValueError("a masking key is required")
+        if self.text_engine not in ("arrow", "columns"):
+            raise ValueError(f"unknown text engine {self.text_engine!r}")
 
     def scope(self, ref_integrity: str = "Y") -> str:
         if ref_integrity == "Y":
@@ -99,11 +109,11 @@ def seed_number(seed: Column, start: int, digits: int) -> Column:
 
 def character_classes(value: Column) -> Column:
     """Upper case as ``A``, lower case as ``a``, digits as ``0``, rest kept."""
-    ascii_only = F.mask(value, F.lit("A"), F.lit("a"), F.lit("0"))
-    unicode_aware = value
-    for pattern, mark in ((UPPER_CLASS, "A"), (LOWER_CLASS, "a"), (DIGIT_CLASS, "0")):
-        unicode_aware = F.regexp_replace(unicode_aware, pattern, mark)
-    return F.when(F.length(value) == F.octet_length(value), ascii_only).otherwise(unicode_aware)
+    marked = F.mask(value, F.lit("A"), F.lit("a"), F.lit("0"))
+    complete = marked
+    for pattern, mark in LEFT_OVER:
+        complete = F.regexp_replace(complete, pattern, mark)
+    return F.when(F.length(value) == F.octet_length(value), marked).otherwise(complete)
 
 
 def _word(block: Column, place: Column | int) -> Column:

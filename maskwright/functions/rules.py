@@ -13,9 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskwright.functions.arrow_text import replace_pieces, replace_text
 from maskwright.functions.generator import (
     MaskContext,
     canonical_text,
+    character_classes,
     is_number,
     is_text,
     mask_number_text,
@@ -60,7 +62,25 @@ class Cell:
 
     def masked(self, text: Column) -> Column:
         """Another text, masked as it would be standing alone."""
-        return mask_text(text, seed_of(text, self.context.tag()))
+        return self._replaced(text, seed_of(text, self.context.tag()))
+
+    def masked_whole(self) -> Column:
+        return self._replaced(self.text, self.seed)
+
+    def masked_pieces(self, pieces: Column) -> Column:
+        """An array of texts, each masked as it would be standing alone."""
+        tag = self.context.tag()
+        if self.context.mask.text_engine == "arrow":
+            return replace_pieces(
+                F.transform(pieces, character_classes),
+                F.transform(pieces, lambda piece: seed_of(piece, tag)),
+            )
+        return F.transform(pieces, lambda piece: mask_text(piece, seed_of(piece, tag)))
+
+    def _replaced(self, text: Column, seed: Column) -> Column:
+        if self.context.mask.text_engine == "arrow":
+            return replace_text(character_classes(text), seed)
+        return mask_text(text, seed)
 
 
 def _whole_text(text: Column) -> Column:
@@ -163,8 +183,8 @@ def _email(cell: Cell) -> Column:
         return _standard(cell)
     parts = F.split(cell.text, "@")
     # User and domain are masked each on its own; anything else as a whole.
-    pieces = F.when(F.size(parts) == 2, parts).otherwise(F.array(cell.text))
-    return F.array_join(F.transform(pieces, cell.masked), "@")
+    pieces = F.when(F.size(parts) == 2, parts).when(cell.text.isNotNull(), F.array(cell.text))
+    return F.array_join(cell.masked_pieces(pieces), "@")
 
 
 def _user(text: Column) -> Column:
@@ -181,8 +201,7 @@ def _with_domain(text: Column, masked_user: Column) -> Column:
 def _email_keep_domain(cell: Cell) -> Column:
     if not is_text(cell.context.dtype):
         return _standard(cell)
-    masked = F.transform(F.array(_user(cell.text)), cell.masked)
-    return _with_domain(cell.text, F.element_at(masked, 1))
+    return _with_domain(cell.text, cell.masked(_user(cell.text)))
 
 
 def _email_user(text: Column) -> Column:
@@ -200,7 +219,7 @@ WORDS_AND_GAPS = WORDS + r"|[^\p{L}\p{N}_]+"
 def _standard(cell: Cell) -> Column:
     if is_number(cell.context.dtype):
         return mask_number_text(cell.text, cell.seed)
-    return mask_text(cell.text, cell.seed)
+    return cell.masked_whole()
 
 
 def _age(cell: Cell) -> Column:
@@ -209,8 +228,7 @@ def _age(cell: Cell) -> Column:
 
 def _full_name(cell: Cell) -> Column:
     pieces = F.regexp_extract_all(cell.text, F.lit(WORDS_AND_GAPS), F.lit(0))
-    masked = F.transform(pieces, lambda p: F.when(p == " ", p).otherwise(cell.masked(p)))
-    return F.array_join(masked, "")
+    return F.array_join(cell.masked_pieces(pieces), "")
 
 
 def _name_words(text: Column) -> Column:

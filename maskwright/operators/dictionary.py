@@ -18,11 +18,10 @@ from maskwright.functions.generator import (
     MaskContext,
     canonical_text,
     is_text,
-    mask_text,
     restore_type,
     seed_of,
 )
-from maskwright.functions.rules import WORDS, Rule, RuleContext, quoted, rule
+from maskwright.functions.rules import Cell, Rule, RuleContext, quoted, rule
 from maskwright.operators.masking import FOUND, ColumnRule, mask
 
 DICTIONARY_SCHEMA = "scope string, original string, masked string"
@@ -138,18 +137,20 @@ def new_entries(
     if found is None:
         return existing.limit(0)
 
-    original = F.col("original")
-    masked = F.lit(None).cast("string")
+    # Each maker is given only the values it is responsible for.
+    masks = []
     for (_, _, p), (orders, r, dtype) in makers.items():
+        own = F.when(F.col("ord").isin(orders), F.col("original"))
         if p == 1:
-            made = mask_text(original, seed_of(original, context.tag(context.scope())))
+            text_context = RuleContext(context)
+            cell = Cell(own, seed_of(own, text_context.tag()), text_context)
+            masks.append(cell.masked_whole())
         else:
-            made = _generated(original, r, dtype, context)
-        masked = F.when(F.col("ord").isin(orders), made).otherwise(masked)
+            masks.append(_generated(own, r, dtype, context))
 
     distinct = found.groupBy("scope", "original").agg(F.min("ord").alias("ord"))
     fresh = distinct.join(existing, ["scope", "original"], "left_anti")
-    return fresh.select("scope", "original", masked.alias("masked"))
+    return fresh.select("scope", "original", F.coalesce(*masks).alias("masked"))
 
 
 # --------------------------------------------------------------------- lookup

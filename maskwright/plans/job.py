@@ -22,6 +22,7 @@ from maskwright.sources.files import (
     inventory,
     qualified,
     read_dataset,
+    spread,
     write_dataset,
 )
 
@@ -149,7 +150,9 @@ def run_job(
 
     def write(item: tuple[Dataset, DataFrame, list[ColumnRule]]) -> _Outcome:
         d, df, table_rules = item
+        splittable = d.format == "parquet" or not config.csv_multiline
         try:
+            df = spread(df, d.n_files, d.n_bytes, splittable)
             if dictionary is None:
                 masked = mask(df, table_rules, config.context)
             else:

@@ -19,6 +19,11 @@ FORMATS = ("csv", "parquet")
 # Stands for "no value" while reading CSV, so that "" stays an empty text.
 NO_VALUE = "\u0001"
 
+# Parquet is split by row groups, usually of about this size.
+ROW_GROUP_BYTES = 128 * 1024 * 1024
+# No task needs less input than this.
+SPREAD_BYTES = 2 * 1024 * 1024
+
 _PARTITION_DIRS = r"(/[^/=]+=[^/]*)+$"
 
 
@@ -29,7 +34,7 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """``files(path, rel_dir, table, file_name, format, dataset, layout, keys)``.
+    """``files(path, n_bytes, rel_dir, table, file_name, format, dataset, layout, keys)``.
 
     Only file names are read, not contents.  Hidden files and markers such as
     ``_SUCCESS`` or ``.crc`` are left out, and files of other kinds have a null
@@ -47,10 +52,11 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     top = F.regexp_replace(F.substring_index("rel_dir", "/", 1), r"\.(csv|parquet)$", "")
     partition_dirs = F.regexp_extract("rel_dir", _PARTITION_DIRS, 0)
     return (
-        files.select("path", relative.alias("relative"))
-        .select("path", rel_dir.alias("rel_dir"), file_name.alias("file_name"))
+        files.select("path", F.col("length").alias("n_bytes"), relative.alias("relative"))
+        .select("path", "n_bytes", rel_dir.alias("rel_dir"), file_name.alias("file_name"))
         .select(
             "path",
+            "n_bytes",
             "rel_dir",
             F.when(in_root, stem).otherwise(top).alias("table"),
             "file_name",
@@ -82,6 +88,8 @@ class Dataset:
     layout: str
     keys: tuple[str, ...] = ()
     shared: bool = False
+    n_files: int = 1
+    n_bytes: int = 0
 
     @property
     def target(self) -> str:
@@ -97,7 +105,11 @@ def datasets(files: DataFrame) -> list[Dataset]:
     rows = (
         files.where(F.col("format").isNotNull())
         .groupBy("table", "dataset", "format", "layout")
-        .agg(F.first("keys").alias("keys"))
+        .agg(
+            F.first("keys").alias("keys"),
+            F.count("*").alias("n_files"),
+            F.sum("n_bytes").alias("n_bytes"),
+        )
         .collect()
     )
     kinds: dict[str, int] = {}
@@ -105,7 +117,14 @@ def datasets(files: DataFrame) -> list[Dataset]:
         kinds[r["dataset"]] = kinds.get(r["dataset"], 0) + 1
     found = [
         Dataset(
-            r["table"], r["dataset"], r["format"], r["layout"], tuple(r["keys"]), kinds[r["dataset"]] > 1
+            r["table"],
+            r["dataset"],
+            r["format"],
+            r["layout"],
+            tuple(r["keys"]),
+            kinds[r["dataset"]] > 1,
+            r["n_files"],
+            r["n_bytes"],
         )
         for r in rows
     ]
@@ -165,6 +184,27 @@ def read_dataset(
     return partitioned().schema(as_text).load(pattern)
 
 
+def spread(df: DataFrame, n_files: int, n_bytes: int, splittable: bool = True) -> DataFrame:
+    """Give small or unsplittable input to all cores.
+
+    Masking costs far more time per byte than shuffling.  Where the files would
+    be read by fewer than half of the tasks the cluster can run at once (one large
+    CSV, one Parquet row group), the rows are dealt out first.  Anything larger
+    has splits enough and is masked where it is read.
+    """
+    sources = max(n_files, n_bytes // ROW_GROUP_BYTES if splittable else 0)
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // SPREAD_BYTES))
+    return df.repartition(wanted) if wanted > 2 * sources else df
+
+
+def spread_path(df: DataFrame, path: str) -> DataFrame:
+    """``spread`` for a Parquet table read from one path."""
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p)
+    return spread(df, size.getFileCount(), size.getLength())
+
+
 def write_dataset(df: DataFrame, root: str, dataset: Dataset, overwrite: bool = False) -> None:
     """Write a masked dataset to the same relative place below another root."""
     writer = df.write.format(dataset.format).mode("overwrite" if overwrite else "error")
