@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from maskwright.operators.rulebook import table_id
 from maskwright.sources.files import Dataset, datasets, inventory, read_dataset
+from maskwright.sources.local import local_frame
 
 CATALOG_SCHEMA = (
     "table string, dataset string, format string, column string, position int, type string"
@@ -33,7 +34,7 @@ def catalog_of(
 
     with ThreadPoolExecutor(threads) as pool:
         rows = [row for part in pool.map(columns, found) for row in part]
-    frame = spark.createDataFrame(rows, CATALOG_SCHEMA)
+    frame = local_frame(spark, rows, CATALOG_SCHEMA)
     return frame.select(
         "table", table_id(F.col("table")).alias("table_norm"), *frame.columns[1:]
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from maskwright.functions.rules import accepts_type, rule_names
 from maskwright.operators.masking import ColumnRule
+from maskwright.sources.local import local_frame
 
 RULES_SCHEMA = "table string, attribute string, rule string, ref_integrity string, ordinal int"
 
@@ -27,8 +28,7 @@ def table_id(name: Column) -> Column:
 
 def rulebook(spark: SparkSession, rows: Iterable[tuple[str, str, str, str]]) -> DataFrame:
     """A rulebook from (table, attribute, rule, ref_integrity) rows, in order."""
-    numbered = [(*row, i) for i, row in enumerate(rows)]
-    return spark.createDataFrame(numbered, RULES_SCHEMA)
+    return local_frame(spark, [(*row, i) for i, row in enumerate(rows)], RULES_SCHEMA)
 
 
 def read_rulebook(spark: SparkSession, path: str) -> DataFrame:
@@ -81,44 +81,40 @@ def unknown_attributes(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     return in_table.join(columns, same_table & (F.col("attribute") == F.col("__column")), "left_anti")
 
 
-def _problem(rules: DataFrame, code: str) -> DataFrame:
-    return rules.select(F.lit(code).alias("code"), "table", "attribute", "ordinal")
-
-
 def invalid_rules(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     """All errors of a rulebook: one row per code, table and attribute.
 
     ``n_rules`` counts the rules concerned, ``first_ordinal`` points to the first.
+    One scan of the rules and one aggregate, combined before its shuffle.
     """
-    typed = rules.join(
-        catalog.groupBy("table_norm", F.col("column").alias("__column")).agg(
-            F.min("type").alias("__type")
-        ),
-        (table_id(F.col("table")) == F.col("table_norm"))
-        & (F.col("attribute") == F.col("__column")),
+    tables = catalog.select("table_norm").distinct().withColumn("__has_table", F.lit(True))
+    columns = catalog.groupBy(
+        F.col("table_norm").alias("__table"), F.col("column").alias("__column")
+    ).agg(F.min("type").alias("__type"))
+    id_ = table_id(F.col("table"))
+    checked = rules.join(tables, id_ == F.col("table_norm"), "left").join(
+        columns, (id_ == F.col("__table")) & (F.col("attribute") == F.col("__column")), "left"
     )
+    has_table, has_column = F.col("__has_table").isNotNull(), F.col("__type").isNotNull()
     known_rule = F.coalesce(F.col("rule").isin(rule_names()), F.lit(False))
     flag_ok = F.coalesce(F.col("ref_integrity").isin("Y", "N"), F.lit(False))
-    per_row = (
-        _problem(unknown_tables(rules, catalog), "UNKNOWN_TABLE")
-        .unionByName(_problem(unknown_attributes(rules, catalog), "UNKNOWN_ATTRIBUTE"))
-        .unionByName(_problem(rules.where(~known_rule), "UNKNOWN_RULE"))
-        .unionByName(_problem(rules.where(~flag_ok), "BAD_REF_INTEGRITY"))
-        .unionByName(
-            _problem(
-                typed.where(known_rule & ~accepts_type(F.col("rule"), F.col("__type"))),
-                "UNSUPPORTED_TYPE",
-            )
-        )
+    supported = accepts_type(F.col("rule"), F.col("__type"))
+    # Every rule also counts as itself, to find those that are not alone.
+    codes = F.array(
+        F.when(~has_table, "UNKNOWN_TABLE"),
+        F.when(has_table & ~has_column, "UNKNOWN_ATTRIBUTE"),
+        F.when(~known_rule, "UNKNOWN_RULE"),
+        F.when(~flag_ok, "BAD_REF_INTEGRITY"),
+        F.when(has_column & known_rule & ~supported, "UNSUPPORTED_TYPE"),
+        F.lit("DUPLICATE_RULE"),
     )
-    counts = [F.count("*").alias("n_rules"), F.min("ordinal").alias("first_ordinal")]
-    repeated = (
-        rules.groupBy("table", "attribute")
-        .agg(*counts)
-        .where("n_rules > 1")
-        .select(F.lit("DUPLICATE_RULE").alias("code"), "*")
+    return (
+        checked.select(F.explode(codes).alias("code"), "table", "attribute", "ordinal")
+        .where(F.col("code").isNotNull())
+        .groupBy("code", "table", "attribute")
+        .agg(F.count("*").alias("n_rules"), F.min("ordinal").alias("first_ordinal"))
+        .where((F.col("code") != "DUPLICATE_RULE") | (F.col("n_rules") > 1))
     )
-    return per_row.groupBy("code", "table", "attribute").agg(*counts).unionByName(repeated)
 
 
 def conflicting_rules(rules: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from maskwright.sources.files import (
     spread,
     write_dataset,
 )
+from maskwright.sources.local import local_frame
 
 SUMMARY_SCHEMA = (
     "table string, dataset string, format string, status string, n_rows long, message string"
@@ -177,7 +178,7 @@ def run_job(
     for table, messages in sorted(errors.items()):
         if table not in known:
             rows.append((table, None, None, "invalid_rules", None, "; ".join(sorted(messages))))
-    return spark.createDataFrame(rows, SUMMARY_SCHEMA)
+    return local_frame(spark, rows, SUMMARY_SCHEMA)
 
 
 def _extend_dictionary(
