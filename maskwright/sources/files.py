@@ -8,7 +8,9 @@ partitions, or a single file directly in the root.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ FORMATS = ("csv", "parquet")
 # Stands for "no value" while reading CSV, so that "" stays an empty text.
 NO_VALUE = "\u0001"
 
+# CSV headers read at a time.
+HEADER_THREADS = 32
 # Parquet is split by row groups, usually of about this size.
 ROW_GROUP_BYTES = 128 * 1024 * 1024
 # No task needs less input than this.
@@ -139,8 +143,8 @@ def csv_options(multiline: bool = True) -> dict[str, object]:
     """How CSV is read: fields as text, as pandas and spreadsheets write them.
 
     ``multiline`` allows line breaks inside quotes, at the price that a file is
-    not split.  Rows that do not fit the header, and files whose header differs
-    from the first one's, are errors: shifted columns would escape their rules.
+    not split.  Rows that do not fit the header are errors: shifted columns would
+    escape their rules.
     """
     return {
         "header": True,
@@ -153,35 +157,81 @@ def csv_options(multiline: bool = True) -> dict[str, object]:
     }
 
 
+def _first_record(spark: SparkSession, path) -> str:
+    """The header of a CSV file: its first line, or more if quotes are open."""
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    java = spark._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(stream, "UTF-8"))
+    try:
+        record = line = reader.readLine()
+        while line is not None and record.count('"') % 2:
+            line = reader.readLine()
+            record = f"{record}\n{line or ''}"
+        return record or ""
+    finally:
+        reader.close()
+
+
+def _files_by_header(spark: SparkSession, df: DataFrame) -> list[list[str]]:
+    """The CSV files behind a DataFrame, grouped by header; empty files left out.
+
+    Reads one line per file, many files at a time.
+    """
+    jvm = spark._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in sorted(df.inputFiles())]
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = list(pool.map(lambda p: _first_record(spark, p), paths))
+    groups: dict[str, list[str]] = {}
+    for header, path in zip(headers, paths):
+        if header:
+            groups.setdefault(header, []).append(path.toString())
+    return list(groups.values())
+
+
 def read_dataset(
     spark: SparkSession, root: str, dataset: Dataset, csv_multiline: bool = True
 ) -> DataFrame:
-    """A dataset with the union of its files' columns; partition values as text."""
+    """A dataset with the union of its files' columns; partition values as text.
+
+    CSV files of one directory may differ in their headers; each is read with its
+    own, and columns are matched by name.
+    """
     where = f"{root.rstrip('/')}/{dataset.path}"
+    patterns = {
+        "file": _escaped(where),
+        "flat": f"{_escaped(where)}/[!._]*.{dataset.format}",
+        "partitioned": f"{_escaped(where)}/*=*",
+    }
 
-    def reader() -> DataFrameReader:
+    def reader(multiline: bool) -> DataFrameReader:
         r = spark.read.format(dataset.format)
+        if dataset.layout == "partitioned":
+            r = r.option("basePath", where).option("pathGlobFilter", f"*.{dataset.format}")
         if dataset.format == "parquet":
             return r.option("mergeSchema", True)
-        return r.options(**csv_options(csv_multiline))
-
-    if dataset.layout == "file":
-        return reader().load(_escaped(where))
-    if dataset.layout == "flat":
-        return reader().load(f"{_escaped(where)}/[!._]*.{dataset.format}")
-
-    def partitioned() -> DataFrameReader:
-        return reader().option("basePath", where).option("pathGlobFilter", f"*.{dataset.format}")
-
-    pattern = f"{_escaped(where)}/*=*"
-    inferred = partitioned().load(pattern).schema
-    as_text = T.StructType(
-        [
+        return r.options(**csv_options(multiline))
+
+    def load(paths: str | list[str]) -> DataFrame:
+        # The header is one line; in multi-line mode Spark takes the brackets of a
+        # file name for a pattern while it looks for the columns.
+        found = reader(False).load(paths)
+        if dataset.format == "parquet" and dataset.layout != "partitioned":
+            return found
+        # The text of partition values must survive: 007 is not 7.
+        fields = [
             T.StructField(f.name, T.StringType() if f.name in dataset.keys else f.dataType, True)
-            for f in inferred
+            for f in found.schema
         ]
-    )
-    return partitioned().schema(as_text).load(pattern)
+        return reader(csv_multiline).schema(T.StructType(fields)).load(paths)
+
+    df = load(patterns[dataset.layout])
+    if dataset.format == "parquet" or dataset.n_files == 1:
+        return df
+    groups = _files_by_header(spark, df)
+    if len(groups) < 2 and sum(map(len, groups)) == dataset.n_files:
+        return df
+    parts = [load([_escaped(path) for path in group]) for group in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def spread(df: DataFrame, n_files: int, n_bytes: int, splittable: bool = True) -> DataFrame:
