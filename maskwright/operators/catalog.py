@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,29 +12,49 @@ from maskwright.operators.rulebook import table_id
 from maskwright.sources.files import Dataset, datasets, inventory, read_dataset
 from maskwright.sources.local import local_frame
 
+# Datasets whose columns are looked up at a time.
+READ_THREADS = 16
+
 CATALOG_SCHEMA = (
     "table string, dataset string, format string, column string, position int, type string"
 )
 
 
-def catalog_of(
-    spark: SparkSession, root: str, found: list[Dataset], threads: int = 8
-) -> DataFrame:
-    """``catalog(table, table_norm, dataset, format, column, position, type)``.
+def read_all(
+    spark: SparkSession, root: str, found: list[Dataset], csv_multiline: bool = True
+) -> list[DataFrame | Exception]:
+    """Each dataset as a DataFrame, or why it cannot be read.
 
     Only Parquet footers and CSV header lines are read.  Files of one dataset
     may differ: their columns are merged in first-seen order.
     """
 
-    def columns(d: Dataset) -> list[tuple[str, str, str, str, int, str]]:
-        schema = read_dataset(spark, root, d).schema
-        return [
+    def read(d: Dataset) -> DataFrame | Exception:
+        try:
+            return read_dataset(spark, root, d, csv_multiline)
+        except Exception as error:  # a broken table must not hide the others
+            return error
+
+    with ThreadPoolExecutor(READ_THREADS) as pool:
+        return list(pool.map(read, found))
+
+
+def catalog_of(
+    spark: SparkSession, found: list[Dataset], frames: list[DataFrame | Exception]
+) -> DataFrame:
+    """``catalog(table, table_norm, dataset, format, column, position, type)``.
+
+    Datasets that cannot be read have no columns in it, and a warning.
+    """
+    rows = []
+    for d, frame in zip(found, frames):
+        if isinstance(frame, Exception):
+            warnings.warn(f"cannot read {d.path}: {type(frame).__name__}", stacklevel=2)
+            continue
+        rows += [
             (d.table, d.path, d.format, f.name, i, f.dataType.simpleString())
-            for i, f in enumerate(schema, start=1)
+            for i, f in enumerate(frame.schema, start=1)
         ]
-
-    with ThreadPoolExecutor(threads) as pool:
-        rows = [row for part in pool.map(columns, found) for row in part]
     frame = local_frame(spark, rows, CATALOG_SCHEMA)
     return frame.select(
         "table", table_id(F.col("table")).alias("table_norm"), *frame.columns[1:]
@@ -41,7 +62,8 @@ def catalog_of(
 
 
 def catalog(spark: SparkSession, root: str) -> DataFrame:
-    return catalog_of(spark, root, datasets(inventory(spark, root)))
+    found = datasets(inventory(spark, root))
+    return catalog_of(spark, found, read_all(spark, root, found))
 
 
 def wide(catalog_df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ are joined, never collected.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,24 +176,53 @@ def _differing(dictionary: DataFrame, r: Rule, dtype: T.DataType, context: MaskC
     )
 
 
+class Lookups:
+    """What a dictionary says beyond the generator, found out once per rule and type.
+
+    Most entries repeat what the generator would say.  Only the others have to be
+    joined.  They are kept cached when they are small, so that masking many tables
+    does not scan the dictionary for each of them.
+    """
+
+    def __init__(self, dictionary: DataFrame, context: MaskContext) -> None:
+        self.dictionary = dictionary
+        self.context = context
+        self._sides: dict[tuple[str, str], tuple[DataFrame, bool]] = {}
+        self._lock = Lock()
+
+    def side(self, r: Rule, dtype: T.DataType) -> tuple[DataFrame, bool]:
+        """(entries that differ from the generator, whether they are small)."""
+        known = (r.name, dtype.simpleString())
+        with self._lock:
+            if known not in self._sides:
+                differing = _differing(self.dictionary, r, dtype, self.context)
+                small = is_small(differing)
+                self._sides[known] = (differing.persist() if small else differing), small
+            return self._sides[known]
+
+    def close(self) -> None:
+        for side, small in self._sides.values():
+            if small:
+                side.unpersist()
+        self._sides.clear()
+
+
 def apply_dictionary(
     df: DataFrame,
     rules: Sequence[ColumnRule],
-    dictionary: DataFrame,
+    dictionary: DataFrame | Lookups,
     context: MaskContext,
 ) -> DataFrame:
     """Mask a table; where the dictionary knows a value, its mask wins.
 
-    Most entries of a dictionary repeat what the generator would say.  Those are
-    left out first, so usually little or nothing remains to be joined.  What
-    remains is broadcast if it is measured to be small; else it is cut down to
-    the values the column really has, and measured again; else both sides are
-    shuffled.  That last join is a left join with unique keys on its right side,
-    which adaptive execution splits when one value (or null) holds a large part
-    of the rows.
+    What has to be joined is broadcast if it is measured to be small; else it is
+    cut down to the values the column really has, and measured again; else both
+    sides are shuffled.  That last join is a left join with unique keys on its
+    right side, which adaptive execution splits when one value (or null) holds a
+    large part of the rows.
     """
+    lookups = dictionary if isinstance(dictionary, Lookups) else Lookups(dictionary, context)
     found: dict[str, Column] = {}
-    sides: dict[tuple[str, str], tuple[DataFrame, bool]] = {}
     joined = df
     for i, r in enumerate(rules):
         if r.ref_integrity != "Y":
@@ -200,11 +230,7 @@ def apply_dictionary(
         dtype = df.schema[r.attribute].dataType
         this = rule(r.rule)
         key = this.key(canonical_text(quoted(r.attribute), dtype))
-        known = (r.rule, dtype.simpleString())
-        if known not in sides:
-            differing = _differing(dictionary, this, dtype, context)
-            sides[known] = differing, is_small(differing)
-        side, small = sides[known]
+        side, small = lookups.side(this, dtype)
         if not small:
             values = df.select(key.alias("original")).distinct()
             present = side.join(values, "original", "left_semi")

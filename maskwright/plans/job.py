@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from maskwright.functions.generator import MaskContext
 from maskwright.functions.rules import rule
-from maskwright.operators.catalog import catalog_of
-from maskwright.operators.dictionary import apply_dictionary, new_entries
+from maskwright.operators.catalog import catalog_of, read_all
+from maskwright.operators.dictionary import Lookups, apply_dictionary, new_entries
 from maskwright.operators.masking import ColumnRule, mask
 from maskwright.operators.rulebook import MAX_RULES, invalid_rules, plan_rules, read_rulebook
 from maskwright.sources.dictionary_store import append_entries, load_dictionary
@@ -27,6 +27,9 @@ from maskwright.sources.files import (
 )
 from maskwright.sources.local import local_frame
 
+# A dataset that can be masked, and how.
+_Item = tuple[Dataset, DataFrame, list[ColumnRule]]
+
 SUMMARY_SCHEMA = (
     "table string, dataset string, format string, status string, n_rows long, message string"
 )
@@ -117,47 +120,47 @@ def run_job(
         rules = read_rulebook(spark, config.rulebook)
 
     found = datasets(inventory(spark, config.input))
-    problems = (
-        invalid_rules(rules, catalog_of(spark, config.input, found)).limit(MAX_RULES).collect()
-    )
+    by_table = _rules_by_table(plan_rules(rules), {d.table for d in found})
+    outcomes = [_Outcome(d, "no_rules") for d in found if not by_table[d.table]]
+    ruled = [d for d in found if by_table[d.table]]
+
+    frames = read_all(spark, config.input, ruled, config.csv_multiline)
+    catalog = catalog_of(spark, ruled, frames)
     errors: dict[str, list[str]] = {}
-    for p in problems:
+    for p in invalid_rules(rules, catalog).limit(MAX_RULES).collect():
         errors.setdefault(_normal(p["table"] or ""), []).append(f"{p['code']} {p['attribute']}")
-    by_table = _rules_by_table(plan_rules(rules), {d.table for d in found})
 
-    outcomes: list[_Outcome] = []
-    ready: list[tuple[Dataset, DataFrame, list[ColumnRule]]] = []
-    for d in found:
-        table_rules = by_table[d.table]
+    ready: list[_Item] = []
+    for d, df in zip(ruled, frames):
+        if isinstance(df, Exception):
+            outcomes.append(_Outcome(d, "failed", message=_message(df)))
+            continue
         if _normal(d.table) in errors:
             message = "; ".join(sorted(errors[_normal(d.table)]))
             outcomes.append(_Outcome(d, "invalid_rules", message=message))
-        elif not table_rules:
-            outcomes.append(_Outcome(d, "no_rules"))
-        else:
-            df = read_dataset(spark, config.input, d, config.csv_multiline)
-            missing = _missing_columns(df, table_rules)
-            if missing:
-                message = "no column " + ", ".join(missing)
-                outcomes.append(_Outcome(d, "failed", message=message))
-            else:
-                ready.append((d, df, table_rules))
-
-    dictionary = None
+            continue
+        missing = _missing_columns(df, by_table[d.table])
+        if missing:
+            outcomes.append(_Outcome(d, "failed", message="no column " + ", ".join(missing)))
+            continue
+        ready.append((d, df, by_table[d.table]))
+
+    lookups = None
     if config.dictionary is not None:
         ready, failed = _extend_dictionary(spark, config, ready)
         outcomes.extend(failed)
-        dictionary = load_dictionary(spark, config.dictionary)
+        lookups = Lookups(load_dictionary(spark, config.dictionary), config.context)
 
-    def write(item: tuple[Dataset, DataFrame, list[ColumnRule]]) -> _Outcome:
+    def write(item: _Item) -> _Outcome:
         d, df, table_rules = item
         splittable = d.format == "parquet" or not config.csv_multiline
         try:
-            df = spread(df, d.n_files, d.n_bytes, splittable)
-            if dictionary is None:
+            if not d.keys:  # dealt-out rows would make files in every partition
+                df = spread(df, d.n_files, d.n_bytes, splittable)
+            if lookups is None:
                 masked = mask(df, table_rules, config.context)
             else:
-                masked = apply_dictionary(df, table_rules, dictionary, config.context)
+                masked = apply_dictionary(df, table_rules, lookups, config.context)
             counted = Observation()
             masked = masked.observe(counted, F.count(F.lit(1)).alias("n"))
             write_dataset(masked, config.output, d, config.overwrite)
@@ -166,12 +169,14 @@ def run_job(
             return _Outcome(d, "failed", message=_message(error))
 
     # Datasets of one table stay in order, as one may lie inside another.
-    tables: dict[str, list[tuple[Dataset, DataFrame, list[ColumnRule]]]] = {}
+    tables: dict[str, list[_Item]] = {}
     for item in ready:
         tables.setdefault(item[0].path.split("/")[0], []).append(item)
     with ThreadPoolExecutor(config.tables_at_once) as pool:
         for part in pool.map(lambda items: [write(i) for i in items], tables.values()):
             outcomes.extend(part)
+    if lookups is not None:
+        lookups.close()
 
     rows = [o.row() for o in outcomes]
     known = {_normal(d.table) for d in found}
@@ -184,15 +189,15 @@ def run_job(
 def _extend_dictionary(
     spark: SparkSession,
     config: MaskingConfig,
-    ready: list[tuple[Dataset, DataFrame, list[ColumnRule]]],
-) -> tuple[list[tuple[Dataset, DataFrame, list[ColumnRule]]], list[_Outcome]]:
+    ready: list[_Item],
+) -> tuple[list[_Item], list[_Outcome]]:
     """Store entries for all values the dictionary lacks, before any table is written.
 
     One pass over all tables; should it fail, table by table, to find the culprit.
     """
     base, context = config.dictionary, config.context
 
-    def extend(items: list[tuple[Dataset, DataFrame, list[ColumnRule]]]) -> None:
+    def extend(items: list[_Item]) -> None:
         existing = load_dictionary(spark, base)
         append_entries(new_entries([(df, rs) for _, df, rs in items], context, existing), base)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from maskwright.operators.dictionary import DICTIONARY_SCHEMA, empty_dictionary
 from maskwright.sources.files import csv_options
 
-_VERSION = "v"
+_VERSION = "version="
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -29,14 +29,15 @@ def _versions(spark: SparkSession, base: str) -> list[tuple[int, bool]]:
     found = []
     for status in fs.listStatus(path):
         name = status.getPath().getName()
-        if name.startswith(_VERSION) and name[1:].isdigit():
+        number = name.removeprefix(_VERSION)
+        if number != name and number.isdigit():
             marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            found.append((int(name[1:]), fs.exists(marker)))
+            found.append((int(number), fs.exists(marker)))
     return sorted(found)
 
 
 def _directory(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/{_VERSION}{version:08d}"
+    return f"{base.rstrip('/')}/{_VERSION}{version}"
 
 
 def load_dictionary(spark: SparkSession, base: str) -> DataFrame:
@@ -44,17 +45,11 @@ def load_dictionary(spark: SparkSession, base: str) -> DataFrame:
 
     The scope is a partition column, so a lookup reads only its own scope.
     """
-    parts = [
-        spark.read.schema(DICTIONARY_SCHEMA).parquet(_directory(base, v))
-        for v, committed in _versions(spark, base)
-        if committed
-    ]
-    if not parts:
+    committed = [_directory(base, v) for v, done in _versions(spark, base) if done]
+    if not committed:
         return empty_dictionary(spark)
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole.select("scope", "original", "masked")
+    reader = spark.read.option("basePath", base).schema(f"{DICTIONARY_SCHEMA}, version int")
+    return reader.parquet(*committed).select("scope", "original", "masked")
 
 
 def append_entries(entries: DataFrame, base: str) -> None:

@@ -171,11 +171,13 @@ def test_job(spark, tree, with_dictionary):
 def test_one_failing_table_does_not_stop_the_others(spark, tree):
     parquet(tree / "bad" / "x.parquet", v=[1e300], k=["a"])
     (tree / "ragged.csv").write_text("v,w\nx,y,z\n")
+    (tree / "torn.parquet").write_text("not a parquet file")
     rules = rulebook(
         spark,
         [
             ("bad", "v", "Standard", "Y"),
             ("ragged", "v", "Standard", "Y"),
+            ("torn", "v", "Standard", "Y"),
             ("orders", "o_name", "Standard", "Y"),
             ("mixed", "gone", "Standard", "Y"),
             ("nested", "extra", "Standard", "Y"),
@@ -184,7 +186,7 @@ def test_one_failing_table_does_not_stop_the_others(spark, tree):
     )
     got = by_dataset(run_job(spark, config(tree), rules))
     assert got[("orders", "parquet")] == ("masked", 3, None)
-    for name, format_ in (("bad", "parquet"), ("ragged.csv", "csv")):
+    for name, format_ in (("bad", "parquet"), ("ragged.csv", "csv"), ("torn.parquet", "parquet")):
         assert got[(name, format_)][0] == "failed"
         written = tree.parent / "out" / name
         assert not written.exists() or not [n for n in os.listdir(written) if n[0] not in "._"]
