@@ -125,20 +125,22 @@ def mask_single_run(spark: SparkSession, sf: str) -> DataFrame:
 
 def masked_join_orders_customer(spark: SparkSession, sf: str) -> DataFrame:
     """Join of a masked parent with its masked child on the masked key."""
-    customer = mask_column(
-        table(spark, sf, "customer").select("c_name", "c_mktsegment"), "c_name", "Standard", CONTEXT
-    )
+    customer = table(spark, sf, "customer").select("c_name", "c_mktsegment").where("c_name is not null")
+    customer = mask_column(customer, "c_name", "Standard", CONTEXT)
     name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     # Pre-aggregated on the key before anything is masked or joined.
     spent = (
         table(spark, sf, "orders")
+        .where("o_custkey is not null")
         .groupBy(name.alias("o_name"))
         .agg(F.count("*").alias("n"), F.sum(cents).alias("cents"))
     )
     spent = mask_column(spent, "o_name", "Standard", CONTEXT)
+    # No masked key is null, and saying so spares masking once more for a null filter.
     return (
-        customer.join(spent, F.col("c_name") == F.col("o_name"))
+        customer.withColumn("key", F.coalesce("c_name", F.lit("")))
+        .join(spent.withColumn("key", F.coalesce("o_name", F.lit(""))), "key")
         .groupBy("c_mktsegment")
         .agg(F.sum("n").alias("n_orders"), F.sum("cents").alias("total_cents"))
     )
