@@ -98,17 +98,17 @@ def column_entries(
     return exploded.where(F.col("original").isNotNull())
 
 
-def _generated(original: Column, r: Rule, dtype: T.DataType, context: MaskContext) -> Column:
-    """The mask rule ``r`` gives ``original``, as dictionary text.
+def _dictionary_text(masked: Column, original: Column, dtype: T.DataType) -> Column:
+    """A generated mask as dictionary text.
 
-    Null where a column of this type cannot hold the original.
+    A number's mask is written the way its column will hold it: 042 is 42.  Null
+    where a column of this type cannot hold the original.
     """
-    masked = r.masked_key(original, RuleContext(context, dtype))
     if is_text(dtype):
         return masked
-    # A number's mask is written the way its column will hold it: 042 is 42.
     possible = canonical_text(original.try_cast(dtype), dtype) == original
-    return F.when(possible, canonical_text(restore_type(masked, dtype), dtype))
+    restored = canonical_text(restore_type(masked, dtype), dtype)
+    return F.when(masked.isNotNull() & possible, restored)
 
 
 def new_entries(
@@ -130,28 +130,32 @@ def new_entries(
         for i, r in enumerate(rules):
             dtype = df.schema[r.attribute].dataType
             order = t * TABLE_STRIDE + i * RULE_STRIDE
-            for p in (0, 1):
-                maker = makers.setdefault(
-                    (r.rule, dtype.simpleString(), p), ([], rule(r.rule), dtype)
-                )
-                maker[0].append(order + p)
+            for p in (0, 1) if rule(r.rule).parts is not None else (0,):
+                known = (r.rule, dtype.simpleString(), p)
+                makers.setdefault(known, ([], rule(r.rule), dtype))[0].append(order + p)
     if found is None:
         return existing.limit(0)
 
     # Each maker is given only the values it is responsible for.
-    masks = []
-    for (_, _, p), (orders, r, dtype) in makers.items():
+    masks: dict[str, Column] = {}
+    texts: list[Column] = []
+    for n, ((_, _, p), (orders, r, dtype)) in enumerate(makers.items()):
         own = F.when(F.col("ord").isin(orders), F.col("original"))
         if p == 1:
+            dtype = T.StringType()
             text_context = RuleContext(context)
-            cell = Cell(own, seed_of(own, text_context.tag()), text_context)
-            masks.append(cell.masked_whole())
+            masks[f"mask_{n}"] = Cell(
+                own, seed_of(own, text_context.tag()), text_context
+            ).masked_whole()
         else:
-            masks.append(_generated(own, r, dtype, context))
+            masks[f"mask_{n}"] = r.masked_key(own, RuleContext(context, dtype))
+        texts.append(_dictionary_text(F.col(f"mask_{n}"), F.col("original"), dtype))
 
     distinct = found.groupBy("scope", "original").agg(F.min("ord").alias("ord"))
     fresh = distinct.join(existing, ["scope", "original"], "left_anti")
-    return fresh.select("scope", "original", F.coalesce(*masks).alias("masked"))
+    return fresh.withColumns(masks).select(
+        "scope", "original", F.coalesce(*texts).alias("masked")
+    )
 
 
 # --------------------------------------------------------------------- lookup
@@ -168,14 +172,25 @@ def is_small(side: DataFrame) -> bool:
 
 def _differing(dictionary: DataFrame, r: Rule, dtype: T.DataType, context: MaskContext) -> DataFrame:
     """The entries of a rule's scope that do not just repeat the generator."""
-    generated = _generated(F.col("original"), r, dtype, context)
+    generated = r.masked_key(F.col("original"), RuleContext(context, dtype))
+    text = _dictionary_text(F.col("generated"), F.col("original"), dtype)
     return (
         dictionary.where(F.col("scope") == context.scope("Y") + r.namespace)
-        .where(F.col("masked") != generated)
+        .withColumn("generated", generated)
+        .where(F.col("masked") != text)
         .select("original", "masked")
     )
 
 
+class _Side:
+    """A lookup side being measured, or measured."""
+
+    def __init__(self) -> None:
+        self.lock = Lock()
+        self.entries: DataFrame | None = None
+        self.small = False
+
+
 class Lookups:
     """What a dictionary says beyond the generator, found out once per rule and type.
 
@@ -187,23 +202,24 @@ class Lookups:
     def __init__(self, dictionary: DataFrame, context: MaskContext) -> None:
         self.dictionary = dictionary
         self.context = context
-        self._sides: dict[tuple[str, str], tuple[DataFrame, bool]] = {}
+        self._sides: dict[tuple[str, str], _Side] = {}
         self._lock = Lock()
 
     def side(self, r: Rule, dtype: T.DataType) -> tuple[DataFrame, bool]:
         """(entries that differ from the generator, whether they are small)."""
-        known = (r.name, dtype.simpleString())
         with self._lock:
-            if known not in self._sides:
+            side = self._sides.setdefault((r.name, dtype.simpleString()), _Side())
+        with side.lock:
+            if side.entries is None:
                 differing = _differing(self.dictionary, r, dtype, self.context)
-                small = is_small(differing)
-                self._sides[known] = (differing.persist() if small else differing), small
-            return self._sides[known]
+                side.small = is_small(differing)
+                side.entries = differing.persist() if side.small else differing
+            return side.entries, side.small
 
     def close(self) -> None:
-        for side, small in self._sides.values():
-            if small:
-                side.unpersist()
+        for side in self._sides.values():
+            if side.small and side.entries is not None:
+                side.entries.unpersist()
         self._sides.clear()
 
 
