@@ -254,7 +254,7 @@ def _credit_card(cell: Cell) -> Column:
 
 
 def _pick(choices: tuple[str, ...], seed: Column, start: int) -> Column:
-    table = F.array(*[F.lit(c) for c in choices])
+    table = F.expr("array('" + "', '".join(choices) + "')")
     return F.element_at(table, (seed_number(seed, start, 6) % len(choices) + 1).cast("int"))
 
 
