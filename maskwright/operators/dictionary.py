@@ -161,13 +161,14 @@ def new_entries(
 # --------------------------------------------------------------------- lookup
 
 
-def is_small(side: DataFrame) -> bool:
-    """Whether a lookup side was measured to be small enough for a broadcast."""
+def small_size(side: DataFrame) -> int | None:
+    """The rows of a lookup side measured to be small enough for a broadcast, else None."""
     size = side.agg(
         F.count("*").alias("n"),
         F.sum(F.octet_length("original") + F.octet_length("masked")).alias("bytes"),
     ).first()
-    return size["n"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    small = size["n"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    return size["n"] if small else None
 
 
 def _differing(dictionary: DataFrame, r: Rule, dtype: T.DataType, context: MaskContext) -> DataFrame:
@@ -188,7 +189,7 @@ class _Side:
     def __init__(self) -> None:
         self.lock = Lock()
         self.entries: DataFrame | None = None
-        self.small = False
+        self.size: int | None = None
 
 
 class Lookups:
@@ -205,20 +206,20 @@ class Lookups:
         self._sides: dict[tuple[str, str], _Side] = {}
         self._lock = Lock()
 
-    def side(self, r: Rule, dtype: T.DataType) -> tuple[DataFrame, bool]:
-        """(entries that differ from the generator, whether they are small)."""
+    def side(self, r: Rule, dtype: T.DataType) -> tuple[DataFrame, int | None]:
+        """(entries that differ from the generator, their number if they are small)."""
         with self._lock:
             side = self._sides.setdefault((r.name, dtype.simpleString()), _Side())
         with side.lock:
             if side.entries is None:
                 differing = _differing(self.dictionary, r, dtype, self.context)
-                side.small = is_small(differing)
-                side.entries = differing.persist() if side.small else differing
-            return side.entries, side.small
+                side.size = small_size(differing)
+                side.entries = differing.persist() if side.size else differing
+            return side.entries, side.size
 
     def close(self) -> None:
         for side in self._sides.values():
-            if side.small and side.entries is not None:
+            if side.size and side.entries is not None:
                 side.entries.unpersist()
         self._sides.clear()
 
@@ -231,9 +232,9 @@ def apply_dictionary(
 ) -> DataFrame:
     """Mask a table; where the dictionary knows a value, its mask wins.
 
-    What has to be joined is broadcast if it is measured to be small; else it is
-    cut down to the values the column really has, and measured again; else both
-    sides are shuffled.  That last join is a left join with unique keys on its
+    What has to be joined, if anything, is broadcast if it is measured to be small;
+    else it is cut down to the values the column really has, and measured again;
+    else both sides are shuffled.  That last join is a left join with unique keys on its
     right side, which adaptive execution splits when one value (or null) holds a
     large part of the rows.
     """
@@ -246,13 +247,16 @@ def apply_dictionary(
         dtype = df.schema[r.attribute].dataType
         this = rule(r.rule)
         key = this.key(canonical_text(quoted(r.attribute), dtype))
-        side, small = lookups.side(this, dtype)
-        if not small:
+        side, size = lookups.side(this, dtype)
+        if size is None:
             values = df.select(key.alias("original")).distinct()
             present = side.join(values, "original", "left_semi")
-            if is_small(present):
-                side, small = present, True
-        if small:
+            size = small_size(present)
+            if size is not None:
+                side = present
+        if size == 0:
+            continue
+        if size is not None:
             side = F.broadcast(side)
         name = f"{FOUND}{i}"
         side = side.select(

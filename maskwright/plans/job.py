@@ -21,7 +21,6 @@ from maskwright.sources.files import (
     datasets,
     inventory,
     qualified,
-    read_dataset,
     spread,
     write_dataset,
 )
@@ -83,11 +82,16 @@ def _normal(name: str) -> str:
 def _rules_by_table(
     plan: Mapping[str, list[ColumnRule]], tables: set[str]
 ) -> dict[str, list[ColumnRule]]:
-    """Rules of each table, by its own name or by its normalised name."""
-    by_norm: dict[str, list[ColumnRule]] = {}
+    """Rules of each table.
+
+    A rule whose table name is no table's own name belongs to all tables of the
+    same normalised name.
+    """
+    found: dict[str, list[ColumnRule]] = {t: [] for t in tables}
     for name, rules in plan.items():
-        by_norm.setdefault(_normal(name), []).extend(rules)
-    return {t: plan.get(t) or by_norm.get(_normal(t), []) for t in tables}
+        for t in {name} & tables or {t for t in tables if _normal(t) == _normal(name)}:
+            found[t].extend(rules)
+    return found
 
 
 def _missing_columns(df: DataFrame, rules: list[ColumnRule]) -> list[str]:

@@ -223,6 +223,14 @@ def test_rulebook_file_and_project(spark, tree):
         select_project(projects, "two")
 
 
+def test_rules_under_either_name_of_a_table_count(spark, tmp_path):
+    parquet(tmp_path / "in" / "a-b" / "x.parquet", v=["Ana"], w=["Bo"])
+    rules = rulebook(spark, [("a-b", "v", "Standard", "Y"), ("a_b", "w", "Standard", "Y")])
+    cfg = MaskingConfig(project="p", key="test-key", input=str(tmp_path / "in"), output=str(tmp_path / "out"))
+    run_job(spark, cfg, rules)
+    assert tuple(spark.read.parquet(str(tmp_path / "out/a-b")).first()) == (standard("Ana"), standard("Bo"))
+
+
 def test_output_inside_input_is_refused(spark, tree):
     cfg = MaskingConfig(project="p", key="k", input=str(tree), output=str(tree / "out"))
     with pytest.raises(ValueError, match="inside"):

@@ -64,7 +64,7 @@ def test_no_query_pairs_everything_with_everything(spark, name):
 
 def test_a_hot_value_is_split(spark, monkeypatch):
     """A third of all rows hold one value, and another third null."""
-    monkeypatch.setattr(dic, "is_small", lambda side: False)
+    monkeypatch.setattr(dic, "small_size", lambda side: None)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
