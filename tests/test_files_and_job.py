@@ -268,6 +268,20 @@ def test_csv_files_with_different_headers(spark, tmp_path, folder):
     assert sorted(map(tuple, rows), key=str) == [(hidden, "open", None), (hidden, "open", None), (hidden, None, "more")]
 
 
+@pytest.mark.parametrize("multiline", [True, False])
+@pytest.mark.parametrize("text", ["\ufeffname,n\r\nAna,1\r\nBo,2\r\n", "name,n\nAna,1\nBo,2"])
+def test_csv_with_byte_order_mark_and_line_ends(spark, tmp_path, text, multiline):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_bytes(text.encode())
+    cfg = MaskingConfig(
+        project="p", key="test-key", input=str(tmp_path / "in"), output=str(tmp_path / "out"),
+        csv_multiline=multiline,
+    )
+    summary = run_job(spark, cfg, rulebook(spark, [("t", "name", "Standard", "Y")])).collect()
+    assert [(r["status"], r["n_rows"]) for r in summary] == [("masked", 2)]
+    assert sorted(read_csv(tmp_path / "out/t.csv")) == sorted([[standard("Ana"), "1"], [standard("Bo"), "2"]])
+
+
 def test_spread(spark):
     df = spark.range(100)
     small, big = fs.spread(df, 1, 1000), fs.spread(df, 1, 10 * fs.SPREAD_BYTES)

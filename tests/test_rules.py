@@ -240,3 +240,19 @@ def test_expression_form_equals_staged_form(spark, context):
     )
     two = mask(df, [ColumnRule("s", "Standard"), ColumnRule("d", "Standard")], context)
     assert one.collect() == two.collect()
+
+
+def test_the_same_masks_on_a_stream(spark, context, tmp_path):
+    """Nothing in a rule needs more than its row, so streams are masked alike."""
+    df = spark.createDataFrame([("Ana Lopez", 12.5, 40), (None, -1.0, 7)], "s string, d double, a int")
+    df.write.parquet(str(tmp_path / "in"))
+    rules = [ColumnRule("s", "Full Name"), ColumnRule("d", "Standard"), ColumnRule("a", "Age")]
+    source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    query = (
+        mask(source, rules, context).writeStream.trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .format("parquet").start(str(tmp_path / "out"))
+    )
+    query.awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, mask(df, rules, context).collect()))
