@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskwright.llm import mixing, quality_rules, token_counts
+from maskwright.llm import decontaminate, mixing, quality_rules, token_counts
 from maskwright.llm.common import table
 
 
@@ -30,6 +30,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the benchmark stands in every document."""
+    found = decontaminate.matched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality ledger of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +45,30 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_OP4 = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from benchmark),
+bs as (select item_id, w, least(len(w), 13) as n,
+  unnest(range(1, len(w) - least(len(w), 13) + 2)) as i from b where len(w) > 0),
+bw as (select distinct item_id, n, array_to_string(w[i : i + n - 1], ' ') as t from bs),
+ds as (select doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) as i
+  from d, (select distinct n from bw)),
+dw as (select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') as t from ds),
+h as (select doc_id, dw.n, i, item_id from dw join bw on bw.n = dw.n and bw.t = dw.t),
+c as (select doc_id, count(distinct j) as n_hit from (
+  select doc_id, unnest(range(i, i + n)) as j from (select distinct doc_id, n, i from h)) group by doc_id),
+s as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids from (
+  select distinct doc_id, cast(item_id as varchar) as id from h) group by doc_id),
+r as (select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256
+  from d left join c on c.doc_id = d.doc_id left join s on s.doc_id = d.doc_id)
+select *, n_hit > 0 and 20 * n_hit >= n_words as contaminated from r
+"""
+
 _OP9 = r"""
 with w as (
   select doc_id, coalesce(text, '') as text,
@@ -74,7 +104,11 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_mixing": op3_mixing,
+    "op4_decontamination": op4_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE: dict[str, str] = {"op9_quality_rules": _OP9}
+ORACLE: dict[str, str] = {
+    "op4_decontamination": _OP4,
+    "op9_quality_rules": _OP9,
+}
