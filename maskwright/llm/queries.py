@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskwright.llm import decontaminate, mixing, quality_rules, token_counts
+from maskwright.llm import decontaminate, jaccard_join, mixing, quality_rules, token_counts
 from maskwright.llm.common import table
 
 
@@ -36,6 +36,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality ledger of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +74,25 @@ r as (select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0
 select *, n_hit > 0 and 20 * n_hit >= n_words as contaminated from r
 """
 
+_OP5 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+i as (select doc_id, w, least(len(w), 5) as n,
+  unnest(range(1, len(w) - least(len(w), 5) + 2)) as i from w where len(w) > 0),
+s as (select distinct doc_id, array_to_string(w[i : i + n - 1], ' ') as t from i),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c
+  from s a join s b on a.t = b.t and a.doc_id <> b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+  where 100 * c >= 80 * (x.n + y.n - c)),
+r(a, b) as (select a, b from l union select r.a, l.b from r join l on l.a = r.b),
+m as (select a as doc_id, min(b) as least from r group by a)
+select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles,
+  least(w.doc_id, coalesce(m.least, w.doc_id)) as component_id
+from w left join n on n.doc_id = w.doc_id left join m on m.doc_id = w.doc_id
+"""
+
 _OP9 = r"""
 with w as (
   select doc_id, coalesce(text, '') as text,
@@ -105,10 +129,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
+    "op5_jaccard_join": op5_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op4_decontamination": _OP4,
+    "op5_jaccard_join": _OP5,
     "op9_quality_rules": _OP9,
 }
