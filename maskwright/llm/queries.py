@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskwright.llm import decontaminate, jaccard_join, mixing, quality_rules, token_counts
+from maskwright.llm import decontaminate, jaccard_join, mixing, quality_rules, suffix_dedup, token_counts
 from maskwright.llm.common import table
 
 
@@ -41,6 +41,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 400 bytes take from every document."""
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"), bytes_too=False)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality ledger of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -130,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
