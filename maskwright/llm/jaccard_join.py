@@ -1,8 +1,9 @@
 """Near duplicates: the exact Jaccard join of word n-gram sets, as classes.
 
-Sets are sorted by shingle hash; two sets of similarity t share a shingle within their
-first (1 - t) parts, so inverted lists of those prefixes hold every pair. What keeps the
-lists from being multiplied out are set relations:
+Sets are sorted, frequent shingles last; two sets of similarity t share a shingle within
+their first (1 - t) parts, so inverted lists of those prefixes hold every pair. (Which
+shingles count as frequent never changes the result: any order serves that is the same
+for all sets.) What keeps the lists from being multiplied out are set relations:
 
 * Equal sets are one class, joined once.
 * List level: positions and sizes bound the overlap of two entries; whole blocks of a list
@@ -41,6 +42,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 N = 5
 #: Similarity as a fraction: linked if DEN * common >= NUM * union.
 NUM, DEN = 4, 5
+#: Shingles known as frequent, at most (some megabytes on each worker), and from what count.
+FREQUENT, LEAST_LEVEL = 1 << 20, 5
 #: Pairs of one representative verified in one place, and entries of a list in one block.
 GROUP, BLOCK = 2_000, 8_192
 #: Rows that a side may have to be broadcast; a larger one is joined by shuffle.
@@ -71,23 +74,67 @@ def class_of(shingles: np.ndarray) -> int | None:
     return int(arrays.mix(total ^ np.uint64(len(shingles))).view(np.int64)[0])
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()  # copies within a task send their prefix once
+def prefix_size(n: int) -> int:
+    return n + (-NUM * n // DEN) + 1
+
+
+def _prefix_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each shingle is among the smallest of a set, counted per batch."""
+    seen: set[int] = set()
     for batch in batches:
-        size, kind, prefix = [], [], []
-        for s in shingle_sets(batch.column(1)):
+        first = []
+        for s in shingle_sets(batch.column(0)):
             c = class_of(s)
-            size.append(len(s))
-            kind.append(c)
-            if c is None or c in seen:
-                prefix.append(None)
-            else:
+            if c is not None and c not in seen:
                 seen.add(c)
-                prefix.append(s[: len(s) + (-NUM * len(s) // DEN) + 1])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size, pa.int64()), pa.array(kind, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "class", "prefix"],
-        )
+                first.append(s[: prefix_size(len(s))])
+        token, n = np.unique(np.concatenate(first) if first else np.zeros(0, dtype=np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], names=["token", "n"])
+
+
+def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, at most ``FREQUENT`` of them, and their levels (binary
+    logarithms of their counts). Counted exactly over all texts."""
+    counts = texts.mapInArrow(_prefix_tokens, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    level = F.floor(F.log2("n")).cast("int")
+    many = written(counts.where(F.col("n") >= 2**LEAST_LEVEL).select("token", level.alias("level")), "frequent")
+    sizes = dict(map(tuple, many.groupBy("level").count().collect()))
+    least, total = max(sizes, default=0) + 1, 0
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > FREQUENT:
+            break
+        least = at
+    rows = many.where(F.col("level") >= least).toArrow()
+    token, levels = rows.column("token").to_numpy(), rows.column("level").to_numpy().astype(np.int8)
+    order = np.argsort(token)
+    return token[order], levels[order]
+
+
+def _prefixes(common):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, level = common.value
+        seen: set[int] = set()  # copies within a task send their prefix once
+        for batch in batches:
+            size, kind, prefix = [], [], []
+            for s in shingle_sets(batch.column(1)):
+                c = class_of(s)
+                size.append(len(s))
+                kind.append(c)
+                if c is None or c in seen:
+                    prefix.append(None)
+                    continue
+                seen.add(c)
+                if len(token):
+                    at = np.minimum(np.searchsorted(token, s), len(token) - 1)
+                    s = s[np.argsort(np.where(token[at] == s, level[at], 0), kind="stable")]
+                prefix.append(s[: prefix_size(len(s))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(kind, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "class", "prefix"],
+            )
+
+    return run
 
 
 def _may_link(size_a, place_a, size_b, place_b):
@@ -237,7 +284,8 @@ def joined(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     """The written sets (doc_id, n_shingles, class, prefix) and the components (node, root) of
     their classes; a class that is no node is linked with no other class."""
     schema = df.select(F.col(key).alias("doc_id")).schema.add("n_shingles", "long").add("class", "long").add("prefix", T.ArrayType(T.LongType()))
-    sets = written(df.select(key, text).mapInArrow(_prefixes, schema), "sets")
+    common = df.sparkSession.sparkContext.broadcast(frequent(df.select(text)))
+    sets = written(df.select(key, text).mapInArrow(_prefixes(common), schema), "sets")
     entries = sets.where(F.col("prefix").isNotNull()).select(
         F.col("class"), F.col("n_shingles").cast("int").alias("size"), F.posexplode("prefix").alias("place", "token")
     )

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskwright.llm import decontaminate, jaccard_join, mixing, quality_rules, suffix_dedup, token_counts
+from maskwright.llm import decontaminate, jaccard_join, language_model, mixing, quality_rules, suffix_dedup, token_counts
 from maskwright.llm.common import table
 
 
@@ -55,6 +55,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language model's score of every document."""
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
 _OP4 = r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -137,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {
