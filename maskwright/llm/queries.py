@@ -10,10 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskwright.llm import decontaminate, jaccard_join, language_model, mixing, quality_rules, suffix_dedup, token_counts
+from maskwright.llm import (
+    decontaminate, jaccard_join, language_model, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, token_counts,
+)
 from maskwright.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses named in every document."""
+    found = license_scan.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_licenses", "licenses")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     import public_tokenizers
@@ -41,6 +49,12 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on many sources."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.without_boilerplate(documents).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 400 bytes take from every document."""
     return suffix_dedup.removed(table(spark, sf_dir, "documents"), bytes_too=False)
@@ -60,6 +74,22 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(table(spark, sf_dir, "documents"))
 
 
+_OP1 = r"""
+with t(license, t) as (values {templates}),
+tw as (select row_number() over () as k, license, regexp_extract_all(lower(t), '[0-9a-z]+') as w from t),
+ts as (select distinct k, license, array_to_string(w[i : i + 4], ' ') as s
+  from (select *, unnest(range(1, len(w) - 3)) as i from tw)),
+n as (select k, count(*) as n from ts group by k),
+w as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s
+  from (select *, unnest(range(1, greatest(len(w) - 3, 1))) as i from w)),
+c as (select doc_id, ts.k, license, count(*) as c from s join ts on ts.s = s.s group by 1, 2, 3),
+f as (select distinct doc_id, license from c join n on n.k = c.k where 100 * c >= 80 * n),
+g as (select doc_id, count(*) as n, string_agg(license, ',' order by license) as ids from f group by doc_id)
+select w.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(g.n, 0) as bigint) as n_licenses,
+  coalesce(ids, '') as licenses from w left join g on g.doc_id = w.doc_id
+""".format(templates=", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in license_scan.TEMPLATES))
+
 _OP4 = r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -103,6 +133,21 @@ select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles,
 from w left join n on n.doc_id = w.doc_id left join m on m.doc_id = w.doc_id
 """
 
+_OP7 = r"""
+with l as (select doc_id, source, text, string_split(text, chr(10)) as ls from documents),
+e as (select doc_id, source, ls, unnest(range(1, len(ls) + 1)) as i from l),
+t as (select *, trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line from e),
+b as (select line, min(doc_id) as first from t where length(line) >= {chars}
+  group by line having count(distinct coalesce('s' || source, '')) >= {sites}),
+m as (select t.doc_id, t.i, ls[i] as raw, b.line is not null and first <> t.doc_id as gone
+  from t left join b on b.line = t.line),
+r as (select doc_id, count(*) as n, sum(case when gone then 1 else 0 end) as gone,
+  string_agg(case when gone then null else raw end, chr(10) order by i) as text from m group by doc_id)
+select l.doc_id, cast(coalesce(r.n, 0) as bigint) as n_lines, cast(coalesce(r.gone, 0) as bigint) as n_removed,
+  case when l.text is null then null else coalesce(r.text, '') end as text
+from l left join r on r.doc_id = l.doc_id
+""".format(chars=line_dedup.MIN_CHARS, sites=line_dedup.MIN_SITES)
+
 _OP9 = r"""
 with w as (
   select doc_id, coalesce(text, '') as text,
@@ -136,17 +181,21 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_token_counts": op2_token_counts,
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_license_scan": _OP1,
     "op4_decontamination": _OP4,
     "op5_jaccard_join": _OP5,
+    "op7_line_dedup": _OP7,
     "op9_quality_rules": _OP9,
 }
