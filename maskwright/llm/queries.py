@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from maskwright.llm import (
-    decontaminate, jaccard_join, language_model, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, token_counts,
+    decontaminate, html_text, jaccard_join, language_model, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, token_counts,
 )
 from maskwright.llm.common import table
 
@@ -49,6 +49,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that stand on many sources."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -186,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
