@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH = 400
 GRAM = 160
 #: Bytes of stretches sorted together; one piece's stretches are never divided.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 2 << 20
+#: Bytes of text searched for runs at a time.
+RUN_BYTES = 1 << 20
 #: Stretches or spans that may be broadcast to the documents; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 _BASE = 0xA24BAED4963EE407
@@ -106,7 +108,7 @@ _RUN_TYPES = {"piece": pa.int64(), "stretch": pa.int64(), "lo": pa.int64(), "hi"
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = arrays.buffers(batch.column("text"))
-        for lo, hi in arrays.blocks(offsets):
+        for lo, hi in arrays.blocks(offsets, RUN_BYTES):
             part = offsets[lo : hi + 1]
             found = runs(part - part[0], data[part[0] : part[-1]])
             rows = pa.array(found["text"] + lo, pa.int64())
@@ -119,9 +121,13 @@ def suffix_classes(data: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray
     """Ranks of all suffixes in the order of their first ``depth`` bytes; ``left`` is the
     number of bytes from each place to the end of its text, behind which all is 0."""
     n = len(data)
-    have = 1
-    rank = data.astype(np.uint64) + np.uint64(1)
     index = np.arange(n)
+    have, byte = 7, data.astype(np.uint64) + np.uint64(1)
+    rank = np.zeros(n, dtype=np.uint64)
+    for k in range(have):  # the first bytes as one number, nine bits each
+        rank = (rank << np.uint64(9)) | np.where(left > k, byte[np.minimum(index + k, n - 1)], np.uint64(0))
+    _, rank = np.unique(rank, return_inverse=True)
+    rank = rank.astype(np.uint64) + np.uint64(1)
     while have < depth:
         step = min(have, depth - have)
         follow = np.where(left > step, rank[np.minimum(index + step, n - 1)], np.uint64(0))
@@ -229,8 +235,8 @@ def _onto(docs: DataFrame, lists: DataFrame, rows: int, how: str) -> DataFrame:
 
 
 def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Written rows (doc_id, version, lo, hi): byte ranges covered by repeated strings, which
-    may overlap; ``version`` is Spark's xxhash64 of the text."""
+    """Written rows (doc_id, version, lo, hi): the maximal byte ranges covered by repeated
+    strings; ``version`` is Spark's xxhash64 of the text."""
     docs = _versioned(df, key, text)
     schema = T.StructType([*docs.schema.fields[:2], *[T.StructField(c, T.BooleanType() if c == "near" else T.LongType()) for c in _RUN_TYPES]])
     every = written(docs.mapInArrow(_run_rows, schema), "runs")
@@ -258,7 +264,16 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     cut = _onto(docs, wanted, rows, "inner").mapInArrow(_stretches, T.StructType(fields))
     met = cut.repartition("piece").sortWithinPartitions("piece")
     found = met.mapInArrow(_sorted_matches, T.StructType([*docs.schema.fields[:2], T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())]))
-    return written(whole.unionByName(twins).unionByName(found), "spans")
+    return written(_merged(whole.unionByName(twins).unionByName(found)), "spans")
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """Ranges of a document that overlap or touch, as one."""
+    rows = Window.partitionBy("doc_id", "version").orderBy("lo", "hi")
+    reach = F.max("hi").over(rows.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = found.withColumn("_new", F.when(F.col("lo") <= reach, 0).otherwise(1))
+    part = fresh.withColumn("_part", F.sum("_new").over(rows.rowsBetween(Window.unboundedPreceding, 0)))
+    return part.groupBy("doc_id", "version", "_part").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_part")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,15 +283,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, spans in enumerate(batch.column("spans").to_pylist()):
             raw = data[offsets[i] : offsets[i + 1]].tobytes()
             kept, at, removed, n = [], 0, 0, 0
-            for s in sorted(spans or (), key=lambda s: (s["lo"], s["hi"])):
-                if s["lo"] > at or not n:
-                    kept.append(raw[at : s["lo"]])
-                    n += 1
-                    removed += s["hi"] - s["lo"]
-                    at = s["hi"]
-                elif s["hi"] > at:
-                    removed += s["hi"] - at
-                    at = s["hi"]
+            for span in sorted(spans or (), key=lambda span: span["lo"]):
+                kept.append(raw[at : span["lo"]])
+                removed += span["hi"] - span["lo"]
+                at = span["hi"]
+                n += 1
             kept.append(raw[at:])
             rest = b"".join(kept)
             for column, value in zip(out, (len(raw), removed, n, hashlib.sha256(rest).hexdigest(), rest)):
