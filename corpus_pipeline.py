@@ -13,31 +13,25 @@ none before were rejected as too short; an empty table passes through empty.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from maskwright.llm import decontaminate, jaccard_join, line_dedup, mixing
 from maskwright.llm import quality_rules as rules
-from maskwright.llm.common import WORD, table, written
+from maskwright.llm.common import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the current policy of the quality ledger."""
-    return rules.ledger(docs).where("kept").select(*docs.columns)
+    return rules.passing(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without cross-site boilerplate; ``n_chars`` follows the text."""
-    cleaned = line_dedup.without_boilerplate(docs)
-    left = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        left = left.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    return line_dedup.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar ones."""
-    return jaccard_join.deduplicated(docs).select(*docs.columns)
+    return jaccard_join.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,18 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " ", -1), "")
 
 
-def row_key(*columns: str) -> Column:
-    """A struct that tells rows apart by their content; equal rows share it."""
-    return F.struct(*[F.col(c) for c in columns])
+def numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named c0, c1, ..., and their names: whatever a caller's columns
+    are called, an operator's own can be added beside them."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), df.columns
+
+
+def number(names: list[str], name: str) -> str:
+    return f"c{names.index(name)}"
+
+
+def restored(df: DataFrame, names: list[str], *results: str) -> DataFrame:
+    """The numbered columns under their names, then results, which replace columns of theirs."""
+    taken = {r.lower() for r in results}
+    kept = [F.col(f"c{i}").alias(name) for i, name in enumerate(names) if name.lower() not in taken]
+    return df.select(*kept, *results)

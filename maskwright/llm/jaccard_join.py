@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskwright.llm import arrays
-from maskwright.llm.common import written
+from maskwright.llm.common import number, numbered, restored, written
 from maskwright.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -337,14 +337,17 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     Rows without an id stay, as nothing tells them apart; rows that repeat id and text
     become one. The texts meet only the ids that go.
     """
-    found = written(near_duplicates(df, key, text), "near-duplicates")
+    rows, names = numbered(df)
+    key, text = number(names, key), number(names, text)
+    found = written(near_duplicates(rows, key, text), "near-duplicates")
     going = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"))
     staying = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_gone"))
     going = written(going.distinct().join(staying.distinct(), "_gone", "left_anti"), "going")
     right = F.broadcast(going) if going.count() <= BROADCAST_ROWS else going
-    kept = df.join(right, F.col(key) == F.col("_gone"), "left_anti")
-    again = written(found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_gone")), "repeated")
+    kept = rows.join(right, F.col(key) == F.col("_gone"), "left_anti")
+    again = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
+    again = written(again.select(F.col("doc_id").alias("_gone")), "repeated")
     if again.isEmpty():
-        return kept
+        return restored(kept, names)
     repeated = kept.join(again, F.col(key) == F.col("_gone"), "left_semi").dropDuplicates([key, text])
-    return kept.join(again, F.col(key) == F.col("_gone"), "left_anti").unionByName(repeated)
+    return restored(kept.join(again, F.col(key) == F.col("_gone"), "left_anti").unionByName(repeated), names)

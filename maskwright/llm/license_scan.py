@@ -24,7 +24,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import bound
+from maskwright.llm.common import bound, number, numbered, restored
 
 WINDOW, STRIDE, BANDS, SHINGLE = 16, 8, 20, 5
 #: Share of a template's shingles that a text must have, in percent.
@@ -161,8 +161,8 @@ class Templates:
 def scanned(df: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
     """``df`` with ``n_words``, ``n_windows``, ``n_candidates``, ``n_licenses`` and ``licenses``."""
     known = Templates(df.sparkSession, templates)
-    df = df.drop("n_words", "n_windows", "n_candidates", "n_licenses", "licenses")
-    split = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SEPARATORS, -1), "")
+    df, names = numbered(df)
+    split = F.array_remove(F.split(F.lower(F.coalesce(F.col(number(names, text)), F.lit(""))), SEPARATORS, -1), "")
     df = bound(df, "_words", split)
     df = bound(df, "_pairs", F.expr(_runs_of("_words", 2)))
     df = bound(df, "_starts", F.expr(f"if(size(_pairs) > 0, sequence(1, size(_pairs), {STRIDE}), cast(array() as array<int>))"))
@@ -185,7 +185,8 @@ def scanned(df: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame
     )
     df = bound(df, "_found", verified)
     ids = F.sort_array(F.array_distinct(F.expr("transform(_found, t -> get(_ids, t))")))
-    return df.withColumns({
+    results = {
         "n_words": F.size("_words").cast("long"), "n_windows": F.size("_starts").cast("long"),
         "n_candidates": F.size("_candidates").cast("long"), "n_licenses": F.size(ids).cast("long"), "licenses": F.array_join(ids, ","),
-    }).drop("_words", "_pairs", "_starts", "_candidates", "_shingles", "_templates", "_ids", "_found")
+    }
+    return restored(df.withColumns(results), names, *results)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import SPACES, bound, written
+from maskwright.llm.common import SPACES, WORD, bound, number, numbered, restored, written
 
 MIN_SITES = 10
 MIN_CHARS = 10
@@ -61,10 +61,9 @@ def _joined(lines: DataFrame, found: DataFrame, how: str) -> DataFrame:
     return lines.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, "hash", how)
 
 
-def without_boilerplate(df: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """``df`` with boilerplate lines taken out of ``text``, and two columns more: ``n_lines`` and
-    ``n_removed`` (replacing columns of that name)."""
-    names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
+def _cleaned(df: DataFrame, names: list[str], key: str, text: str, site: str, min_sites: int) -> DataFrame:
+    """Numbered rows with the text replaced, ``n_lines`` and ``n_removed``."""
+    key, text, site = (number(names, c) for c in (key, text, site))
     docs = df.select(
         F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("version"), F.col(text).alias("text"),
         F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("")).alias("site"),
@@ -75,11 +74,31 @@ def without_boilerplate(df: DataFrame, key: str = "doc_id", text: str = "text",
     right = removed.select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("places").alias("_places"))
     right = F.broadcast(right) if removed.count() <= BROADCAST_ROWS else right.hint("shuffle_hash")
     on = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_version"))
-    rows = df.select(*names).join(right, on, "left").drop("_id", "_version")
-    rows = bound(rows, "_lines", F.split(F.col(text), "\n", -1))
+    rows = bound(df.join(right, on, "left"), "_lines", F.split(F.col(text), "\n", -1))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), _places), i -> get(_lines, i)), '\n')")
-    n_lines = F.coalesce(F.size("_lines"), F.lit(0)).cast("long")
-    n_removed = F.coalesce(F.size("_places"), F.lit(0)).cast("long")
-    out = {c: F.when(F.col("_places").isNull(), F.col(c)).otherwise(kept) if c == text else F.col(c) for c in names}
-    counts = [F.greatest(n_lines, F.lit(0)).alias("n_lines"), F.greatest(n_removed, F.lit(0)).alias("n_removed")]
-    return rows.select(*[value.alias(c) for c, value in out.items()], *counts)
+    return rows.withColumns({
+        text: F.when(F.col("_places").isNull(), F.col(text)).otherwise(kept),
+        "n_lines": F.greatest(F.coalesce(F.size("_lines"), F.lit(0)), F.lit(0)).cast("long"),
+        "n_removed": F.greatest(F.coalesce(F.size("_places"), F.lit(0)), F.lit(0)).cast("long"),
+    })
+
+
+def without_boilerplate(df: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """``df`` with boilerplate lines taken out of ``text``, and two columns more: ``n_lines`` and
+    ``n_removed`` (replacing columns of that name)."""
+    rows, names = numbered(df)
+    return restored(_cleaned(rows, names, key, text, site, min_sites), names, "n_lines", "n_removed")
+
+
+def cleaned(df: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", length: str = "n_chars", min_sites: int = MIN_SITES) -> DataFrame:
+    """``df`` with its own columns: texts without boilerplate, ``length`` (if there is such a
+    column) following the text, and without the rows whose last word has gone."""
+    rows, names = numbered(df)
+    rows = _cleaned(rows, names, key, text, site, min_sites)
+    now = F.col(number(names, text))
+    rows = rows.where((F.col("n_removed") == 0) | now.rlike(WORD))
+    if length in names:
+        at = number(names, length)
+        kind = df.schema[names.index(length)].dataType
+        rows = rows.withColumn(at, F.when(F.col("n_removed") > 0, F.length(now)).otherwise(F.col(at)).cast(kind))
+    return restored(rows, names)

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import WORD, written
+from maskwright.llm.common import WORD, number, numbered, restored, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -132,19 +132,19 @@ def _taken(small: DataFrame) -> DataFrame:
 
 
 def mixed(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
-    """The mix itself: every row of ``df`` as often as it is taken, with ``copy`` from 0.
-
-    Rows of sources without words are not taken. No row is sent by key: the targets go
-    to the rows.
+    """The mix itself: every row of ``df`` as often as it is taken, with ``copy`` from 0 (which
+    replaces a column of that name). Rows of sources without words are not taken. No row is
+    sent by key: the targets go to the rows.
     """
-    df = df.drop("copy") if "copy" in df.columns else df
-    sizes = df.select(F.col(source).alias("source"), size(F.col(text)).alias("size"))
+    rows, names = numbered(df)
+    text, source, key = (number(names, c) for c in (text, source, key))
+    sizes = rows.select(F.col(source).alias("source"), size(F.col(text)).alias("size"))
     per_source = written(targets(sizes), "mix-targets")
     few = per_source.count() <= BROADCAST_SOURCES
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     right = per_source.select(F.col("source").alias("_source"), rate.alias("_rate"))
-    joined = df.join(F.broadcast(right) if few else right, F.col(source).eqNullSafe(F.col("_source")), "inner")
+    joined = rows.join(F.broadcast(right) if few else right, F.col(source).eqNullSafe(F.col("_source")), "inner")
     whole = F.floor("_rate")
     copies = (whole + F.when(draw(seed, key, source, text) < F.col("_rate") - whole, 1).otherwise(0)).cast("int")
     numbers = F.when(copies > 0, F.sequence(F.lit(0), copies - 1)).otherwise(F.array().cast("array<int>"))
-    return joined.select(*[F.col(c) for c in df.columns], F.explode(numbers).alias("copy"))
+    return restored(joined.select("*", F.explode(numbers).alias("copy")), names, "copy")

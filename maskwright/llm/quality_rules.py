@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import SPACES, bound, plain_words
+from maskwright.llm.common import SPACES, bound, number, numbered, plain_words, restored
 
 SYMBOL = "[#*$%&|<>]"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -97,16 +97,26 @@ def _measured(df: DataFrame, text: str) -> DataFrame:
     )
 
 
-def ledger(df: DataFrame, text: str = "text", policy: str = CURRENT) -> DataFrame:
-    """``df`` with measures, ``fail_bits``, ``base_failed`` and ``kept`` under ``policy``."""
-    own = {*MEASURES, "fail_bits", "base_failed", "kept"}
-    df = _measured(df.drop(*[c for c in df.columns if c in own and c != text]), text)
+def _judged_rows(df: DataFrame, names: list[str], text: str, policy: str) -> DataFrame:
+    df = _measured(df, number(names, text))
     bits = F.expr(" | ".join(f"if({rule}, {bit(name)}L, 0L)" for name, rule in RULES.items()))
     df = df.withColumn("fail_bits", bits)
     df = df.withColumn("base_failed", F.col("fail_bits").bitwiseAND(F.lit(policy_bits("base"))) != 0)
     return df.withColumn("kept", judged(F.col("fail_bits"), policy))
 
 
+def ledger(df: DataFrame, text: str = "text", policy: str = CURRENT) -> DataFrame:
+    """``df`` with measures, ``fail_bits``, ``base_failed`` and ``kept`` under ``policy``."""
+    rows, names = numbered(df)
+    return restored(_judged_rows(rows, names, text, policy), names, *MEASURES, "fail_bits", "base_failed", "kept")
+
+
+def passing(df: DataFrame, text: str = "text", policy: str = CURRENT) -> DataFrame:
+    """The rows of ``df`` that pass ``policy``, with their own columns."""
+    rows, names = numbered(df)
+    return restored(_judged_rows(rows, names, text, policy).where("kept"), names)
+
+
 def judged(fail_bits: Column, policy: str) -> Column:
     """Whether a stored row passes ``policy``; the base rules always hold."""
     return fail_bits.bitwiseAND(F.lit(policy_bits(policy) | policy_bits("base"))) == 0
