@@ -9,7 +9,7 @@ for all sets.) What keeps the lists from being multiplied out are set relations:
 * List level: positions and sizes bound the overlap of two entries; whole blocks of a list
   whose bounds cannot meet are skipped.
 * Answer level: every entry is first compared with its list's representative only (the
-  list's smallest class). What is found similar to it takes its answers from it: a pair
+  entry of the fewest rarer shingles). What is found similar to it takes its answers from it: a pair
   within one component needs no comparison. Only entries that are still apart after that
   are compared with each other. So a group of near copies costs its size, not its square,
   and yet no link between components can be missed.
@@ -43,7 +43,7 @@ N = 5
 #: Similarity as a fraction: linked if DEN * common >= NUM * union.
 NUM, DEN = 4, 5
 #: Shingles known as frequent, at most (some megabytes on each worker), and from what count.
-FREQUENT, LEAST_LEVEL = 1 << 20, 5
+FREQUENT, LEAST_LEVEL = 1 << 20, 3
 #: Pairs of one representative verified in one place, and entries of a list in one block.
 GROUP, BLOCK = 2_000, 8_192
 #: Rows that a side may have to be broadcast; a larger one is joined by shuffle.
@@ -78,24 +78,48 @@ def prefix_size(n: int) -> int:
     return n + (-NUM * n // DEN) + 1
 
 
-def _prefix_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each shingle is among the smallest of a set, counted per batch."""
-    seen: set[int] = set()
-    for batch in batches:
-        first = []
-        for s in shingle_sets(batch.column(0)):
-            c = class_of(s)
-            if c is not None and c not in seen:
+def _token_counts(common=None):
+    """How often each shingle is among the smallest of a set, counted per batch; with known
+    frequent shingles: how often each is in a set that has one of them among its smallest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if common is None else common.value[0]
+        seen: set[int] = set()
+        for batch in batches:
+            found = [np.zeros(0, dtype=np.int64)]
+            for s in shingle_sets(batch.column(0)):
+                c = class_of(s)
+                if c is None or c in seen:
+                    continue
                 seen.add(c)
-                first.append(s[: prefix_size(len(s))])
-        token, n = np.unique(np.concatenate(first) if first else np.zeros(0, dtype=np.int64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], names=["token", "n"])
+                first = s[: prefix_size(len(s))]
+                if known is None:
+                    found.append(first)
+                elif (known[np.minimum(np.searchsorted(known, first), len(known) - 1)] == first).any():
+                    found.append(s)
+            token, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], names=["token", "n"])
+
+    return run
 
 
 def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, at most ``FREQUENT`` of them, and their levels (binary
-    logarithms of their counts). Counted exactly over all texts."""
-    counts = texts.mapInArrow(_prefix_tokens, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    """Frequent shingles, at most ``FREQUENT`` of them, and their levels (binary logarithms of
+    their counts), counted over all texts.
+
+    First among the smallest shingles of every set; then among all shingles of those sets
+    that have such a one, as their prefixes are what is going to change. So a passage or a
+    group of near copies is known by all its shingles, while texts like no other add none.
+    """
+    first = _most_frequent(texts.mapInArrow(_token_counts(), "token long, n long"))
+    if not len(first[0]):
+        return first
+    common = texts.sparkSession.sparkContext.broadcast(first)
+    return _most_frequent(texts.mapInArrow(_token_counts(common), "token long, n long"))
+
+
+def _most_frequent(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    counts = counted.groupBy("token").agg(F.sum("n").alias("n"))
     level = F.floor(F.log2("n")).cast("int")
     many = written(counts.where(F.col("n") >= 2**LEAST_LEVEL).select("token", level.alias("level")), "frequent")
     sizes = dict(map(tuple, many.groupBy("level").count().collect()))
@@ -148,7 +172,9 @@ def _least(a, b):
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries sorted by (token, class) -> entries but the first of each list, with the first."""
+    """Entries sorted by (token, place, class) -> entries but the first of each list, with the
+    first. The first has the fewest rare shingles before the list's: of near copies it is the
+    one nearest to what they have in common."""
     names = ("token", "class", "size", "place")
     last = np.full((4, 1), -1, dtype=np.int64)  # the row before, and its list's first row
     rep, started = last.copy(), False
@@ -290,7 +316,7 @@ def joined(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
         F.col("class"), F.col("n_shingles").cast("int").alias("size"), F.posexplode("prefix").alias("place", "token")
     )
     lists = written(
-        entries.repartition("token").sortWithinPartitions("token", "class")
+        entries.repartition("token").sortWithinPartitions("token", "place", "class")
         .select("token", "class", "size", "place").mapInArrow(_listed, _LISTED),
         "lists",
     )
