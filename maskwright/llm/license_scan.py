@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm.common import bound, number, numbered, restored
@@ -121,10 +121,14 @@ def _runs_of(words: str, n: int) -> str:
     return f"if(size({words}) >= {n}, transform(sequence(0, size({words}) - {n}), i -> xxhash64({of})), cast(array() as array<bigint>))"
 
 
-def _minima(pairs: str, starts: str, points: str) -> str:
-    """Per band the minimum of each window; the inner lambda names the shifted pairs once."""
-    window = f"transform({starts}, s -> array_min(slice(m, s, {WINDOW - 1})))"
-    return f"transform({points}, p -> element_at(transform(array(transform({pairs}, x -> x ^ p)), m -> {window}), 1))"
+def _minima(pairs: str, starts: str) -> str:
+    """The minimum of each window in the band of point ``p``."""
+    return f"transform({starts}, s -> array_min(transform(slice({pairs}, s, {WINDOW - 1}), x -> x ^ p)))"
+
+
+def _numbers(values) -> str:
+    """A constant array as SQL; a column of constants would be copied with every row."""
+    return "array(" + ", ".join(f"cast('{v}' as bigint)" for v in values) + ")"
 
 
 class Templates:
@@ -137,25 +141,37 @@ class Templates:
         self.ids = [license_id for license_id, _ in templates]
         parts = [(t, piece) for t, w in enumerate(words) for piece in pieces(w)]
         rows = spark.createDataFrame([(t, p) for t, p in parts], "t int, words array<string>")
-        points = ", ".join(f"{p}L" if p > -(2**63) else f"cast('{p}' as bigint)" for p in band_points())
-        self.points = f"array({points})"
+        self.points = _numbers(band_points())
         rows = rows.select("t", F.expr(_runs_of("words", 2)).alias("pairs"))
-        found = rows.select("t", F.expr(_minima("pairs", "array(1)", self.points)).alias("m")).collect()
+        found = rows.select("t", "pairs", F.expr(f"transform({self.points}, p -> {_minima('pairs', 'array(1)')})").alias("m")).collect()
+        self.pairs = sorted({p for r in found for p in r["pairs"]})
         #: (template, band, minimum) of all pieces.
         self.bands = sorted({(r["t"], k, v[0]) for r in found for k, v in enumerate(r["m"])})
         whole = spark.createDataFrame(list(enumerate(words)), "t int, words array<string>")
         shingles = whole.select("t", F.expr(f"array_distinct({_runs_of('words', SHINGLE)})").alias("s")).collect()
         self.shingles = [r["s"] for r in sorted(shingles, key=lambda r: r["t"])]
 
-    def band_minima(self) -> Column:
-        return F.array(*[F.array(*[F.lit(v) for v in sorted({v for _, k, v in self.bands if k == b})]) for b in range(BANDS)])
+    def window_starts(self) -> str:
+        """The places of the windows that hold a word pair of some piece. Any other window has
+        no minimum in common with a piece, in any band, and is left out at once."""
+        pairs = ", ".join(f"cast('{p}' as bigint)" for p in self.pairs)
+        start = f"cast(i div {STRIDE} as int) * {STRIDE} + 1"
+        # Pair i lies in the window of its own stride and, if not the last of it, in the one before.
+        both = f"if(i >= {STRIDE} and i % {STRIDE} < {WINDOW - 1 - STRIDE}, array({start}, {start} - {STRIDE}), array({start}))"
+        hits = f"filter(sequence(0, size(_pairs) - 1), i -> get(_pairs, i) in ({pairs}))"
+        return f"if(size(_pairs) > 0, array_distinct(flatten(transform({hits}, i -> {both}))), cast(array() as array<int>))"
 
-    def band_rows(self) -> Column:
-        columns = [F.array(*[F.lit(r[c]) for r in self.bands]) for c in range(3)]
-        return F.arrays_zip(*[c.alias(n) for c, n in zip(columns, ("t", "band", "value"))])
+    def band_minima(self) -> str:
+        """Per band the minima of all pieces."""
+        return "array(" + ", ".join(_numbers(sorted({v for _, k, v in self.bands if k == b})) for b in range(BANDS)) + ")"
 
-    def shingle_rows(self) -> Column:
-        return F.array(*[F.array(*[F.lit(v) for v in s]) for s in self.shingles])
+    def band_rows(self) -> str:
+        """(template, band, minimum) of all pieces."""
+        columns = (_numbers(r[c] for r in self.bands) for c in range(3))
+        return "transform(arrays_zip({}, {}, {}), z -> struct(z.`0` as t, z.`1` as band, z.`2` as value))".format(*columns)
+
+    def shingle_rows(self) -> str:
+        return "array(" + ", ".join(map(_numbers, self.shingles)) + ")"
 
 
 def scanned(df: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
@@ -165,28 +181,28 @@ def scanned(df: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame
     split = F.array_remove(F.split(F.lower(F.coalesce(F.col(number(names, text)), F.lit(""))), SEPARATORS, -1), "")
     df = bound(df, "_words", split)
     df = bound(df, "_pairs", F.expr(_runs_of("_words", 2)))
-    df = bound(df, "_starts", F.expr(f"if(size(_pairs) > 0, sequence(1, size(_pairs), {STRIDE}), cast(array() as array<int>))"))
-    window = f"transform(_starts, s -> array_min(slice(m, s, {WINDOW - 1})))"
-    df = df.withColumn("_known", known.band_minima())
+    df = bound(df, "_starts", F.expr(known.window_starts()))
     met = (
-        f"flatten(transform({known.points}, (p, k) -> transform(element_at(transform(array(transform(_pairs, x -> x ^ p)),"
-        f" m -> array_intersect({window}, get(_known, k))), 1), v -> struct(k as band, v as value))))"
+        f"flatten(transform({known.points}, (p, k) -> transform(array_intersect({_minima('_pairs', '_starts')},"
+        f" get({known.band_minima()}, k)), v -> struct(k as band, v as value))))"
+    )
+    df = bound(df, "_met", F.when(F.size("_starts") > 0, F.expr(met)))
+    mine = F.expr(
+        f"array_distinct(transform(filter({known.band_rows()}, r -> exists(_met, m -> m.band = r.band and m.value = r.value)), r -> r.t))"
     )
-    df = bound(df, "_met", F.expr(met)).drop("_known")
-    none = F.array().cast("array<int>")
-    df = df.withColumn("_rows", known.band_rows())
-    mine = F.expr("array_distinct(transform(filter(_rows, r -> exists(_met, m -> m.band = r.band and m.value = r.value)), r -> r.t))")
-    df = bound(df, "_candidates", F.when(F.size("_met") > 0, mine).otherwise(none)).drop("_rows", "_met")
-    has = F.when(F.size("_candidates") > 0, F.expr(_runs_of("_words", SHINGLE))).otherwise(F.array().cast("array<bigint>"))
-    df = bound(df, "_shingles", has)
-    df = df.withColumn("_templates", known.shingle_rows()).withColumn("_ids", F.array(*[F.lit(i) for i in known.ids]))
+    none = F.array().cast("array<bigint>")
+    df = bound(df, "_candidates", F.when(F.size("_met") > 0, mine).otherwise(none))
+    df = bound(df, "_shingles", F.when(F.size("_candidates") > 0, F.expr(_runs_of("_words", SHINGLE))).otherwise(none))
+    templates = known.shingle_rows()
     verified = F.expr(
-        f"filter(_candidates, t -> 100 * size(array_intersect(get(_templates, t), _shingles)) >= {CONTAINED} * size(get(_templates, t)))"
+        f"filter(_candidates, t -> 100 * size(array_intersect(get({templates}, cast(t as int)), _shingles))"
+        f" >= {CONTAINED} * size(get({templates}, cast(t as int))))"
     )
-    df = bound(df, "_found", verified)
-    ids = F.sort_array(F.array_distinct(F.expr("transform(_found, t -> get(_ids, t))")))
+    df = bound(df, "_found", F.when(F.size("_candidates") > 0, verified).otherwise(none))
+    names_of = F.array(*[F.lit(i) for i in known.ids])
+    ids = F.sort_array(F.array_distinct(F.transform("_found", lambda t: F.get(names_of, t.cast("int")))))
     results = {
-        "n_words": F.size("_words").cast("long"), "n_windows": F.size("_starts").cast("long"),
+        "n_words": F.size("_words").cast("long"), "n_windows": F.ceil(F.size("_pairs") / STRIDE).cast("long"),
         "n_candidates": F.size("_candidates").cast("long"), "n_licenses": F.size(ids).cast("long"), "licenses": F.array_join(ids, ","),
     }
     return restored(df.withColumns(results), names, *results)
