@@ -43,7 +43,10 @@ N = 5
 #: Similarity as a fraction: linked if DEN * common >= NUM * union.
 NUM, DEN = 4, 5
 #: Shingles known as frequent, at most (some megabytes on each worker), and from what count.
-FREQUENT, LEAST_LEVEL = 1 << 20, 3
+FREQUENT, LEAST_LEVEL = 1 << 19, 4
+#: A set is counted whole if one in so many of its smallest shingles is frequent; and shingles
+#: that a task counts at a time.
+CHANGED, COUNTED = 8, 1 << 20
 #: Pairs of one representative verified in one place, and entries of a list in one block.
 GROUP, BLOCK = 2_000, 8_192
 #: Rows that a side may have to be broadcast; a larger one is joined by shuffle.
@@ -79,26 +82,34 @@ def prefix_size(n: int) -> int:
 
 
 def _token_counts(common=None):
-    """How often each shingle is among the smallest of a set, counted per batch; with known
-    frequent shingles: how often each is in a set that has one of them among its smallest."""
+    """How often each shingle is among the smallest of a set, counted part by part; with known
+    frequent shingles: how often each is in a set with many of them among its smallest."""
+
+    def counted(found):
+        token, n = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.int64), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], names=["token", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if common is None else common.value[0]
         seen: set[int] = set()
+        found, held = [], 0
         for batch in batches:
-            found = [np.zeros(0, dtype=np.int64)]
             for s in shingle_sets(batch.column(0)):
                 c = class_of(s)
                 if c is None or c in seen:
                     continue
                 seen.add(c)
                 first = s[: prefix_size(len(s))]
-                if known is None:
-                    found.append(first)
-                elif (known[np.minimum(np.searchsorted(known, first), len(known) - 1)] == first).any():
-                    found.append(s)
-            token, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], names=["token", "n"])
+                if known is not None:
+                    hits = known[np.minimum(np.searchsorted(known, first), len(known) - 1)] == first
+                    if CHANGED * np.count_nonzero(hits) < len(first):
+                        continue
+                found.append(first if known is None else s)
+                held += len(found[-1])
+                if held >= COUNTED:
+                    yield counted(found)
+                    found, held = [], 0
+        yield counted(found)
 
     return run
 
@@ -108,8 +119,8 @@ def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     their counts), counted over all texts.
 
     First among the smallest shingles of every set; then among all shingles of those sets
-    that have such a one, as their prefixes are what is going to change. So a passage or a
-    group of near copies is known by all its shingles, while texts like no other add none.
+    that have many of these, as their prefixes are what is going to change. So a passage or
+    a group of near copies is known by all its shingles, while other texts add none.
     """
     first = _most_frequent(texts.mapInArrow(_token_counts(), "token long, n long"))
     if not len(first[0]):
