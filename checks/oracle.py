@@ -11,7 +11,7 @@ from maskwright.functions.places import CITIES, STATES, STREET_TYPES, STREETS
 
 KEY = "correctness-check-key"
 PROJECT = "project:checks"
-RUN = "run:run-1"
+RUN = "run:checks/run-1"
 
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
@@ -217,9 +217,22 @@ _KNOWN_ATTRIBUTE = (
     f"exists (select 1 from catalog c where c.table_norm = {_TABLE_ID}"
     ' and c."column" = r.attribute)'
 )
-_PARENT = f"""select "column", count(*) as n_present, min(position) as min_position,
-  max(position) as max_position, min(type) as min_type, max(type) as max_type
-  from catalog group by "column" """
+_INVALID = f"""problems as (
+        select 'UNKNOWN_TABLE' as code, r.* from rules r where not {_KNOWN_TABLE}
+        union all select 'UNKNOWN_ATTRIBUTE', r.* from rules r
+          where {_KNOWN_TABLE} and not {_KNOWN_ATTRIBUTE}
+        union all select 'UNKNOWN_RULE', r.* from rules r where "rule" not in ({_ALL_RULES})
+        union all select 'BAD_REF_INTEGRITY', r.* from rules r
+          where coalesce(ref_integrity, '') not in ('Y', 'N')
+        union all select 'UNSUPPORTED_TYPE', r.* from rules r
+          join catalog c on c.table_norm = {_TABLE_ID} and c."column" = r.attribute
+          where "rule" in ({_ALL_RULES}) and type <> 'string'
+            and (type not in ('int', 'bigint', 'double') or "rule" in ({_TEXT_ONLY}))),
+  invalid as (
+        select code, "table", attribute, count(*) as n_rules, min(ordinal) as first_ordinal
+        from problems group by all
+        union all select 'DUPLICATE_RULE', "table", attribute, count(*), min(ordinal)
+        from rules group by "table", attribute having count(*) > 1)"""
 
 
 def _job_row(table: str, status: str, message: str = "null", rows: str = "null") -> str:
@@ -230,6 +243,35 @@ def _job_row(table: str, status: str, message: str = "null", rows: str = "null")
     )
 
 
+def _long(name: str, key: str, **values: str) -> str:
+    return " union all ".join(
+        f"select '{name}' as \"table\", {key} as key, '{c}' as attribute, ({v})::varchar as value from {name}"
+        for c, v in values.items()
+    )
+
+
+def _scientific(mantissa: str, exponent: str) -> str:
+    """A masked double with an exponent, of text 1.25E-7: the part before the E is masked."""
+    masked = std("x.m").replace(seed("x.m", PROJECT), seed("x.m || 'E' || x.e", PROJECT))
+    return (
+        f"list_transform([{{'m': {mantissa}, 'e': ({exponent})::varchar}}],"
+        f" lambda x: ({masked} || 'E' || x.e)::double)[1]"
+    )
+
+
+def small(value: str) -> str:
+    """DuckDB writes 1e-07 for 1.0E-7."""
+    m, e = (f"split_part(({value})::varchar, 'e', {i})" for i in (1, 2))
+    return _scientific(f"case when {m} like '%.%' then {m} else {m} || '.0' end", f"{e}::int")
+
+
+def large(value: str) -> str:
+    """A negative whole number beyond 10^7: -1.25E8."""
+    digits = f"ltrim(({value})::bigint::varchar, '-')"
+    fraction = f"coalesce(nullif(rtrim({digits}[2:], '0'), ''), '0')"
+    return _scientific(f"'-' || {digits}[1] || '.' || {fraction}", f"length({digits}) - 1")
+
+
 _JOB_MASKED = ("customer", "orders", "supplier", "conversations")
 
 ORACLE: dict[str, str] = {
@@ -276,21 +318,7 @@ ORACLE: dict[str, str] = {
     "rules_unknown_table": f"with {RULES}, {CATALOG} select r.* from rules r where not {_KNOWN_TABLE}",
     "rules_unknown_attribute": f"""with {RULES}, {CATALOG} select r.* from rules r
         where {_KNOWN_TABLE} and not {_KNOWN_ATTRIBUTE}""",
-    "rules_invalid": f"""with {RULES}, {CATALOG}, problems as (
-        select 'UNKNOWN_TABLE' as code, r.* from rules r where not {_KNOWN_TABLE}
-        union all select 'UNKNOWN_ATTRIBUTE', r.* from rules r
-          where {_KNOWN_TABLE} and not {_KNOWN_ATTRIBUTE}
-        union all select 'UNKNOWN_RULE', r.* from rules r where "rule" not in ({_ALL_RULES})
-        union all select 'BAD_REF_INTEGRITY', r.* from rules r
-          where coalesce(ref_integrity, '') not in ('Y', 'N')
-        union all select 'UNSUPPORTED_TYPE', r.* from rules r
-          join catalog c on c.table_norm = {_TABLE_ID} and c."column" = r.attribute
-          where "rule" in ({_ALL_RULES}) and type <> 'string'
-            and (type not in ('int', 'bigint', 'double') or "rule" in ({_TEXT_ONLY})))
-        select code, "table", attribute, count(*) as n_rules, min(ordinal) as first_ordinal
-        from problems group by all
-        union all select 'DUPLICATE_RULE', "table", attribute, count(*), min(ordinal)
-        from rules group by "table", attribute having count(*) > 1""",
+    "rules_invalid": f"with {RULES}, {CATALOG}, {_INVALID} select * from invalid",
     "rules_conflicting": f"""with {RULES} select attribute,
         count(distinct ("rule", coalesce(ref_integrity, ''))) as n_treatments, count(*) as n_rules
         from rules group by attribute
@@ -334,27 +362,11 @@ ORACLE: dict[str, str] = {
             ('card_no', 'Credit Card', 'card_no', card('card_no')),
             ('address', 'Physical Address', 'address', address('address', RUN)),
             ('c_acctbal', 'Standard', 'c_acctbal', double('c_acctbal'))))}""",
-    "file_inventory": f"""with {CATALOG} select distinct '' as rel_dir, "table",
-        "table" || '.parquet' as file_name, 'parquet' as format, 'file' as layout from catalog""",
-    "table_names": f'with {CATALOG} select distinct "table", table_norm from catalog',
-    "file_counts": f"""with {CATALOG} select 'parquet' as format,
-        count(distinct "table") as n_files from catalog""",
-    "catalog_columns": f'with {CATALOG} select "table", table_norm, "column", position, type from catalog',
-    "catalog_wide": f"""with {CATALOG} select position, {', '.join(
-        f"max(case when table_norm = '{t}' then \"column\" end) as {t}" for t in sorted(TABLES))}
-        from catalog group by position""",
     "catalog_normalized": f"""with {CATALOG}, names as (select "table" as n from catalog
         union select o_orderpriority from orders union select p_name from part
         union select url from pages)
         select regexp_replace(n, '[ -]', '_', 'g') as table_norm, count(*) as n_names,
         min(n) as first_name from names group by 1""",
-    "catalog_mismatch": f"""with {CATALOG} select 'root' as "table", *,
-        (select count(distinct "table") from catalog) as n_datasets from ({_PARENT})
-        where n_present < (select count(distinct "table") from catalog)
-          or min_position < max_position or min_type < max_type""",
-    "catalog_roll_up": f"""with {CATALOG} select 'root' as "table", "column",
-        min("table" || '.parquet') as dataset, arg_min(position, "table") as position
-        from catalog group by "column" """,
     "mask_job": " union all ".join(
         [_job_row(t, "masked", rows="count(*)") for t in _JOB_MASKED]
         + [
@@ -363,10 +375,31 @@ ORACLE: dict[str, str] = {
             if t not in _JOB_MASKED and t != "events"
         ]
         + [
-            _job_row("events", "invalid_rules", "'UNSUPPORTED_TYPE ts'"),
-            "select 'warehouse', null, 'invalid_rules', null, 'UNKNOWN_TABLE w_name'",
+            _job_row("events", "invalid_rules", "'UNSUPPORTED_TYPE 1'"),
+            "select 'warehouse', null, 'invalid_rules', null, 'UNKNOWN_TABLE 1'",
         ]
     ),
-    "mask_job_output": f"""select c_custkey, {standard('c_name')} as c_name, c_nationkey,
-        ({std('c_acctbal::varchar', RUN)})::double as c_acctbal, c_mktsegment from customer""",
+    "mask_job_output": " union all ".join((
+        _long("customer", "c_custkey::varchar", c_name=standard("c_name"), c_nationkey="c_nationkey",
+              c_acctbal=f"({std('c_acctbal::varchar', RUN)})::double", c_mktsegment="c_mktsegment"),
+        _long("orders", "o_orderkey::varchar", o_custkey=bigint("o_custkey"), o_orderstatus="o_orderstatus",
+              o_orderpriority="o_orderpriority"),
+        _long("supplier", "s_suppkey::varchar", s_name=full_name("s_name"), s_nationkey="s_nationkey",
+              s_acctbal=f"({age('s_acctbal::varchar', RUN)})::double"),
+        _long("conversations", "conv_id || '/' || turn", role="role", text=standard("text")),
+    )),
+    "job_status": f"""with {RULES}, {CATALOG}, {_INVALID},
+        m as (select regexp_replace("table", '[ -]', '_', 'g') as t, string_agg(code || ' ' || n, '; '
+          order by code || ' ' || n) as message from (select "table", code, count(*) as n from invalid
+          group by "table", code) group by 1),
+        t as (select distinct "table" from catalog)
+        select coalesce("table", m.t) as "table",
+          case when m.t is not null then 'invalid_rules' when "table" in ('supplier', 'conversations')
+            then 'masked' else 'no_rules' end as status,
+          case "table" when 'supplier' then (select count(*) from supplier)
+            when 'conversations' then (select count(*) from conversations) end as n_rows, message
+        from t full join m on m.t = t."table" """,
+    "mask_double_exponent": f"""select l_orderkey, l_linenumber,
+        {small('l_extendedprice * 1e-10')} as small,
+        {large('round(l_extendedprice * 100) * -1e6')} as large from lineitem""",
 }

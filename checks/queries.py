@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +21,7 @@ from maskwright.operators import dictionary as dic
 from maskwright.operators.masking import ColumnRule, mask, mask_column
 from maskwright.plans.job import MaskingConfig, run_job
 from maskwright.sources.dictionary_store import append_entries, load_dictionary
-from maskwright.sources.files import file_counts, inventory
+from maskwright.sources.files import inventory
 
 KEY = "correctness-check-key"
 CONTEXT = MaskContext(KEY, project="checks", run_id="run-1")
@@ -46,10 +49,16 @@ DICTIONARY_RULES = [
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder every executor can reach; machine-local only without a cluster."""
+    """A new folder every executor can reach, below ``spark.checkpoint.dir``.
+
+    Only a local session may do without that setting; its folder goes with the process.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        return tempfile.mkdtemp(prefix="maskwright-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="maskwright-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/maskwright-{uuid.uuid4()}"
 
 
@@ -158,7 +167,7 @@ def rules_first_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unruled_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return rulebook.unruled_tables(inventory(spark, sf).select("table"), event_rules(spark, sf))
+    return rulebook.unruled_tables(inventory(spark, sf), event_rules(spark, sf))
 
 
 def rules_unknown_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,27 +271,6 @@ def mask_unchanged(spark: SparkSession, sf: str) -> DataFrame:
 # -------------------------------------------------------------------- catalog
 
 
-def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return inventory(spark, sf).select("rel_dir", "table", "file_name", "format", "layout")
-
-
-def table_names(spark: SparkSession, sf: str) -> DataFrame:
-    names = inventory(spark, sf).select("table", rulebook.table_id(F.col("table")).alias("table_norm"))
-    return names.distinct()
-
-
-def data_file_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return file_counts(inventory(spark, sf))
-
-
-def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return cat.catalog(spark, sf).select("table", "table_norm", "column", "position", "type")
-
-
-def catalog_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return cat.wide(cat.catalog(spark, sf))
-
-
 def catalog_normalized(spark: SparkSession, sf: str) -> DataFrame:
     """Names from the catalog and, for want of odd ones there, from the data."""
     tables = cat.catalog(spark, sf).select("table")
@@ -292,17 +280,6 @@ def catalog_normalized(spark: SparkSession, sf: str) -> DataFrame:
     return cat.name_clashes(tables.union(priorities).union(parts).union(urls))
 
 
-def catalog_mismatch(spark: SparkSession, sf: str) -> DataFrame:
-    """All tables taken as parts of one parent directory."""
-    parent = cat.catalog(spark, sf).withColumn("table", F.lit("root"))
-    return cat.schema_mismatches(parent)
-
-
-def catalog_roll_up(spark: SparkSession, sf: str) -> DataFrame:
-    parent = cat.catalog(spark, sf).withColumn("table", F.lit("root")).withColumn("table_norm", F.lit("root"))
-    return cat.roll_up(parent).select("table", "column", "dataset", "position")
-
-
 # ------------------------------------------------------------------------ job
 
 JOB_RULES = [
@@ -331,10 +308,46 @@ def mask_job(spark: SparkSession, sf: str) -> DataFrame:
     return summary.select("table", "format", "status", "n_rows", "message")
 
 
+def _long(df: DataFrame, name: str, keys: tuple[str, ...], columns: tuple[str, ...]) -> DataFrame:
+    """A table as rows (table, key, attribute, value), all text."""
+    values = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in columns]), F.array(*[F.col(c).cast("string") for c in columns])
+    )
+    return df.select(F.lit(name).alias("table"), F.concat_ws("/", *keys).alias("key"), F.explode(values).alias("attribute", "value"))
+
+
+WRITTEN = {
+    "customer": (("c_custkey",), ("c_name", "c_nationkey", "c_acctbal", "c_mktsegment")),
+    "orders": (("o_orderkey",), ("o_custkey", "o_orderstatus", "o_orderpriority")),
+    "supplier": (("s_suppkey",), ("s_name", "s_nationkey", "s_acctbal")),
+    "conversations": (("conv_id", "turn"), ("role", "text")),
+}
+
+
 def mask_job_output(spark: SparkSession, sf: str) -> DataFrame:
-    """What the job wrote for one table."""
+    """What the job wrote, for all its tables."""
     _, output = _job(spark, sf, dictionary=False)
-    return spark.read.parquet(f"{output}/customer.parquet")
+    parts = [
+        _long(spark.read.parquet(f"{output}/{name}.parquet"), name, *shape) for name, shape in WRITTEN.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def job_status(spark: SparkSession, sf: str) -> DataFrame:
+    """A rulebook with every kind of error beside good tables: only the faulty ones stay out."""
+    good = rulebook.rulebook(spark, [r for r in JOB_RULES if r[0] in ("supplier", "conversations")])
+    config = MaskingConfig(project="checks", key=KEY, input=sf, output=f"{shared_folder(spark)}/masked")
+    summary = run_job(spark, config, event_rules(spark, sf).unionByName(good))
+    return summary.select("table", "status", "n_rows", "message")
+
+
+def mask_double_exponent(spark: SparkSession, sf: str) -> DataFrame:
+    """Very small and very large doubles keep their exponent; their digits are replaced."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") * F.lit(1e-10)).alias("small"),
+        (F.round(F.col("l_extendedprice") * 100) * F.lit(-1e6)).alias("large"),
+    )
+    return mask(lines, [ColumnRule("small", "Standard"), ColumnRule("large", "Standard")], CONTEXT)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -372,14 +385,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dict_roundtrip": dict_roundtrip,
     "mask_collisions": mask_collisions,
     "mask_unchanged": mask_unchanged,
-    "file_inventory": file_inventory,
-    "table_names": table_names,
-    "file_counts": data_file_counts,
-    "catalog_columns": catalog_columns,
-    "catalog_wide": catalog_wide,
     "catalog_normalized": catalog_normalized,
-    "catalog_mismatch": catalog_mismatch,
-    "catalog_roll_up": catalog_roll_up,
     "mask_job": mask_job,
     "mask_job_output": mask_job_output,
+    "job_status": job_status,
+    "mask_double_exponent": mask_double_exponent,
 }

@@ -62,14 +62,15 @@ class MaskContext:
     """Who masks, and how far equal values stay equal.
 
     ``key`` is the secret.  ``project`` names the lasting scope (referential
-    integrity ``Y``), ``run_id`` the scope of a single run (``N``).
+    integrity ``Y``), ``run_id`` the scope of a single run of it (``N``); without a run
+    id such rules are refused, as their masks would be the same in all runs.
     ``text_engine`` says how text is replaced: on Arrow batches (``arrow``), or
     by column expressions only (``columns``).  Results are the same.
     """
 
     key: str = field(repr=False)
     project: str = "default"
-    run_id: str = "single-run"
+    run_id: str | None = None
     text_engine: str = "arrow"
 
     def __post_init__(self) -> None:
@@ -82,7 +83,9 @@ class MaskContext:
         if ref_integrity == "Y":
             return f"project:{self.project}"
         if ref_integrity == "N":
-            return f"run:{self.run_id}"
+            if not self.run_id:
+                raise ValueError("a rule of a single run needs a run id")
+            return f"run:{self.project}/{self.run_id}"
         raise ValueError(f"Ref Integrity must be Y or N, not {ref_integrity!r}")
 
     def tag(self, scope: str) -> str:
@@ -198,16 +201,10 @@ def canonical_text(value: Column, dtype: T.DataType) -> Column:
     """The text under which a value is hashed, masked and looked up.
 
     Integers and strings holding the same digits agree, so a key that is a
-    number in one table and text in another is masked alike.  Floating-point
-    values are written without an exponent; null if that takes too many digits.
+    number in one table and text in another is masked alike.  Very small and very
+    large floating-point values have an exponent: ``1.25E-7``.
     """
-    if is_text(dtype):
-        return value
-    text = value.cast("string")
-    if isinstance(dtype, FLOATS):
-        plain = F.rtrim(value.try_cast("decimal(38,6)").cast("string"), F.lit("0"))
-        return F.when(text.contains("E"), plain).otherwise(text)
-    return text
+    return value if is_text(dtype) else value.cast("string")
 
 
 def not_a_number(value: Column, dtype: T.DataType) -> Column | None:
@@ -218,26 +215,36 @@ def not_a_number(value: Column, dtype: T.DataType) -> Column | None:
 
 
 def mask_number_text(text: Column, seed: Column) -> Column:
-    """``mask_text`` for plain decimal numbers: ``-``, digits, ``.``, digits.
+    """``mask_text`` for numbers: ``-``, digits, ``.``, digits; an exponent is kept.
 
-    Such a text has at most four runs, all served by the first block, so the
-    common case needs no lambda and compiles.  Same result as ``mask_text``.
+    Such a text has at most five runs, so the common case needs no lambda and
+    compiles.  Same result as ``mask_text`` of the part before the exponent.
     """
+    exponent = F.regexp_extract(text, "E-?\\d+$", 0)
+    mantissa = F.substring_index(text, "E", 1)
+    return F.concat(_mantissa(mantissa, seed), exponent)
+
+
+def _mantissa(text: Column, seed: Column) -> Column:
     negative = text.startswith("-")
     point = F.instr(text, ".")
     whole_length = F.when(point > 0, point - 1).otherwise(F.length(text)) - negative.cast("int")
     part_length = F.when(point > 0, F.length(text) - point).otherwise(0)
     whole_word = F.when(negative, _word(seed, 1)).otherwise(_word(seed, 0))
     part_word = F.when(negative, _word(seed, 3)).otherwise(_word(seed, 2))
+    # Digits beyond one run: the fourth word, or the first one of the next block.
+    rest_word = F.when(negative, _word(F.sha2(F.concat(seed, F.lit("|1")), 256), 0)).otherwise(_word(seed, 3))
     whole = _number_text(whole_word, 10, whole_length)
-    part = _number_text(part_word, 10, part_length)
+    part = _number_text(part_word, 10, F.least(part_length, F.lit(LONGEST_RUN)))
+    rest = _number_text(rest_word, 10, part_length - LONGEST_RUN)
     return F.when(
-        whole_length.between(1, LONGEST_RUN) & (part_length <= LONGEST_RUN),
+        whole_length.between(1, LONGEST_RUN) & (part_length <= 2 * LONGEST_RUN),
         F.concat(
             F.when(negative, F.lit("-")).otherwise(F.lit("")),
             whole,
             F.when(point > 0, F.lit(".")).otherwise(F.lit("")),
             F.when(part_length > 0, part).otherwise(F.lit("")),
+            F.when(part_length > LONGEST_RUN, rest).otherwise(F.lit("")),
         ),
     ).otherwise(mask_text(text, seed))
 
@@ -266,4 +273,6 @@ def restore_type(masked: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DecimalType) and dtype.precision == dtype.scale:
         # No digit is allowed before the point, so the leading zero stays.
         number = F.regexp_replace(masked, r"^(-?)\d\.", "$10.").try_cast(name)
+    if isinstance(dtype, FLOATS):
+        number = F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
     return F.coalesce(number, too_wide(dtype))

@@ -20,11 +20,12 @@ def collisions(
     Masks are computed once per distinct original.  Joins on a masked key fan
     out exactly on these values.
     """
-    originals = df.select(quoted(attribute).alias("masked")).distinct()
-    masked = mask_column(originals, "masked", rule_name, context, ref_integrity)
+    # Nulls go before anything is masked: a condition on the mask would be pushed below
+    # the distinct, and every row masked to test it.
+    originals = df.select(quoted(attribute).alias("masked")).where(F.col("masked").isNotNull())
+    masked = mask_column(originals.distinct(), "masked", rule_name, context, ref_integrity)
     return (
-        masked.where(F.col("masked").isNotNull())
-        .groupBy("masked")
+        masked.groupBy("masked")
         .agg(F.count("*").alias("n_originals"))
         .where("n_originals > 1")
     )

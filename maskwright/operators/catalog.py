@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from maskwright.operators.rulebook import table_id
@@ -67,10 +67,15 @@ def catalog(spark: SparkSession, root: str) -> DataFrame:
 
 
 def wide(catalog_df: DataFrame) -> DataFrame:
-    """One column per table, its column names below each other."""
-    return (
-        catalog_df.groupBy("position").pivot("table_norm").agg(F.min("column")).orderBy("position")
-    )
+    """One column per table, its column names below each other, numbered from 1.
+
+    Datasets of a table count once (``roll_up``).  Tables keep their own names, as two of
+    them can share a normalised one (``name_clashes``).
+    """
+    order = Window.partitionBy("table").orderBy("dataset", "position")
+    rolled = roll_up(catalog_df).withColumn("position", F.row_number().over(order))
+    tables = sorted(r["table"] for r in catalog_df.select("table").distinct().collect())
+    return rolled.groupBy("position").pivot("table", tables).agg(F.min("column"))
 
 
 def name_clashes(names: DataFrame) -> DataFrame:

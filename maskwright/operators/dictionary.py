@@ -43,11 +43,24 @@ def empty_dictionary(spark: SparkSession) -> DataFrame:
 def first_wins(candidates: DataFrame) -> DataFrame:
     """Of several (scope, original, masked, ord) rows per original the earliest.
 
-    An aggregate that combines before the shuffle, whatever one value's share is.
+    Rows of one original and the same ``ord`` are taken for the same entry.
     """
-    return candidates.groupBy("scope", "original").agg(
-        F.min_by("masked", "ord").alias("masked")
-    )
+    return earliest(candidates, ("scope", "original"), "ord").drop("ord").distinct()
+
+
+def least_order(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The smallest ``order`` of each key: a hash aggregate that combines before the shuffle."""
+    return rows.groupBy(*keys).agg(F.min(order).alias(order))
+
+
+def earliest(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The rows that come first for their key.  Only numbers are aggregated, as texts would
+    be sorted for it; the other columns are fetched for the winners."""
+    first = least_order(rows, keys, order).toDF(*[f"__first_{i}" for i in range(len(keys) + 1)])
+    on = F.col(order) == F.col(f"__first_{len(keys)}")
+    for i, key in enumerate(keys):
+        on = on & F.col(key).eqNullSafe(F.col(f"__first_{i}"))
+    return rows.join(first, on, "left_semi")
 
 
 # ---------------------------------------------------------------- new entries
@@ -151,7 +164,7 @@ def new_entries(
             masks[f"mask_{n}"] = r.masked_key(own, RuleContext(context, dtype))
         texts.append(_dictionary_text(F.col(f"mask_{n}"), F.col("original"), dtype))
 
-    distinct = found.groupBy("scope", "original").agg(F.min("ord").alias("ord"))
+    distinct = least_order(found, ("scope", "original"), "ord")
     fresh = distinct.join(existing, ["scope", "original"], "left_anti")
     return fresh.withColumns(masks).select(
         "scope", "original", F.coalesce(*texts).alias("masked")

@@ -12,14 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.functions.rules import accepts_type, rule_names
+from maskwright.operators.dictionary import earliest
 from maskwright.operators.masking import ColumnRule
 from maskwright.sources.local import local_frame
 
 RULES_SCHEMA = "table string, attribute string, rule string, ref_integrity string, ordinal int"
 
-# A rulebook is written by people; planning a job reads all of it.
-MAX_RULES = 1_000_000
-
 
 def table_id(name: Column) -> Column:
     """The name under which catalog, rulebook and job compare tables."""
@@ -51,19 +49,17 @@ def rules_for_table(rules: DataFrame, table: str) -> DataFrame:
 
 
 def first_match(rules: DataFrame) -> DataFrame:
-    """The earliest rule of every (table, attribute).
-
-    An aggregate, not a window: it combines before the shuffle, so an attribute
-    with very many rows does not end up in one task.
-    """
-    first = F.min(F.struct("ordinal", "rule", "ref_integrity")).alias("first")
-    return rules.groupBy("table", "attribute").agg(first).select("table", "attribute", "first.*")
+    """The earliest rule of every (table, attribute); ordinals are unique."""
+    columns = ("table", "attribute", "ordinal", "rule", "ref_integrity")
+    return earliest(rules, ("table", "attribute"), "ordinal").select(*columns)
 
 
 def unruled_tables(tables: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows of ``tables`` (with a ``table`` column) no rule speaks of."""
+    """The names in ``tables`` (columns ``table`` and ``format``, a row per file) that no rule
+    speaks of; files that are no data belong to no table."""
     ruled = rules.select(table_id(F.col("table")).alias("__id")).distinct()
-    return tables.join(ruled, table_id(F.col("table")) == F.col("__id"), "left_anti")
+    named = tables.where(F.col("format").isNotNull()).select("table").distinct()
+    return named.join(ruled, table_id(F.col("table")) == F.col("__id"), "left_anti")
 
 
 def unknown_tables(rules: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -87,18 +83,20 @@ def invalid_rules(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     ``n_rules`` counts the rules concerned, ``first_ordinal`` points to the first.
     One scan of the rules and one aggregate, combined before its shuffle.
     """
-    tables = catalog.select("table_norm").distinct().withColumn("__has_table", F.lit(True))
+    tables = catalog.groupBy(F.col("table_norm").alias("__norm")).agg(
+        F.collect_set("table").alias("__tables")
+    )
     columns = catalog.groupBy(
         F.col("table_norm").alias("__table"), F.col("column").alias("__column")
-    ).agg(F.min("type").alias("__type"))
+    ).agg(F.collect_set("type").alias("__types"))
     id_ = table_id(F.col("table"))
-    checked = rules.join(tables, id_ == F.col("table_norm"), "left").join(
+    checked = rules.join(tables, id_ == F.col("__norm"), "left").join(
         columns, (id_ == F.col("__table")) & (F.col("attribute") == F.col("__column")), "left"
     )
-    has_table, has_column = F.col("__has_table").isNotNull(), F.col("__type").isNotNull()
+    has_table, has_column = F.col("__tables").isNotNull(), F.col("__types").isNotNull()
     known_rule = F.coalesce(F.col("rule").isin(rule_names()), F.lit(False))
     flag_ok = F.coalesce(F.col("ref_integrity").isin("Y", "N"), F.lit(False))
-    supported = accepts_type(F.col("rule"), F.col("__type"))
+    supported = F.forall("__types", lambda t: accepts_type(F.col("rule"), t))
     # Every rule also counts as itself, to find those that are not alone.
     codes = F.array(
         F.when(~has_table, "UNKNOWN_TABLE"),
@@ -108,15 +106,26 @@ def invalid_rules(rules: DataFrame, catalog: DataFrame) -> DataFrame:
         F.when(has_column & known_rule & ~supported, "UNSUPPORTED_TYPE"),
         F.lit("DUPLICATE_RULE"),
     )
+    coded = checked.withColumn("code", F.explode(codes)).where(F.col("code").isNotNull())
+    # Duplicates meet under the table they resolve to, however they spell it.
+    resolved = F.when(
+        F.col("code") == "DUPLICATE_RULE", resolved_tables(F.col("table"), F.col("__tables"))
+    ).otherwise(F.array("table"))
     return (
-        checked.select(F.explode(codes).alias("code"), "table", "attribute", "ordinal")
-        .where(F.col("code").isNotNull())
+        coded.select("code", F.explode(resolved).alias("table"), "attribute", "ordinal")
         .groupBy("code", "table", "attribute")
         .agg(F.count("*").alias("n_rules"), F.min("ordinal").alias("first_ordinal"))
         .where((F.col("code") != "DUPLICATE_RULE") | (F.col("n_rules") > 1))
     )
 
 
+def resolved_tables(name: Column, candidates: Column) -> Column:
+    """The tables a rule's table name means: the one of that very name, else all of the same
+    normalised name, else the name itself."""
+    own = F.array(name)
+    return F.when(F.array_contains(candidates, name), own).otherwise(F.coalesce(candidates, own))
+
+
 def conflicting_rules(rules: DataFrame) -> DataFrame:
     """Attribute names that are treated differently in different places."""
     return (
@@ -131,13 +140,20 @@ def conflicting_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def plan_rules(rules: DataFrame) -> dict[str, list[ColumnRule]]:
-    """The rulebook on the driver, by table, for planning a job."""
-    rows = rules.orderBy("ordinal").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"a rulebook may hold at most {MAX_RULES} rules")
+def errors_by_table(rules: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(table_norm, code, n): how many errors of each code a table has."""
+    errors = invalid_rules(rules, catalog)
+    return errors.groupBy(table_id(F.col("table")).alias("table_norm"), "code").agg(F.count("*").alias("n"))
+
+
+def plan_rules(rules: DataFrame, tables: DataFrame) -> dict[str, list[ColumnRule]]:
+    """The rules of the tables in ``tables(table_norm)`` on the driver, by table name.
+
+    Where these have no duplicates, there is at most one rule per column.
+    """
+    mine = rules.join(tables.select("table_norm").distinct(), table_id(F.col("table")) == F.col("table_norm"), "left_semi")
     plan: dict[str, list[ColumnRule]] = {}
-    for row in rows:
+    for row in mine.orderBy("ordinal").collect():
         plan.setdefault(row["table"], []).append(
             ColumnRule(row["attribute"], row["rule"], row["ref_integrity"], row["ordinal"])
         )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from maskwright.functions.rules import rule
 from maskwright.operators.catalog import catalog_of, read_all
 from maskwright.operators.dictionary import Lookups, apply_dictionary, new_entries
 from maskwright.operators.masking import ColumnRule, mask
-from maskwright.operators.rulebook import MAX_RULES, invalid_rules, plan_rules, read_rulebook
+from maskwright.operators.rulebook import errors_by_table, invalid_rules, plan_rules, read_rulebook, table_id
 from maskwright.sources.dictionary_store import append_entries, load_dictionary
 from maskwright.sources.files import (
     Dataset,
@@ -30,7 +31,8 @@ from maskwright.sources.local import local_frame
 _Item = tuple[Dataset, DataFrame, list[ColumnRule]]
 
 SUMMARY_SCHEMA = (
-    "table string, dataset string, format string, status string, n_rows long, message string"
+    "table string, dataset string, format string, status string, n_rows long, message string,"
+    " run_id string"
 )
 
 
@@ -38,7 +40,8 @@ SUMMARY_SCHEMA = (
 class MaskingConfig:
     """One project: where its data, rulebook and dictionary are, and its key.
 
-    Without ``dictionary`` masks come from the generator alone.
+    Without ``dictionary`` masks come from the generator alone.  Without ``run_id`` each
+    run draws its own, so that masks of rules with flag ``N`` differ from run to run.
     """
 
     project: str
@@ -47,7 +50,7 @@ class MaskingConfig:
     output: str
     rulebook: str | None = None
     dictionary: str | None = None
-    run_id: str = "single-run"
+    run_id: str | None = None
     overwrite: bool = False
     csv_multiline: bool = True
     tables_at_once: int = 4
@@ -70,9 +73,9 @@ class _Outcome:
     n_rows: int | None = None
     message: str | None = None
 
-    def row(self) -> tuple:
+    def row(self, run_id: str) -> tuple:
         d = self.dataset
-        return (d.table, d.path, d.format, self.status, self.n_rows, self.message)
+        return (d.table, d.path, d.format, self.status, self.n_rows, self.message, run_id)
 
 
 def _normal(name: str) -> str:
@@ -111,39 +114,51 @@ def run_job(
 ) -> DataFrame:
     """Mask every ruled table below ``config.input`` into ``config.output``.
 
-    Returns one summary row per dataset, and one per rulebook error that belongs
-    to no dataset.  Tables without rules are not copied.  A table with a rulebook
-    error, or one that fails, is not written; the others still are.
+    Returns one summary row per dataset, and one per table that the rulebook speaks of
+    but the input lacks.  Tables without rules are not copied.  A table with a rulebook
+    error, or one that fails, is not written; the others still are.  The summary counts
+    errors by code; ``rulebook_errors`` has them one by one.
     """
+    config = replace(config, run_id=config.run_id or uuid.uuid4().hex)
     source, target = qualified(spark, config.input), qualified(spark, config.output)
     if f"{target}/".startswith(f"{source}/"):
         raise ValueError("the output must not lie inside the input")
-    if rules is None:
-        if config.rulebook is None:
-            raise ValueError("a rulebook is required")
-        rules = read_rulebook(spark, config.rulebook)
+    rules = _rules(spark, config, rules)
 
     found = datasets(inventory(spark, config.input))
-    by_table = _rules_by_table(plan_rules(rules), {d.table for d in found})
-    outcomes = [_Outcome(d, "no_rules") for d in found if not by_table[d.table]]
-    ruled = [d for d in found if by_table[d.table]]
+    names = local_frame(spark, [(d.table,) for d in found], "table string").distinct()
+    names = names.select("table", table_id(F.col("table")).alias("table_norm"))
+    spoken = rules.select(table_id(F.col("table")).alias("__norm")).distinct()
+    with_rules = {r["table"] for r in names.join(spoken, F.col("table_norm") == F.col("__norm"), "left_semi").collect()}
+    outcomes = [_Outcome(d, "no_rules") for d in found if d.table not in with_rules]
+    ruled = [d for d in found if d.table in with_rules]
 
     frames = read_all(spark, config.input, ruled, config.csv_multiline)
     catalog = catalog_of(spark, ruled, frames)
-    errors: dict[str, list[str]] = {}
-    for p in invalid_rules(rules, catalog).limit(MAX_RULES).collect():
-        errors.setdefault(_normal(p["table"] or ""), []).append(f"{p['code']} {p['attribute']}")
+    # What comes to the driver is bounded by the tables: a handful of codes for each.
+    errors = errors_by_table(rules, catalog).persist()
+    here = errors.join(names.select("table_norm").distinct(), "table_norm", "left_semi")
+    bad: dict[str, list[str]] = {}
+    for e in here.collect():
+        bad.setdefault(e["table_norm"], []).append(f"{e['code']} {e['n']}")
+    unreadable = {d.table for d, df in zip(ruled, frames) if isinstance(df, Exception)}
+    sound = names.where(~F.col("table_norm").isin([*bad, *map(_normal, unreadable)]))
+    by_table = _rules_by_table(plan_rules(rules, sound), {d.table for d in ruled})
 
     ready: list[_Item] = []
     for d, df in zip(ruled, frames):
         if isinstance(df, Exception):
             outcomes.append(_Outcome(d, "failed", message=_message(df)))
             continue
-        if _normal(d.table) in errors:
-            message = "; ".join(sorted(errors[_normal(d.table)]))
+        if _normal(d.table) in bad:
+            message = "; ".join(sorted(bad[_normal(d.table)]))
             outcomes.append(_Outcome(d, "invalid_rules", message=message))
             continue
-        missing = _missing_columns(df, by_table[d.table])
+        try:
+            missing = _missing_columns(df, by_table[d.table])
+        except Exception as error:  # one table's rules must not stop the others
+            outcomes.append(_Outcome(d, "failed", message=_message(error)))
+            continue
         if missing:
             outcomes.append(_Outcome(d, "failed", message="no column " + ", ".join(missing)))
             continue
@@ -176,18 +191,42 @@ def run_job(
     tables: dict[str, list[_Item]] = {}
     for item in ready:
         tables.setdefault(item[0].path.split("/")[0], []).append(item)
-    with ThreadPoolExecutor(config.tables_at_once) as pool:
-        for part in pool.map(lambda items: [write(i) for i in items], tables.values()):
-            outcomes.extend(part)
-    if lookups is not None:
-        lookups.close()
-
-    rows = [o.row() for o in outcomes]
-    known = {_normal(d.table) for d in found}
-    for table, messages in sorted(errors.items()):
-        if table not in known:
-            rows.append((table, None, None, "invalid_rules", None, "; ".join(sorted(messages))))
-    return local_frame(spark, rows, SUMMARY_SCHEMA)
+    try:
+        with ThreadPoolExecutor(config.tables_at_once) as pool:
+            for part in pool.map(lambda items: [write(i) for i in items], tables.values()):
+                outcomes.extend(part)
+    finally:
+        if lookups is not None:
+            lookups.close()
+
+    summary = local_frame(spark, [o.row(config.run_id) for o in outcomes], SUMMARY_SCHEMA)
+    absent = errors.join(names.select("table_norm").distinct(), "table_norm", "left_anti")
+    messages = F.array_join(F.sort_array(F.collect_list(F.concat_ws(" ", "code", "n"))), "; ")
+    absent = absent.groupBy(F.col("table_norm").alias("table")).agg(messages.alias("message"))
+    return summary.unionByName(
+        absent.select(
+            "table", F.lit("invalid_rules").alias("status"), "message",
+            F.lit(config.run_id).alias("run_id"),
+        ),
+        allowMissingColumns=True,
+    )
+
+
+def _rules(spark: SparkSession, config: MaskingConfig, rules: DataFrame | None) -> DataFrame:
+    if rules is not None:
+        return rules
+    if config.rulebook is None:
+        raise ValueError("a rulebook is required")
+    return read_rulebook(spark, config.rulebook)
+
+
+def rulebook_errors(
+    spark: SparkSession, config: MaskingConfig, rules: DataFrame | None = None
+) -> DataFrame:
+    """All errors of the rulebook, checked against the tables below ``config.input``."""
+    found = datasets(inventory(spark, config.input))
+    frames = read_all(spark, config.input, found, config.csv_multiline)
+    return invalid_rules(_rules(spark, config, rules), catalog_of(spark, found, frames))
 
 
 def _extend_dictionary(

@@ -29,7 +29,11 @@ def _digits(number: int, base: int, count: int) -> list[int]:
 
 
 def standard(value: str, scope: str = "project:p", key: str = "test-key") -> str:
-    first = seed(value, scope, key)
+    return replaced(value, seed(value, scope, key))
+
+
+def replaced(value: str, first: str) -> str:
+    """The text replaced by a given seed."""
     marks = "".join(_mark(c) for c in value)
     out = []
     for i, run in enumerate(re.findall(r"A?a{1,10}|A{1,11}|0{1,11}|[^Aa0]+", marks)):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import csv
+import dataclasses
 import os
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pytest
 from maskwright import MaskingConfig, catalog, run_job
 from maskwright.operators import catalog as cat
 from maskwright.operators.rulebook import rulebook
-from maskwright.plans.job import select_project
+from maskwright.plans.job import rulebook_errors, select_project
 from maskwright.sources import files as fs
 from maskwright.sources.dictionary_store import load_dictionary
 from tests.plain import standard
@@ -77,13 +78,52 @@ def test_catalog(spark, tree):
     assert rows[("orders", "parquet", 3)] == ("orders", "o_extra", "string")
     assert rows[("my-dir a", "parquet", 3)] == ("my_dir_a", "year", "string")
     wide = {r["position"]: r for r in cat.wide(frame).collect()}
-    assert wide[1]["my_dir_a"] == "v" and wide[2]["orders"] == "o_name" and wide[3]["mixed"] is None
+    assert wide[1]["my-dir a"] == "v" and wide[2]["orders"] == "o_name" and wide[3]["mixed"] is None
     mismatches = {(r["table"], r["column"], r["n_present"], r["n_datasets"]) for r in cat.schema_mismatches(frame).collect()}
     assert mismatches == {("nested", "extra", 1, 2)}
     rolled = {(r["column"], r["dataset"]) for r in cat.roll_up(frame).where("table = 'nested'").collect()}
     assert rolled == {("v", "nested"), ("extra", "nested")}
 
 
+def test_wide_loses_no_column(spark):
+    """Neither of names that look alike once normalised, nor of several datasets."""
+    rows = [("my-dir", "a", 1, "d1"), ("my-dir", "b", 2, "d1"), ("my_dir", "c", 1, "e"), ("my_dir", "d", 2, "e"), ("my-dir", "x", 1, "d2")]
+    frame = spark.createDataFrame(
+        [(t, t.replace("-", "_"), d, "parquet", c, p, "string") for t, c, p, d in rows],
+        "table string, table_norm string, dataset string, format string, column string, position int, type string",
+    )
+    wide = {r["position"]: (r["my-dir"], r["my_dir"]) for r in cat.wide(frame).collect()}
+    assert wide == {1: ("a", "c"), 2: ("b", "d"), 3: ("x", None)}
+
+
+def test_runs_differ_unless_told_otherwise(spark, tree):
+    """Flag N: equal within a run, different between runs and between projects."""
+    rules = rulebook(spark, [("orders", "o_name", "Standard", "N")])
+    masks = []
+    for i, changes in enumerate(({}, {}, {"run_id": "r"}, {"run_id": "r"}, {"run_id": "r", "project": "q"})):
+        cfg = dataclasses.replace(config(tree), output=str(tree.parent / f"out{i}"), **changes)
+        summary = run_job(spark, cfg, rules).where("status = 'masked'").collect()
+        assert len({r["run_id"] for r in summary}) == 1 and summary[0]["run_id"]
+        masks.append({r["o_name"] for r in spark.read.parquet(f"{cfg.output}/orders").collect()})
+    assert masks[2] == masks[3] and len({frozenset(m) for m in masks}) == 4
+
+
+def test_many_errors_stop_only_their_table(spark, tree):
+    """No error is dropped, however many there are, and they are counted for the plan."""
+    bad = [("mixed", f"no_column_{i}", "Nope", "X") for i in range(3000)]
+    rules = rulebook(spark, [*bad, ("orders", "o_name", "Standard", "Y"), ("gone", "v", "Nope", "Y")])
+    got = by_dataset(run_job(spark, config(tree), rules))
+    assert got[("orders", "parquet")] == ("masked", 3, None)
+    assert got[("mixed", "csv")][2] == "BAD_REF_INTEGRITY 3000; UNKNOWN_ATTRIBUTE 3000; UNKNOWN_RULE 3000"
+    assert rulebook_errors(spark, config(tree), rules).count() == 9002
+
+
+def test_one_table_under_two_spellings_is_a_duplicate(spark, tree):
+    rules = rulebook(spark, [("my-dir a", "v", "Standard", "Y"), ("my dir a", "v", "Standard", "Y")])
+    got = by_dataset(run_job(spark, config(tree), rules))
+    assert got[("my-dir a", "parquet")] == ("invalid_rules", None, "DUPLICATE_RULE 1")
+
+
 def test_names_that_clash(spark):
     names = spark.createDataFrame([("a b",), ("a-b",), ("a-b",), ("c",)], "table string")
     got = {r["table_norm"]: (r["n_names"], r["first_name"]) for r in cat.name_clashes(names).collect()}
@@ -137,7 +177,7 @@ def test_job(spark, tree, with_dictionary):
         ("mixed", "csv"): ("masked", 1, None),
         ("mixed", "parquet"): ("masked", 1, None),
         ("spark.parquet", "parquet"): ("masked", 1, None),
-        (None, None): ("invalid_rules", None, "UNKNOWN_TABLE v"),
+        (None, None): ("invalid_rules", None, "UNKNOWN_TABLE 1"),
     }
     out = tree.parent / "out"
     rows = sorted(read_csv(out / "customers.csv"))
@@ -168,8 +208,12 @@ def test_job(spark, tree, with_dictionary):
         assert load_dictionary(spark, cfg.dictionary).count() == size
 
 
+# The masks of some of these are beyond what a double can hold.
+WIDE = [1.0e308 + i * 1e306 for i in range(20)]
+
+
 def test_one_failing_table_does_not_stop_the_others(spark, tree):
-    parquet(tree / "bad" / "x.parquet", v=[1e300], k=["a"])
+    parquet(tree / "bad" / "x.parquet", v=WIDE, k=["a"] * len(WIDE))
     (tree / "ragged.csv").write_text("v,w\nx,y,z\n")
     (tree / "torn.parquet").write_text("not a parquet file")
     rules = rulebook(
@@ -190,14 +234,14 @@ def test_one_failing_table_does_not_stop_the_others(spark, tree):
         assert got[(name, format_)][0] == "failed"
         written = tree.parent / "out" / name
         assert not written.exists() or not [n for n in os.listdir(written) if n[0] not in "._"]
-    assert got[("mixed", "csv")] == ("invalid_rules", None, "UNKNOWN_ATTRIBUTE gone")
+    assert got[("mixed", "csv")] == ("invalid_rules", None, "UNKNOWN_ATTRIBUTE 1")
     assert got[("nested", "parquet")] == ("masked", 1, None)
     assert got[("nested/sub", "parquet")] == ("failed", None, "no column extra")
     assert got[("spark.parquet", "parquet")] == ("failed", None, "no column IP Address v4")
 
 
 def test_a_failing_table_does_not_stop_the_dictionary(spark, tree):
-    parquet(tree / "bad" / "x.parquet", v=[1e300])
+    parquet(tree / "bad" / "x.parquet", v=WIDE)
     rules = rulebook(spark, [("bad", "v", "Standard", "Y"), ("orders", "o_name", "Standard", "Y")])
     cfg = config(tree, dictionary=str(tree.parent / "dictionary"))
     got = by_dataset(run_job(spark, cfg, rules))

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from checks.queries import CUSTOMER_RULES, KEY, QUERIES
 from checks.views import pii_customer, table
 from maskwright import ColumnRule, MaskContext, mask, mask_column
+from maskwright.operators.audit import collisions
+from maskwright.operators.dictionary import first_wins
+from maskwright.operators.rulebook import RULES_SCHEMA, first_match
 from maskwright.operators import dictionary as dic
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not there")
-CONTEXT = MaskContext(KEY, project="p")
+CONTEXT = MaskContext(KEY, project="p", run_id="r")
 
 
 def plan(df):
@@ -46,7 +49,7 @@ def test_a_table_goes_through_python_once(spark):
 
 
 def test_column_engine_needs_no_python(spark):
-    context = MaskContext(KEY, project="p", text_engine="columns")
+    context = MaskContext(KEY, project="p", run_id="r", text_engine="columns")
     assert "ArrowEvalPython" not in plan(mask(pii_customer(spark, SF), CUSTOMER_RULES, context))
 
 
@@ -105,3 +108,21 @@ def test_a_hot_value_is_split(spark, monkeypatch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def executed(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_collisions_mask_no_row_in_a_filter(spark):
+    """Masks are computed after the distinct, not to test raw rows."""
+    df = spark.range(10).selectExpr("id as k")
+    plan = executed(collisions(df, "k", "Standard", CONTEXT))
+    assert not [line for line in plan.splitlines() if "Filter" in line and "sha2" in line]
+
+
+def test_first_match_and_first_wins_sort_nothing_to_aggregate(spark):
+    rules = spark.createDataFrame([("t", "a", "Age", "Y", 1)], RULES_SCHEMA)
+    candidates = spark.createDataFrame([("s", "o", "m", 1)], "scope string, original string, masked string, ord long")
+    for df in (first_match(rules), first_wins(candidates)):
+        assert "SortAggregate" not in executed(df)

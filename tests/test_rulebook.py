@@ -79,7 +79,7 @@ def test_first_match_and_conflicts(spark):
 def test_rules_for_and_without_a_table(spark):
     rules = rb.rulebook(spark, [("a b", "x", "Email", "Y")])
     assert rb.rules_for_table(rules, "a b").count() == 1
-    tables = spark.createDataFrame([("a b",), ("a_b",), ("c",)], "table string")
+    tables = spark.createDataFrame([("a b", "csv"), ("a_b", "csv"), ("c", "csv"), ("c", "csv"), ("log", None)], "table string, format string")
     assert [r["table"] for r in rb.unruled_tables(tables, rules).collect()] == ["c"]
 
 
