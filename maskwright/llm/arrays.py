@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Text worked on at a time; bounds the temporary arrays. A longer text is one block.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95

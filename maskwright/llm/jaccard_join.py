@@ -49,6 +49,8 @@ FREQUENT, LEAST_LEVEL = 1 << 19, 4
 CHANGED, COUNTED = 8, 1 << 20
 #: Pairs of one representative verified in one place, and entries of a list in one block.
 GROUP, BLOCK = 2_000, 8_192
+#: Texts whose sets a task holds at a time.
+TEXTS = 256
 #: Rows that a side may have to be broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -212,7 +214,7 @@ _LISTED = "token long, class long, size long, place long, rep long, rep_size lon
 
 def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc text, class, uses) -> the class's set once per use."""
-    for batch in batches:
+    for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
         text, kind, uses = batch.column("text"), batch.column("class").to_pylist(), batch.column("uses").to_pylist()
         out: list[list] = [[], [], [], [], []]
         for s, c, use in zip(shingle_sets(text), kind, uses, strict=True):
