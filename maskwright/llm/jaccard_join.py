@@ -43,10 +43,10 @@ N = 5
 #: Similarity as a fraction: linked if DEN * common >= NUM * union.
 NUM, DEN = 4, 5
 #: Shingles known as frequent, at most (some megabytes on each worker), and from what count.
-FREQUENT, LEAST_LEVEL = 1 << 19, 4
+FREQUENT, LEAST_LEVEL = 1 << 19, 3
 #: A set is counted whole if one in so many of its smallest shingles is frequent; and shingles
 #: that a task counts at a time.
-CHANGED, COUNTED = 8, 1 << 20
+CHANGED, COUNTED = 64, 1 << 20
 #: Pairs of one representative verified in one place, and entries of a list in one block.
 GROUP, BLOCK = 2_000, 8_192
 #: Texts whose sets a task holds at a time.
