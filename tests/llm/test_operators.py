@@ -265,3 +265,14 @@ def test_words_as_arrays(rows):
     flat = [w for t in texts[3:43] for w in plain.words(t)]
     assert len(hashes) == len(flat) == first[-1] and len(set(hashes.tolist())) == len(set(flat))
     assert len({(h, w) for h, w in zip(hashes.tolist(), flat)}) == len(set(flat))
+
+
+def test_html_extraction_pairs_nearest_urls_on_a_large_host(spark):
+    """A section's frame goes at every size of the host, and also behind a run of copies."""
+    page = lambda k, s: f"<div>Site</div><div>Section {s}</div><p>text {k}<p>more {k}<p>end {k}"
+    rows = [(k, f"http://h/s{k // 3:04d}/{k % 3}", page(k, k // 3)) for k in range(1500)]
+    rows += [(k, f"http://c/a/{k:03d}", page("same", "c")) for k in range(2000, 2040)] + [(3000, "http://c/a/999", page("other", "c"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+    want = lambda k: f"text {k} more {k} end {k}"
+    assert got == {**{k: want(k) for k in range(1500)}, **{k: want("same") for k in range(2000, 2040)}, 3000: want("other")}
