@@ -276,3 +276,21 @@ def test_html_extraction_pairs_nearest_urls_on_a_large_host(spark):
     got = {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
     want = lambda k: f"text {k} more {k} end {k}"
     assert got == {**{k: want(k) for k in range(1500)}, **{k: want("same") for k in range(2000, 2040)}, 3000: want("other")}
+
+
+def test_html_extraction_keeps_the_text_of_near_copies(spark):
+    """Copies with another date or one line more lose the frame, not the article they share."""
+    article = "".join(f"<p>line {i} of the article" for i in range(8))
+    page = lambda top, text: f"<div>Site</div><div>{top}</div>{text}<div>Legal</div>"
+    rows = [
+        (1, "http://h/a/1", page("Monday", article)), (2, "http://h/a/2", page("Tuesday", article)),
+        (3, "http://h/a/3", page("Tuesday", article + "<p>one line more")), (4, "http://h/z", page("Friday", "<p>something else<p>and more")),
+        (5, "http://k/1", page("Monday", article)), (6, "http://k/2", page("Tuesday", article)),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+    text = " ".join(f"line {i} of the article" for i in range(8))
+    assert got == {
+        1: f"Monday {text}", 2: f"Tuesday {text}", 3: f"Tuesday {text} one line more", 4: "Friday something else and more",
+        5: f"Site Monday {text} Legal", 6: f"Site Tuesday {text} Legal",
+    }
