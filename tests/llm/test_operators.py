@@ -294,3 +294,19 @@ def test_html_extraction_keeps_the_text_of_near_copies(spark):
         1: f"Monday {text}", 2: f"Tuesday {text}", 3: f"Tuesday {text} one line more", 4: "Friday something else and more",
         5: f"Site Monday {text} Legal", 6: f"Site Tuesday {text} Legal",
     }
+
+
+@pytest.mark.parametrize("wrapped", [
+    '<div class="layout has-sidebar">{}</div>', '<div id="search-results">{}</div>', '<div class="sidebar"><i>top</i>{}</div>',
+    '<div class="menu"><section id="widget">{}</section></div>', '{}<div id="comments"><article class="comment">so true</article></div>',
+    '<div class="site-footer ad-slot">f</div>{}<ul class="ad_300x250 x">buy</ul><p id="comments-section">c',
+])
+@pytest.mark.parametrize("opening", ["<article>", '<article class="post comments-open">', '<article class="widget">', '<main id="search">'])
+def test_class_and_id_words_never_hide_an_article(wrapped, opening):
+    page = wrapped.format(opening + "<p>the text<p class=ad>buy</p><div class='entry-header'>of it</div>" + ("</main>" if "main" in opening else "</article>"))
+    assert html_text.lines(f"<body><nav>n</nav>{page}") == (True, ["the text", "of it"], ["top"] if "<i>" in page else [])
+
+
+def test_a_teaser_in_a_sidebar_is_not_the_article():
+    page = "<div class=sidebar><article>teaser</article></div><div>the long text of the page</div><form><article>f</article></form>"
+    assert html_text.lines(page) == (False, [], ["teaser", "the long text of the page"])
