@@ -9,7 +9,9 @@ or a stretch occurs twice, it repeats as a whole. What is left, stretches that s
 piece but differ somewhere, meets at the piece, where their suffixes are sorted to the
 depth of ``LENGTH`` by prefix doubling; the neighbours of a suffix of the same class are
 its previous and next smaller positions: an earlier match, which makes it a later copy,
-and a later one. A window with either repeats.
+and a later one. A window with either repeats. A piece with more stretches than a task should
+sort (a passage in many surroundings) has the hashes of their windows counted instead, which
+is spread over all tasks however common the piece is.
 
 ``spans`` keeps both kinds, ``removed`` cuts them all. Repeats are judged on the input.
 
@@ -39,7 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH = 400
 GRAM = 160
-#: Bytes of stretches sorted together; one piece's stretches are never divided.
+#: Bytes of stretches sorted together; a piece with more has its windows counted instead.
 SORT_BYTES = 2 << 20
 #: Bytes of text searched for runs at a time.
 RUN_BYTES = 1 << 20
@@ -188,7 +190,7 @@ def _sorted_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _repeats(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts stretches in parts of about ``SORT_BYTES``, a piece never divided."""
+    """Sorts stretches in parts of about ``SORT_BYTES``; a piece, which has no more, is never divided."""
     whole = pa.Table.from_batches(batches).combine_chunks()
     piece = whole.column("piece").to_numpy()
     size = pa.compute.binary_length(whole.column("bytes")).to_numpy().astype(np.int64)
@@ -222,6 +224,58 @@ def _repeats(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches -> the hash of each of their windows."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column("bytes").cast(pa.large_binary())  # a stretch can begin or end within a character
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
+        for lo, hi in arrays.blocks(offsets, RUN_BYTES):
+            part = offsets[lo : hi + 1] - offsets[lo]
+            raw = data[offsets[lo] : offsets[hi]]
+            up, down = arrays.powers(_BASE, len(raw))
+            total = np.zeros(len(raw) + 1, dtype=np.uint64)
+            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
+            value = arrays.mix((total[LENGTH:] - total[:-LENGTH]) * down[: len(raw) - LENGTH + 1])
+            number = part[1:] - part[:-1] - LENGTH + 1
+            first = np.append(0, np.cumsum(number))
+            place = np.arange(first[-1]) - np.repeat(first[:-1] - part[:-1], number)
+            hashes = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(value[place].view(np.int64)))
+            own = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays([own.column(c) for c in _KEPT] + [hashes], names=[*_KEPT, "hashes"])
+
+
+_KEPT = ["doc_id", "version", "lo", "single"]
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, version, lo) of repeated windows -> their spans, rows in sequence as one."""
+    for batch in batches:
+        lo, version = batch.column("lo").to_numpy(), batch.column("version").to_numpy()
+        ids = batch.column("doc_id")
+        same = pa.compute.equal(ids[1:], ids[:-1]).fill_null(False).to_numpy(zero_copy_only=False)
+        follows = same & (version[1:] == version[:-1]) & (lo[1:] == lo[:-1] + 1)
+        begin = np.flatnonzero(np.append(True, ~follows)[: len(lo)])
+        end = np.append(begin[1:], len(lo))[: len(begin)] - 1
+        taken = [batch.column(c).take(pa.array(begin)) for c in ("doc_id", "version")]
+        yield pa.RecordBatch.from_arrays([*taken, pa.array(lo[begin]), pa.array(lo[end] + LENGTH)], names=["doc_id", "version", "lo", "hi"])
+
+
+def _counted_matches(cut: DataFrame, span: T.StructType) -> DataFrame:
+    """Stretches of pieces too common to be sorted -> spans of repeated windows of those not
+    yet known. Windows are counted by hash, first within tasks, so none of them is hot."""
+    hashes = T.StructField("hashes", T.ArrayType(T.LongType()))
+    windows = cut.mapInArrow(_windows, T.StructType([*[cut.schema[c] for c in _KEPT], hashes]))
+    counts = windows.select(F.explode("hashes").alias("hash")).groupBy("hash").count()
+    repeated = written(counts.where("count > 1").select("hash"), "repeated-windows")
+    repeated = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+    each = windows.where("single").select("doc_id", "version", "lo", F.posexplode("hashes").alias("at", "hash"))
+    each = each.join(repeated, "hash", "left_semi").select("doc_id", "version", (F.col("lo") + F.col("at")).alias("lo"))
+    return each.mapInArrow(_joined, span)
+
+
 def _versioned(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("version"), F.col(text).alias("text"))
 
@@ -256,14 +310,23 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     twice = kinds.where("m > 1").select("piece", "stretch")
     twins = rest.join(twice, ["piece", "stretch"], "left_semi").select("doc_id", "version", "lo", "hi")
     rows = kinds.count()
-    wanted = kinds.groupBy("doc_id", "version").agg(
-        F.collect_list(F.struct("piece", "lo", "hi", (F.col("m") == 1).alias("single"))).alias("wanted")
-    )
     fields = [*docs.schema.fields[:2], T.StructField("piece", T.LongType()), T.StructField("lo", T.LongType()),
               T.StructField("single", T.BooleanType()), T.StructField("bytes", T.BinaryType())]
-    cut = _onto(docs, wanted, rows, "inner").mapInArrow(_stretches, T.StructType(fields))
-    met = cut.repartition("piece").sortWithinPartitions("piece")
-    found = met.mapInArrow(_sorted_matches, T.StructType([*docs.schema.fields[:2], T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())]))
+    span = T.StructType([*docs.schema.fields[:2], T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
+
+    def cut(kinds: DataFrame) -> DataFrame:
+        wanted = kinds.groupBy("doc_id", "version").agg(
+            F.collect_list(F.struct("piece", "lo", "hi", (F.col("m") == 1).alias("single"))).alias("wanted")
+        )
+        return _onto(docs, wanted, rows, "inner").mapInArrow(_stretches, T.StructType(fields))
+
+    hot = written(kinds.groupBy("piece").agg(F.sum(F.col("hi") - F.col("lo")).alias("n")).where(F.col("n") > SORT_BYTES).select("piece"), "hot-pieces")
+    n = hot.count()
+    hot = F.broadcast(hot) if n <= BROADCAST_ROWS else hot
+    met = cut(kinds.join(hot, "piece", "left_anti") if n else kinds).repartition("piece").sortWithinPartitions("piece")
+    found = met.mapInArrow(_sorted_matches, span)
+    if n:
+        found = found.unionByName(_counted_matches(cut(kinds.join(hot, "piece", "left_semi")), span))
     return written(_merged(whole.unionByName(twins).unionByName(found)), "spans")
 
 

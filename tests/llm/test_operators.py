@@ -310,3 +310,29 @@ def test_class_and_id_words_never_hide_an_article(wrapped, opening):
 def test_a_teaser_in_a_sidebar_is_not_the_article():
     page = "<div class=sidebar><article>teaser</article></div><div>the long text of the page</div><form><article>f</article></form>"
     assert html_text.lines(page) == (False, [], ["teaser", "the long text of the page"])
+
+
+@pytest.mark.parametrize("rows_broadcast", [suffix_dedup.BROADCAST_ROWS, 0])
+def test_suffix_dedup_sorts_no_common_passage_in_one_task(spark, monkeypatch, rows_broadcast):
+    """A passage in many surroundings: no sort gets more than its bound, results are the same."""
+    import random
+
+    draw = random.Random(5)
+    letters = lambda n: "".join(draw.choices("abcdéfgh日 ", k=n))
+    passage, before, after = letters(300), letters(120), letters(160)
+    rows = [(k, letters(200 + k) + passage + letters(300)) for k in range(60)]
+    rows += [(100 + k, letters(150) + before + passage + letters(200)) for k in range(9)]
+    rows += [(200 + k, letters(90) + passage + after + letters(200 - k)) for k in range(9)]
+    rows += [(300, rows[0][1]), (None, rows[1][1][:520]), (None, rows[1][1][:520]), (301, passage * 4), (302, None)]
+    sort, bound = suffix_dedup.suffix_classes, 5000
+
+    def sorted_within_bounds(data, left, depth):
+        assert len(data) <= 2 * bound
+        return sort(data, left, depth)
+
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", bound)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", rows_broadcast)
+    monkeypatch.setattr(suffix_dedup, "suffix_classes", sorted_within_bounds)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got, want = [tuple(r[:5]) for r in suffix_dedup.removed(docs).collect()], plain.repeats(rows)
+    assert ordered(got) == ordered(want) and sum(w[2] > 0 for w in want) >= 20
