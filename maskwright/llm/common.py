@@ -80,3 +80,12 @@ def restored(df: DataFrame, names: list[str], *results: str) -> DataFrame:
     taken = {r.lower() for r in results}
     kept = [F.col(f"c{i}").alias(name) for i, name in enumerate(names) if name.lower() not in taken]
     return df.select(*kept, *results)
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Removes tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from maskwright.llm import (
-    decontaminate, html_text, jaccard_join, language_model, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, token_counts,
+    centroid_clusters, decontaminate, exact_dedup, html_text, importance, oracle, jaccard_join, language_model, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, token_counts,
 )
 from maskwright.llm.common import table
 
@@ -79,6 +79,27 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weight of every document against the benchmark's distribution, and the rank of those drawn."""
+    found = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_features", "weight", "score", "rank")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return centroid_clusters.clustered(vectors).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of equal texts stays, for every document."""
+    return exact_dedup.owners(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "n_bytes", "text_sha256"
+    )
+
+
 _OP1 = r"""
 with t(license, t) as (values {templates}),
 tw as (select row_number() over () as k, license, regexp_extract_all(lower(t), '[0-9a-z]+') as w from t),
@@ -196,6 +217,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -204,4 +228,7 @@ ORACLE: dict[str, str] = {
     "op5_jaccard_join": _OP5,
     "op7_line_dedup": _OP7,
     "op9_quality_rules": _OP9,
+    "op11_importance_resampling": oracle.OP11,
+    "op12_centroid_clustering": oracle.op12(),
+    "op13_exact_dedup": oracle.OP13,
 }

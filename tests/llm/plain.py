@@ -190,3 +190,64 @@ def line_dedup(rows, min_sites, min_chars):
         gone = lambda line: len(sites.get(line, ())) >= min_sites and first.get(line, key) != key
         out.append("\n".join(line for line in text.split("\n") if not gone(trim(line))))
     return out
+
+
+def exact_owners(documents, keep="last"):
+    """Per document (id, text): keep_id, group_size, n_bytes, text_sha256"""
+    texts = [(text or "").translate(LOWER).encode() for _, text in documents]
+    groups = collections.defaultdict(list)
+    for (key, _), text in zip(documents, texts):
+        groups[text].append(key)
+    pick = max if keep == "last" else min
+    kept = {text: pick((k for k in keys if k is not None), default=None) for text, keys in groups.items()}
+    return [(key, kept[t], len(groups[t]), len(t), hashlib.sha256(t).hexdigest()) for (key, _), t in zip(documents, texts)]
+
+
+def grams(text):
+    found = ALNUM.findall((text or "").translate(LOWER))
+    return [" ".join(found[i : i + k]) for k in (1, 2, 3) for i in range(len(found) - k + 1)], len(found)
+
+
+def resampling(documents, target, percent=5, min_words=20, seed="42"):
+    """Per document: id, n_words, n_features, weight, score, rank"""
+    def bucket(gram):
+        return zlib.crc32(gram.encode()) % 10000
+
+    s, t = collections.Counter(), collections.Counter()
+    for _, text in documents:
+        s.update(map(bucket, grams(text)[0]))
+    for text in target:
+        t.update(map(bucket, grams(text)[0]))
+    n_s, n_t = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (n_s + 10000) / ((s[b] + 1) * (n_t + 10000)))) for b in s}
+    rows = []
+    for key, text in documents:
+        found, n = grams(text)
+        weight = sum(gain[bucket(g)] for g in found)
+        h = int(hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        rows.append([key, n, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32))), None])
+    able = sorted((r for r in rows if r[1] >= min_words), key=lambda r: (-r[4], r[0] is None, r[0]))
+    for i, r in enumerate(able[: percent * len(able) // 100]):
+        r[5] = i + 1
+    return [tuple(r) for r in rows]
+
+
+def clusters(vectors, k=16, rounds=3, size=64, scale=64, seed="1"):
+    """Per kept vector: id, cluster, distance, inertia of cluster and of all, digest of the centroid"""
+    kept = [(key, [math.floor(scale * x) for x in v]) for key, v in vectors
+            if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)]
+    centroids = [p for _, p in sorted(kept, key=lambda r: (
+        hashlib.sha256(f"{seed}:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))[:k]]
+    for turn in range(rounds + 1):
+        ds = [[sum((a - b) ** 2 for a, b in zip(p, c)) for c in centroids] for _, p in kept]
+        own = [d.index(min(d)) for d in ds]
+        if turn < rounds:
+            for c in range(len(centroids)):
+                members = [p for (_, p), o in zip(kept, own) if o == c]
+                if members:
+                    centroids[c] = [sum(column) // len(members) for column in zip(*members)]
+    inertia = collections.Counter()
+    for d, o in zip(ds, own):
+        inertia[o] += d[o]
+    return [(key, o, d[o], inertia[o], sum(inertia.values()), hashlib.sha256(",".join(map(str, centroids[o])).encode()).hexdigest())
+            for (key, _), d, o in zip(kept, ds, own)]
