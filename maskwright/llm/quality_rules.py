@@ -6,7 +6,7 @@ of one rule is a bitwise operation on the stored ledger and never reads a text a
 Everything is DataFrame expressions within the row: no shuffle.
 
 Defined results: a null or empty text has no words and fails ``few_words``; very long
-texts are handled whole in their row (memory in proportion to the text); repeated rows
+texts are handled whole in their row (some 200 bytes of memory a word); repeated rows
 and ties are judged row by row; an empty table gives an empty ledger; further columns
 are kept unless they carry the name of a ledger column, which then replaces them.
 """
@@ -49,52 +49,48 @@ def policy_bits(policy: str) -> int:
 
 
 def _measured(df: DataFrame, text: str) -> DataFrame:
-    """Adds the measures. Windows of three words are sorted as (hash, position) in one
-    long; neighbours of equal hash are compared word by word before they count."""
+    """Adds the measures. Windows of three words are sorted as (hash, position) in one long;
+    neighbours of equal hash are compared word by word before they count. What repeated
+    windows cover is summed over their sorted starts, each as far as the next.
+
+    Arrays as long as the text are dropped as soon as the next step has what it needs, so that
+    a text of n words holds a few times n numbers at once and no object per window and word."""
     blank = F.lit(SPACES)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    df = bound(df, "_lines", F.filter(F.split(whole, "\n", -1), lambda x: F.btrim(x, blank) != ""))
+    df = df.withColumns({
+        "n_symbols": F.regexp_count(whole, F.lit(SYMBOL)),
+        "n_lines": F.size("_lines"),
+        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+    }).drop("_lines")
     df = bound(df, "_words", plain_words(F.col(text)))
-    df = df.withColumn("_n", F.size("_words"))
-    df = df.withColumn("_bits", F.length(F.bin(F.col("_n").cast("long"))))
-    hashes = F.expr(
-        "transform(sequence(0, _n - 3), i ->"
-        " xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2)))"
-    )
-    none = F.array().cast("array<bigint>")
-    df = bound(df, "_hashes", F.when(F.col("_n") >= 4, hashes).otherwise(none))
-    # Most texts repeat nothing and are done here. In SQL, shifts take columns.
+    df = df.withColumns({"n_words": F.size("_words"), "word_chars": F.length(F.concat_ws("", "_words"))})
+    # In SQL, shifts take columns.
+    df = df.withColumn("_bits", F.length(F.bin(F.col("n_words").cast("long"))))
     packed = F.expr(
-        "sort_array(transform(_hashes, (h, i) -> shiftleft(shiftright(h, _bits), _bits) | i))"
-    )
-    repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    df = bound(df, "_sorted", F.when(repeats, packed).otherwise(none))
-    twins = F.expr(
-        "transform(filter(sequence(1, size(_sorted) - 1), j -> shiftrightunsigned("
-        "get(_sorted, j) ^ get(_sorted, j - 1), _bits) = 0),"
-        " j -> struct(cast(get(_sorted, j) & (shiftleft(1L, _bits) - 1) as int) as a,"
-        " cast(get(_sorted, j - 1) & (shiftleft(1L, _bits) - 1) as int) as b))"
+        "sort_array(transform(sequence(0, n_words - 3), i -> shiftleft(shiftright("
+        "xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2)), _bits), _bits) | i))"
     )
-    no_twins = F.array().cast("array<struct<a:int,b:int>>")
-    df = bound(df, "_twins", F.when(F.size("_sorted") >= 2, twins).otherwise(no_twins))
-    repeated = F.expr(
-        "size(array_distinct(flatten(transform(filter(_twins, t ->"
-        " get(_words, t.a) = get(_words, t.b) and get(_words, t.a + 1) = get(_words, t.b + 1)"
-        " and get(_words, t.a + 2) = get(_words, t.b + 2)),"
-        " t -> array(t.a, t.a + 1, t.a + 2, t.b, t.b + 1, t.b + 2)))))"
+    df = bound(df, "_sorted", F.when(F.col("n_words") >= 4, packed).otherwise(F.array().cast("array<bigint>")))
+
+    def place(j: str) -> str:
+        return f"cast(get(_sorted, {j}) & (shiftleft(1L, _bits) - 1) as int)"
+
+    def twins(j: str) -> str:
+        """Whether windows j - 1 and j are equal; null at either end."""
+        words = " and ".join(f"get(_words, {place(j)} + {k}) = get(_words, {place(f'{j} - 1')} + {k})" for k in range(3))
+        return f"(shiftrightunsigned(get(_sorted, {j}) ^ get(_sorted, {j} - 1), _bits) = 0 and {words})"
+
+    starts = F.expr(
+        f"sort_array(transform(filter(sequence(0, size(_sorted) - 1), j -> {twins('j')} or {twins('j + 1')}), j -> {place('j')}))"
     )
-    df = bound(df, "_lines", F.filter(
-        F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: F.btrim(x, blank) != ""
-    ))
-    long = {
-        "n_words": F.col("_n"),
-        "word_chars": F.length(F.concat_ws("", "_words")),
-        "n_symbols": F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(SYMBOL)),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": repeated,
-    }
-    return df.withColumns({name: value.cast("long") for name, value in long.items()}).drop(
-        "_words", "_n", "_bits", "_hashes", "_sorted", "_twins", "_lines"
+    df = bound(df, "_starts", F.when(F.size("_sorted") > 0, starts).otherwise(F.array().cast("array<int>")))
+    df = df.drop("_words", "_sorted", "_bits")
+    covered = F.expr(
+        "aggregate(sequence(1, size(_starts)), 0L, (n, j) -> n + least(3, coalesce(get(_starts, j) - get(_starts, j - 1), 3)))"
     )
+    df = df.withColumn("n_repeat_words", F.when(F.size("_starts") > 0, covered).otherwise(0)).drop("_starts")
+    return df.withColumns({name: F.col(name).cast("long") for name in MEASURES})
 
 
 def _judged_rows(df: DataFrame, names: list[str], text: str, policy: str) -> DataFrame:

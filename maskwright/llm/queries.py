@@ -62,7 +62,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 400 bytes take from every document."""
-    return suffix_dedup.removed(table(spark, sf_dir, "documents"), bytes_too=False)
+    found = suffix_dedup.removed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

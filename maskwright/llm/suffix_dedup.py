@@ -43,6 +43,8 @@ LENGTH = 400
 GRAM = 160
 #: Bytes of stretches sorted together; a piece with more has its windows counted instead.
 SORT_BYTES = 2 << 20
+#: Bytes of stretches that one task sorts, one part after the other.
+TASK_BYTES = 4 * SORT_BYTES
 #: Bytes of text searched for runs at a time.
 RUN_BYTES = 1 << 20
 #: Stretches or spans that may be broadcast to the documents; more are joined by shuffle.
@@ -309,7 +311,8 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     kinds = written(kinds, "stretches")
     twice = kinds.where("m > 1").select("piece", "stretch")
     twins = rest.join(twice, ["piece", "stretch"], "left_semi").select("doc_id", "version", "lo", "hi")
-    rows = kinds.count()
+    size = kinds.agg(F.count("*").alias("rows"), F.sum(F.col("hi") - F.col("lo")).alias("bytes")).first()
+    rows = size["rows"]
     fields = [*docs.schema.fields[:2], T.StructField("piece", T.LongType()), T.StructField("lo", T.LongType()),
               T.StructField("single", T.BooleanType()), T.StructField("bytes", T.BinaryType())]
     span = T.StructType([*docs.schema.fields[:2], T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
@@ -323,7 +326,9 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     hot = written(kinds.groupBy("piece").agg(F.sum(F.col("hi") - F.col("lo")).alias("n")).where(F.col("n") > SORT_BYTES).select("piece"), "hot-pieces")
     n = hot.count()
     hot = F.broadcast(hot) if n <= BROADCAST_ROWS else hot
-    met = cut(kinds.join(hot, "piece", "left_anti") if n else kinds).repartition("piece").sortWithinPartitions("piece")
+    # Numbered by bytes, as parts that are small to move are long to sort.
+    parts = -(-(size["bytes"] or 1) // TASK_BYTES)
+    met = cut(kinds.join(hot, "piece", "left_anti") if n else kinds).repartition(parts, "piece").sortWithinPartitions("piece")
     found = met.mapInArrow(_sorted_matches, span)
     if n:
         found = found.unionByName(_counted_matches(cut(kinds.join(hot, "piece", "left_semi")), span))
@@ -342,7 +347,7 @@ def _merged(found: DataFrame) -> DataFrame:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = arrays.buffers(batch.column("text"))
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for i, spans in enumerate(batch.column("spans").to_pylist()):
             raw = data[offsets[i] : offsets[i + 1]].tobytes()
             kept, at, removed, n = [], 0, 0, 0
@@ -353,26 +358,21 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n += 1
             kept.append(raw[at:])
             rest = b"".join(kept)
-            for column, value in zip(out, (len(raw), removed, n, hashlib.sha256(rest).hexdigest(), rest)):
+            shown = rest.decode("utf-8", "ignore")
+            for column, value in zip(out, (len(raw), removed, n, hashlib.sha256(rest).hexdigest(), rest, shown)):
                 column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string())
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text"]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, out, kinds)], names=names)
 
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _cut(batches):
-        yield batch.select(["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-
-def removed(df: DataFrame, key: str = "doc_id", text: str = "text", bytes_too: bool = True) -> DataFrame:
-    """Per row of ``df``: ``doc_id``, bytes, bytes and spans removed, the digest of what is
-    kept and, with ``bytes_too``, the kept bytes (a cut can fall into a character)."""
+def removed(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``df``: ``doc_id``, bytes, bytes and spans removed, the digest of what is kept,
+    the kept bytes, and as ``text`` all of its characters that no cut falls into."""
     found = spans(df, key, text)
     rows = found.count()
     lists = found.groupBy("doc_id", "version").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     docs = _onto(_versioned(df, key, text), lists, rows, "left")
-    fields = [docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept_sha256", T.StringType())]
-    if bytes_too:
-        fields.append(T.StructField("kept", T.BinaryType()))
-    return docs.select("doc_id", "text", "spans").mapInArrow(_cut if bytes_too else _digested, T.StructType(fields))
+    fields = [docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]]
+    fields += [T.StructField(c, k) for c, k in (("kept_sha256", T.StringType()), ("kept", T.BinaryType()), ("text", T.StringType()))]
+    return docs.select("doc_id", "text", "spans").mapInArrow(_cut, T.StructType(fields))

@@ -47,6 +47,16 @@ def benchmark(spark, benchmark_rows):
     return spark.createDataFrame(benchmark_rows, "item_id long, text string")
 
 
+def test_quality_of_long_texts(spark):
+    """Windows that all repeat, that repeat apart and that do not, over many words."""
+    texts = ["again and again " * 30_000, " ".join(f"w{i * i % 9973}" for i in range(60_000)), "x\n" * 50_000,
+             " ".join(f"w{i}" for i in range(40_000)) + " w5 w6 w7", "w " * 3, "a b c a b c", "a b a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_rules.ledger(df).collect():
+        want = plain.quality(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == want
+
+
 def test_license_scan(docs, rows, empty):
     found = license_scan.scanned(docs).select("doc_id", "text", "licenses", "n_licenses").collect()
     assert len(found) == len(rows) and sum(r["n_licenses"] for r in found) >= 2
