@@ -6,7 +6,7 @@ Spark expressions.
 
 from __future__ import annotations
 
-from checks.views import EVENT_RULES, LEGACY_DICTIONARY, PII_CUSTOMER, TABLES, duck_view
+from checks.views import EVENT_RULES, LEGACY_DICTIONARY, LEGACY_PIECES, PII_CUSTOMER, TABLES, duck_view
 from maskwright.functions.places import CITIES, STATES, STREET_TYPES, STREETS
 
 KEY = "correctness-check-key"
@@ -157,6 +157,47 @@ def address(value: str, scope: str = PROJECT) -> str:
     return keep(value, f"list_transform([{seed(value, scope + '/address')}], lambda s: {text})[1]")
 
 
+def _moved(half: str, other: str, r: int, scope: str) -> str:
+    """One round: every character of a half moves on within its alphabet."""
+    first = "case when ch >= 'a' then 97 when ch >= 'A' then 65 else 48 end"
+    block = "case when i <= 16 then k else sha256(k || '|' || (i - 1) // 16) end"
+    number = f"('0x' || substr({block}, 4 * ((i - 1) % 16) + 1, 4))::int"
+    one = f"chr({first} + (ascii(ch) - ({first}) + {number}) % (case when ch >= 'A' then 26 else 10 end))"
+    key = f"sha256({tag(scope)} || '|{r}|' || shape || '|' || {other})"
+    return (
+        f"case when {half} = '' then '' else list_transform([{key}], lambda k: array_to_string("
+        f"list_transform(string_split({half}, ''), lambda ch, i: {one}), ''))[1] end"
+    )
+
+
+def permuted(values: str, scope: str = PROJECT + "/key") -> str:
+    """CTEs that end in perm(v, masked): every text of ``values`` (column v) along its cycle of
+    its shape until it is of its own kind again."""
+    shape = "regexp_replace(regexp_replace(regexp_replace(x, '[A-Z]', 'A', 'g'), '[a-z]', 'a', 'g'), '[0-9]', '0', 'g')"
+    number = "try_cast({} as bigint)"
+    kind = (
+        "case when {0} = 'null' then -1 when coalesce(" + number + "::varchar = {0}, false) then case"
+        " when " + number + " between -32768 and 32767 then 16"
+        " when " + number + " between -2147483648 and 2147483647 then 32 else 64 end else 0 end"
+    )
+    symbols = "regexp_replace(x, '[^A-Za-z0-9]', '', 'g')"
+    inner = f"""select v, own, x, step, {shape} as shape, {symbols}[1 : (length({symbols}) + 1) // 2] as l,
+      {symbols}[(length({symbols}) + 1) // 2 + 1 :] as r from walk where step = 0 or {kind.replace('{0}', 'x').replace('{}', 'x')} <> own"""
+    for turn in range(10):
+        l = _moved("l", "r", turn, scope) if turn % 2 == 0 else "l"
+        r = _moved("r", "l", turn, scope) if turn % 2 else "r"
+        inner = f"select v, own, x, step, shape, {l} as l, {r} as r from ({inner})"
+    kept = "length(regexp_replace(x[1 : i], '[^A-Za-z0-9]', '', 'g'))"
+    placed = (
+        "array_to_string(list_transform(range(1, length(x) + 1), lambda i:"
+        f" case when regexp_matches(x[i], '[A-Za-z0-9]') then (l || r)[{kept}] else x[i] end), '')"
+    )
+    own = kind.replace("{0}", "v").replace("{}", "v")
+    return f"""walk(v, own, x, step) as (select v, {own}, v, 0 from (select distinct v from ({values}) where v <> 'null')
+      union all select v, own, {placed}, step + 1 from ({inner})),
+    perm as (select v, arg_max(x, step) as masked from walk group by v)"""
+
+
 def pii_query(expression: str) -> str:
     return f"with {PII} select c_custkey, {expression} as masked from pii"
 
@@ -206,6 +247,34 @@ _DICTIONARY_ENTRIES = (
           "(select distinct o_orderpriority from orders)"),
 )
 
+# Known pieces as one map; a whole value that is known wins over them.
+_PIECES = f"""legacy as ({LEGACY_PIECES}),
+    known as (select map(list(original), list(masked)) as m from legacy)"""
+
+
+def _piece(value: str) -> str:
+    return f"coalesce(m[{value}], {std(value)})"
+
+
+def _email_pieces(value: str) -> str:
+    user, domain = (_piece(f"split_part({value}, '@', {i})") for i in (1, 2))
+    return f"case when len(string_split({value}, '@')) = 2 then {user} || '@' || {domain} else {std(value)} end"
+
+
+def _name_pieces(value: str) -> str:
+    """Word by word, a known word by its entry."""
+    words = f"regexp_extract_all({value}, '{_WORDS}|[^\\p{{L}}\\p{{N}}_]+')"
+    return f"array_to_string(list_transform({words}, lambda w: coalesce(m[w], {std('w')})), '')"
+
+
+_PIECE_ENTRIES = (
+    entry("email", _email_pieces("email"), 0, "(select distinct email, m from pii, known where email <> 'null')"),
+    entry("u", std("u"), 1, _USER),
+    entry("full_name", _name_pieces("full_name"), 10, "(select distinct full_name, m from pii, known)"),
+    entry("w", std("w"), 11, _words_of("full_name", "pii")),
+    entry("first_name", std("first_name"), 20, "(select distinct first_name from pii)"),
+)
+
 _TEXT_ONLY = (
     "'Full Name', 'Physical Address', 'IP Address', 'IP Address - Ignore 10.', 'Credit Card',"
     " 'Custom Rule #1'"
@@ -310,6 +379,19 @@ ORACLE: dict[str, str] = {
           round(o_totalprice * 100)::bigint as cents from orders)
         select c_mktsegment, count(*) as n_orders, sum(cents)::bigint as total_cents
         from c join o on c_name = o_name group by c_mktsegment""",
+    "mask_key_permuted": f"""with recursive {permuted(
+        'select o_orderkey::varchar as v from orders union all select o_custkey::varchar from orders')}
+        select a.masked::bigint as o_orderkey, b.masked::bigint as o_custkey from orders
+        left join perm a on a.v = o_orderkey::varchar left join perm b on b.v = o_custkey::varchar""",
+    "mask_key_text": f"""with recursive {permuted('select c_name as v from customer')},
+        {permuted('select c_mktsegment as v from customer', RUN + '/key').replace('walk', 'walk2').replace('perm ', 'perm2 ')}
+        select c_custkey, a.masked as c_name, b.masked as c_mktsegment from customer
+        left join perm a on a.v = c_name left join perm2 b on b.v = c_mktsegment""",
+    "mask_key_collisions": "select '' as attribute, '' as masked, 0::bigint as n_originals where false",
+    "mask_key_join": """select c_mktsegment, count(*) as n_orders, sum(n)::bigint as n_lines from orders
+        join customer on o_custkey = c_custkey
+        join (select l_orderkey, count(*) as n from lineitem group by l_orderkey) on l_orderkey = o_orderkey
+        group by c_mktsegment""",
     "rules_for_table": f"with {RULES} select * from rules where \"table\" = 'customer'",
     "rules_first_match": f"""with {RULES} select "table", attribute, ordinal, "rule", ref_integrity
         from rules qualify row_number() over (partition by "table", attribute order by ordinal) = 1""",
@@ -342,6 +424,11 @@ ORACLE: dict[str, str] = {
         {double('c_acctbal')} as c_acctbal
         from pii left join legacy u on u.original = username
         left join legacy e on e.original = split_part(email, '@', 1)""",
+    "dict_overlay_parts": f"""with {PII}, {_PIECES} select c_custkey,
+        {keep('email', f"coalesce(m[email], {_email_pieces('email')})")} as email,
+        {keep('full_name', f"coalesce(m[full_name], {_name_pieces('full_name')})")} as full_name,
+        {keep('first_name', _piece('first_name'))} as first_name from pii, known""",
+    "dict_new_parts": f"with {PII}, {_PIECES} {entries(*_PIECE_ENTRIES)}",
     "dict_load": LEGACY_DICTIONARY,
     "dict_roundtrip": f"""with {PII}, legacy as (select null as scope, null as original) {entries(
         *_EMAIL_ENTRIES,
@@ -388,6 +475,8 @@ ORACLE: dict[str, str] = {
               s_acctbal=f"({age('s_acctbal::varchar', RUN)})::double"),
         _long("conversations", "conv_id || '/' || turn", role="role", text=standard("text")),
     )),
+    "mask_job_layout": f"""select 'orders/' || o_orderstatus || '/' || strftime(o_orderdate, '%Y-%m') as directory,
+        o_orderkey, {bigint('o_custkey')} as o_custkey, o_orderpriority from orders""",
     "job_status": f"""with {RULES}, {CATALOG}, {_INVALID},
         m as (select regexp_replace("table", '[ -]', '_', 'g') as t, string_agg(code || ' ' || n, '; '
           order by code || ' ' || n) as message from (select "table", code, count(*) as n from invalid

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import event_rules, legacy_dictionary, pii_customer, spread_table, table
+from checks.views import event_rules, legacy_dictionary, legacy_pieces, pii_customer, spread_table, table
 from maskwright.functions.generator import MaskContext
 from maskwright.functions.rules import quoted
 from maskwright.operators import audit, rulebook
@@ -21,11 +21,14 @@ from maskwright.operators import dictionary as dic
 from maskwright.operators.masking import ColumnRule, mask, mask_column
 from maskwright.plans.job import MaskingConfig, run_job
 from maskwright.sources.dictionary_store import append_entries, load_dictionary
-from maskwright.sources.files import inventory
+from maskwright.sources.files import Dataset, inventory, write_together
+from maskwright.sources.local import local_frame
 
 KEY = "correctness-check-key"
 CONTEXT = MaskContext(KEY, project="checks", run_id="run-1")
 
+UNIQUE = "Standard - Unique"
+
 CUSTOMER_RULES = [
     ColumnRule("first_name", "Standard", "Y"),
     ColumnRule("username", "Standard", "Y"),
@@ -155,6 +158,38 @@ def masked_join_orders_customer(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def mask_key_permuted(spark: SparkSession, sf: str) -> DataFrame:
+    orders = spread_table(spark, sf, "orders", "o_orderkey", "o_custkey")
+    return mask(orders, [ColumnRule("o_orderkey", UNIQUE), ColumnRule("o_custkey", UNIQUE)], CONTEXT)
+
+
+def mask_key_text(spark: SparkSession, sf: str) -> DataFrame:
+    names = spread_table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
+    return mask(names, [ColumnRule("c_name", UNIQUE), ColumnRule("c_mktsegment", UNIQUE, "N")], CONTEXT)
+
+
+def mask_key_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Masks of several originals: none, in three key columns."""
+    found = [
+        audit.collisions(table(spark, sf, name), column, UNIQUE, CONTEXT).select(
+            F.lit(column).alias("attribute"), F.col("masked").cast("string").alias("masked"), "n_originals")
+        for name, column in (("orders", "o_orderkey"), ("orders", "o_custkey"), ("customer", "c_name"))
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def mask_key_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Joins on masked keys, of three tables, count what joins on the keys count."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment").where("c_custkey is not null")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    customer = mask_column(customer, "c_custkey", UNIQUE, CONTEXT)
+    orders = mask(orders, [ColumnRule("o_orderkey", UNIQUE), ColumnRule("o_custkey", UNIQUE)], CONTEXT)
+    lines = mask_column(lines, "l_orderkey", UNIQUE, CONTEXT)
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("c_mktsegment").agg(F.count("*").alias("n_orders"), F.sum("n").alias("n_lines"))
+
+
 # ------------------------------------------------------------------ rulebooks
 
 
@@ -240,6 +275,21 @@ def dict_overlay(spark: SparkSession, sf: str) -> DataFrame:
     return dic.apply_dictionary(customers, rules, legacy_dictionary(spark, sf), CONTEXT)
 
 
+PIECE_RULES = [ColumnRule("email", "Email"), ColumnRule("full_name", "Full Name"), ColumnRule("first_name", "Standard")]
+
+
+def dict_overlay_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Users, domains and words that the dictionary knows, inside longer values."""
+    customers = pii_customer(spark, sf).select("c_custkey", "email", "full_name", "first_name")
+    return dic.apply_dictionary(customers, PIECE_RULES, legacy_pieces(spark, sf), CONTEXT)
+
+
+def dict_new_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """New entries of addresses and names of which the dictionary knows pieces."""
+    customers = pii_customer(spark, sf).select("email", "full_name", "first_name")
+    return dic.new_entries([(customers, PIECE_RULES)], CONTEXT, legacy_pieces(spark, sf))
+
+
 def dict_load(spark: SparkSession, sf: str) -> DataFrame:
     base = shared_folder(spark) + "/dictionary"
     missing = load_dictionary(spark, base)
@@ -333,6 +383,28 @@ def mask_job_output(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _leaf_directories(spark: SparkSession, sf: str, root: str) -> None:
+    """Orders in directories of status and month, without ``key=value`` names."""
+    orders = table(spark, sf, "orders")
+    place = F.concat_ws("/", F.lit("orders"), "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM"))
+    places = [r[0] for r in orders.select(place.alias("p")).distinct().orderBy("p").collect()]
+    numbers = local_frame(spark, [(p, i) for i, p in enumerate(places)], "__place string, __number int")
+    placed = orders.withColumn("__place", place).join(F.broadcast(numbers), "__place").drop("__place")
+    found = [Dataset("orders", p, "parquet", "flat") for p in places]
+    write_together(placed.repartition("__number"), root, found, "__number")
+
+
+def mask_job_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of many directories: every row of the masked copy with its directory."""
+    folder = shared_folder(spark)
+    _leaf_directories(spark, sf, f"{folder}/input")
+    config = MaskingConfig(project="checks", key=KEY, input=f"{folder}/input", output=f"{folder}/masked")
+    run_job(spark, config, rulebook.rulebook(spark, [("orders", "o_custkey", "Standard", "Y")]))
+    written = spark.read.option("recursiveFileLookup", True).parquet(config.output)
+    place = F.regexp_extract("_metadata.file_path", "/masked/(.*)/[^/]*$", 1)
+    return written.select(place.alias("directory"), "o_orderkey", "o_custkey", "o_orderpriority")
+
+
 def job_status(spark: SparkSession, sf: str) -> DataFrame:
     """A rulebook with every kind of error beside good tables: only the faulty ones stay out."""
     good = rulebook.rulebook(spark, [r for r in JOB_RULES if r[0] in ("supplier", "conversations")])
@@ -369,6 +441,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mask_table_customer": mask_table_customer,
     "mask_single_run": mask_single_run,
     "masked_join_orders_customer": masked_join_orders_customer,
+    "mask_key_permuted": mask_key_permuted,
+    "mask_key_text": mask_key_text,
+    "mask_key_collisions": mask_key_collisions,
+    "mask_key_join": mask_key_join,
     "rules_for_table": rules_for_table,
     "rules_first_match": rules_first_match,
     "unruled_tables": unruled_tables,
@@ -381,6 +457,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dict_name_parts": dict_name_parts,
     "dict_first_wins": dict_first_wins,
     "dict_overlay": dict_overlay,
+    "dict_overlay_parts": dict_overlay_parts,
+    "dict_new_parts": dict_new_parts,
     "dict_load": dict_load,
     "dict_roundtrip": dict_roundtrip,
     "mask_collisions": mask_collisions,
@@ -388,6 +466,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_normalized": catalog_normalized,
     "mask_job": mask_job,
     "mask_job_output": mask_job_output,
+    "mask_job_layout": mask_job_layout,
     "job_status": job_status,
     "mask_double_exponent": mask_double_exponent,
 }

@@ -75,6 +75,26 @@ from orders group by o_custkey
 """
 
 
+# The same, and masks of mail domains, of some words of names, and of some whole addresses.
+LEGACY_PIECES = f"""
+select 'project:checks' as scope, concat('user', cast(o_custkey as varchar(20))) as original,
+  concat('legacy-', cast(min(o_orderkey) as varchar(20))) as masked
+from orders group by o_custkey
+union all
+select 'project:checks', concat(lower(c_mktsegment), '.example.com'),
+  concat('segment', cast(min(c_custkey) as varchar(20)), '.example.net') from customer
+where c_mktsegment < 'F' group by c_mktsegment
+union all
+select 'project:checks', {_FIRST_NAME}, concat('Name', cast(min(c_custkey) as varchar(20))) from customer
+where c_custkey % 5 in (0, 2) group by {_FIRST_NAME}
+union all
+select 'project:checks', concat('user', cast(c_custkey as varchar(20)), '@', lower(c_mktsegment), '.example.com'),
+  concat('whole-', cast(c_custkey as varchar(20))) from customer where c_custkey % 11 = 0
+union all
+select 'project:checks', 'Lopez', concat('de la ', max(c_mktsegment)) from customer having count(*) > 0
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -105,5 +125,9 @@ def event_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_view(spark, sf_dir, EVENT_RULES, events="events")
 
 
+def legacy_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark_view(spark, sf_dir, LEGACY_PIECES, orders="orders", customer="customer")
+
+
 def legacy_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_view(spark, sf_dir, LEGACY_DICTIONARY, orders="orders")

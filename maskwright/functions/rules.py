@@ -27,6 +27,7 @@ from maskwright.functions.generator import (
     seed_number,
     seed_of,
 )
+from maskwright.functions.key_permutation import permute_batch, permute_column
 from maskwright.functions.places import CITIES, STATES, STREET_TYPES, STREETS
 
 NULL_TEXT = "null"
@@ -102,9 +103,12 @@ class Rule:
     ``digits``      the rule replaces digits, so NaN and infinities stay
     ``key``/``use`` what is looked up in a mask dictionary, and how a hit is used
     ``generate_key``  the mask of such a key, where it differs from ``generate``
-    ``parts``       pieces of a value that are masked alike standing alone
+    ``parts``       pieces of a value that leave dictionary entries of their own
+    ``pieces``      all pieces of a value, which ``glue`` puts together again; each is masked as if
+                    standing alone.  Null for values that are masked as a whole
     ``requires``    further columns the rule reads
     ``whole_digits``  digits before the point the result may need in a decimal
+    ``keys``        the rule is for keys: texts, and integers of 16 bits or more
     """
 
     name: str
@@ -117,10 +121,15 @@ class Rule:
     use: Callable[[Column, Column], Column] = _found_text
     generate_key: Callable[[Cell], Column] | None = None
     parts: Callable[[Column], Column] | None = None
+    pieces: Callable[[Column], Column] | None = None
+    glue: str = ""
     requires: tuple[str, ...] = ()
     whole_digits: int = 0
+    keys: bool = False
 
     def accepts(self, dtype: T.DataType) -> bool:
+        if self.keys:
+            return is_text(dtype) or isinstance(dtype, (T.ShortType, T.IntegerType, T.LongType))
         if isinstance(dtype, T.DecimalType) and dtype.precision - dtype.scale < self.whole_digits:
             return False
         return is_text(dtype) or (is_number(dtype) and not self.text_only)
@@ -178,13 +187,17 @@ def _at_parts(text: Column) -> tuple[Column, Column, Column]:
     return F.size(parts) == 2, F.get(parts, 0), F.get(parts, 1)
 
 
+def _user_and_domain(text: Column) -> Column:
+    """User and domain are masked each on its own; anything else as a whole."""
+    parts = F.split(text, "@")
+    return F.when(F.size(parts) == 2, parts)
+
+
 def _email(cell: Cell) -> Column:
     if not is_text(cell.context.dtype):
         return _standard(cell)
-    parts = F.split(cell.text, "@")
-    # User and domain are masked each on its own; anything else as a whole.
-    pieces = F.when(F.size(parts) == 2, parts).when(cell.text.isNotNull(), F.array(cell.text))
-    return F.array_join(cell.masked_pieces(pieces), "@")
+    whole = F.when(cell.text.isNotNull(), F.array(cell.text))
+    return F.array_join(cell.masked_pieces(F.coalesce(_user_and_domain(cell.text), whole)), "@")
 
 
 def _user(text: Column) -> Column:
@@ -226,9 +239,12 @@ def _age(cell: Cell) -> Column:
     return (seed_number(cell.seed, 1, 8) % 83 + 18).cast("string")
 
 
+def _words_and_gaps(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORDS_AND_GAPS), F.lit(0))
+
+
 def _full_name(cell: Cell) -> Column:
-    pieces = F.regexp_extract_all(cell.text, F.lit(WORDS_AND_GAPS), F.lit(0))
-    return F.array_join(cell.masked_pieces(pieces), "")
+    return F.array_join(cell.masked_pieces(_words_and_gaps(cell.text)), "")
 
 
 def _name_words(text: Column) -> Column:
@@ -269,6 +285,13 @@ def _address(cell: Cell) -> Column:
     return F.concat(street, F.lit("\n"), town)
 
 
+def _unique(cell: Cell) -> Column:
+    tag = cell.context.tag("/key")
+    if cell.context.mask.text_engine == "arrow":
+        return permute_batch(cell.text, F.lit(tag))
+    return permute_column(cell.text, tag)
+
+
 # ------------------------------------------------------------------- registry
 
 _RULES: dict[str, Rule] = {}
@@ -304,6 +327,8 @@ def accepts_type(rule_name: Column, type_name: Column) -> Column:
         if r.whole_digits:
             whole_digits = F.when(rule_name == name, r.whole_digits).otherwise(whole_digits)
     wide_enough = F.coalesce(size[0] - size[1] >= whole_digits, F.lit(True))
+    keys = rule_name.isin([name for name, r in _RULES.items() if r.keys])
+    number = F.when(keys, type_name.isin("smallint", "int", "bigint")).otherwise(number)
     return text | (number & ~rule_name.isin(text_only_rules()) & wide_enough)
 
 
@@ -323,8 +348,9 @@ def mask_where(
 
 
 register_rule(Rule("Standard", _standard))
+register_rule(Rule("Standard - Unique", _unique, namespace="/key", keys=True))
 register_rule(Rule("Age", _age, namespace="/age", digits=False, whole_digits=3))
-register_rule(Rule("Email", _email, parts=_email_user))
+register_rule(Rule("Email", _email, parts=_email_user, pieces=_user_and_domain, glue="@"))
 register_rule(
     Rule(
         "Email - Retain Domain",
@@ -334,7 +360,7 @@ register_rule(
         generate_key=_standard,
     )
 )
-register_rule(Rule("Full Name", _full_name, text_only=True, parts=_name_words))
+register_rule(Rule("Full Name", _full_name, text_only=True, parts=_name_words, pieces=_words_and_gaps))
 register_rule(Rule("Physical Address", _address, namespace="/address", text_only=True))
 register_rule(Rule("IP Address", _standard, text_only=True))
 register_rule(

@@ -166,9 +166,19 @@ def new_entries(
 
     distinct = least_order(found, ("scope", "original"), "ord")
     fresh = distinct.join(existing, ["scope", "original"], "left_anti")
-    return fresh.withColumns(masks).select(
-        "scope", "original", F.coalesce(*texts).alias("masked")
-    )
+    masked = F.coalesce(*texts)
+    # Values with a piece the dictionary knows better than the generator.
+    lookups = Lookups(existing, context, keep=False)
+    for n, ((_, _, p), (orders, r, dtype)) in enumerate(makers.items()):
+        if p == 0 and r.pieces is not None and is_text(dtype):
+            own = fresh.where(F.col("ord").isin(orders)).select("original")
+            resolved = resolve_pieces(own, r, lookups)
+            if resolved is not None:
+                named = resolved.select(F.col("original").alias(f"value_{n}"), F.col("masked").alias(f"pieces_{n}"))
+                mine = F.col("ord").isin(orders) & (F.col("original") == F.col(f"value_{n}"))
+                fresh = fresh.join(named, mine, "left")
+                masked = F.coalesce(F.col(f"pieces_{n}"), masked)
+    return fresh.withColumns(masks).select("scope", "original", masked.alias("masked"))
 
 
 # --------------------------------------------------------------------- lookup
@@ -209,14 +219,16 @@ class Lookups:
     """What a dictionary says beyond the generator, found out once per rule and type.
 
     Most entries repeat what the generator would say.  Only the others have to be
-    joined.  They are kept cached when they are small, so that masking many tables
-    does not scan the dictionary for each of them.
+    joined.  With ``keep`` they are cached when they are small, so that masking many
+    tables does not scan the dictionary for each of them; ``close`` frees them.
     """
 
-    def __init__(self, dictionary: DataFrame, context: MaskContext) -> None:
+    def __init__(self, dictionary: DataFrame, context: MaskContext, keep: bool = True) -> None:
         self.dictionary = dictionary
         self.context = context
+        self.keep = keep
         self._sides: dict[tuple[str, str], _Side] = {}
+        self._kept: list[DataFrame] = []
         self._lock = Lock()
 
     def side(self, r: Rule, dtype: T.DataType) -> tuple[DataFrame, int | None]:
@@ -225,48 +237,104 @@ class Lookups:
             side = self._sides.setdefault((r.name, dtype.simpleString()), _Side())
         with side.lock:
             if side.entries is None:
-                differing = _differing(self.dictionary, r, dtype, self.context)
-                side.size = small_size(differing)
-                side.entries = differing.persist() if side.size else differing
+                side.entries, side.size = self.measured(_differing(self.dictionary, r, dtype, self.context))
             return side.entries, side.size
 
+    def measured(self, side: DataFrame) -> tuple[DataFrame, int | None]:
+        """A lookup side and its number of rows if it is small; then it is computed only once."""
+        held = side.persist() if self.keep else side
+        size = small_size(held)
+        if not self.keep:
+            return side, size
+        if not size:
+            held.unpersist()
+            return side, size
+        with self._lock:
+            self._kept.append(held)
+        return held, size
+
+    def known(self, r: Rule) -> DataFrame:
+        """All originals the dictionary has in a rule's scope."""
+        return self.dictionary.where(F.col("scope") == self.context.scope("Y") + r.namespace).select("original")
+
     def close(self) -> None:
-        for side in self._sides.values():
-            if side.size and side.entries is not None:
-                side.entries.unpersist()
+        with self._lock:
+            for side in self._kept:
+                side.unpersist()
+            self._kept.clear()
         self._sides.clear()
 
 
+def resolve_pieces(values: DataFrame, r: Rule, lookups: Lookups) -> DataFrame | None:
+    """(original, masked) of the values (original) of which the dictionary has an entry for a
+    piece beyond the generator's, but none for the whole; None if it has no such entries at all.
+
+    Values are distinct first.  Their pieces meet the entries in one join, in which a piece of many
+    values is no hot key as long as the entries are small, and is split by adaptive execution
+    beyond.  What is gathered for a value are the hits among its own pieces, by position.
+    """
+    context = RuleContext(lookups.context)
+    side, size = lookups.side(rule("Standard"), T.StringType())
+    if size == 0:
+        return None
+    entries = side.select(F.col("original").alias("piece"), F.col("masked").alias("hit"))
+    entries = entries if size is None else F.broadcast(entries)
+    placed = values.distinct().select("original", F.posexplode(r.pieces(F.col("original"))).alias("at", "piece"))
+    hits = placed.join(entries, "piece").groupBy("original").agg(
+        F.map_from_entries(F.collect_list(F.struct("at", "hit"))).alias("hits")
+    )
+    hits = hits.join(lookups.known(r), "original", "left_anti")
+    text = F.col("original")
+    generated = Cell(text, seed_of(text, context.tag()), context).masked_pieces(r.pieces(text))
+    hits = hits.withColumn("generated", generated)
+    whole = F.transform("generated", lambda g, i: F.coalesce(F.col("hits")[i], g))
+    return hits.select("original", F.array_join(whole, r.glue).alias("masked"))
+
+
+def _side_of(df: DataFrame, r: ColumnRule, lookups: Lookups) -> tuple[DataFrame, int | None]:
+    """What the dictionary says beyond the generator on the values of a column, and its number
+    of rows if that is small.  A side too large for a broadcast is cut down to the values the
+    column really has, and measured again."""
+    dtype, this = df.schema[r.attribute].dataType, rule(r.rule)
+    value = quoted(r.attribute)
+    key = this.key(canonical_text(value, dtype))
+    values = df.where(~this.untouched(value, dtype)).select(key.alias("original")).distinct()
+    side, size = lookups.side(this, dtype)
+    if size is None:
+        present, size = lookups.measured(side.join(values, "original", "left_semi"))
+        side = side if size is None else present
+    if this.pieces is None or not is_text(dtype):
+        return side, size
+    resolved = resolve_pieces(values, this, lookups)
+    if resolved is None:
+        return side, size
+    resolved, n = lookups.measured(resolved)
+    if n == 0:
+        return side, size
+    both = side.unionByName(resolved)
+    return both, None if size is None or n is None else size + n
+
+
 def apply_dictionary(
     df: DataFrame,
     rules: Sequence[ColumnRule],
     dictionary: DataFrame | Lookups,
     context: MaskContext,
 ) -> DataFrame:
-    """Mask a table; where the dictionary knows a value, its mask wins.
+    """Mask a table; where the dictionary knows a value, its mask wins, else those of its pieces.
 
     What has to be joined, if anything, is broadcast if it is measured to be small;
-    else it is cut down to the values the column really has, and measured again;
     else both sides are shuffled.  That last join is a left join with unique keys on its
     right side, which adaptive execution splits when one value (or null) holds a
     large part of the rows.
     """
-    lookups = dictionary if isinstance(dictionary, Lookups) else Lookups(dictionary, context)
+    lookups = dictionary if isinstance(dictionary, Lookups) else Lookups(dictionary, context, keep=False)
     found: dict[str, Column] = {}
     joined = df
     for i, r in enumerate(rules):
         if r.ref_integrity != "Y":
             continue
-        dtype = df.schema[r.attribute].dataType
-        this = rule(r.rule)
-        key = this.key(canonical_text(quoted(r.attribute), dtype))
-        side, size = lookups.side(this, dtype)
-        if size is None:
-            values = df.select(key.alias("original")).distinct()
-            present = side.join(values, "original", "left_semi")
-            size = small_size(present)
-            if size is not None:
-                side = present
+        side, size = _side_of(df, r, lookups)
         if size == 0:
             continue
         if size is not None:
@@ -275,6 +343,7 @@ def apply_dictionary(
         side = side.select(
             F.col("original").alias(f"{name}_key"), F.col("masked").alias(name)
         )
+        key = rule(r.rule).key(canonical_text(quoted(r.attribute), df.schema[r.attribute].dataType))
         joined = joined.join(side, key == F.col(f"{name}_key"), "left").drop(f"{name}_key")
         found[r.attribute] = F.col(name)
     return mask(joined, rules, context, found)

@@ -22,8 +22,12 @@ from maskwright.sources.files import (
     datasets,
     inventory,
     qualified,
+    read_together,
     spread,
+    target_exists,
+    together,
     write_dataset,
+    write_together,
 )
 from maskwright.sources.local import local_frame
 
@@ -170,30 +174,50 @@ def run_job(
         outcomes.extend(failed)
         lookups = Lookups(load_dictionary(spark, config.dictionary), config.context)
 
+    def masked(df: DataFrame, table_rules: list[ColumnRule]) -> DataFrame:
+        if lookups is None:
+            return mask(df, table_rules, config.context)
+        return apply_dictionary(df, table_rules, lookups, config.context)
+
     def write(item: _Item) -> _Outcome:
         d, df, table_rules = item
         splittable = d.format == "parquet" or not config.csv_multiline
         try:
             if not d.keys:  # dealt-out rows would make files in every partition
                 df = spread(df, d.n_files, d.n_bytes, splittable)
-            if lookups is None:
-                masked = mask(df, table_rules, config.context)
-            else:
-                masked = apply_dictionary(df, table_rules, lookups, config.context)
             counted = Observation()
-            masked = masked.observe(counted, F.count(F.lit(1)).alias("n"))
-            write_dataset(masked, config.output, d, config.overwrite)
+            result = masked(df, table_rules).observe(counted, F.count(F.lit(1)).alias("n"))
+            write_dataset(result, config.output, d, config.overwrite)
             return _Outcome(d, "masked", counted.get["n"])
         except Exception as error:  # one table's failure must not stop the others
             return _Outcome(d, "failed", message=_message(error))
 
+    def write_table(items: list[_Item]) -> list[_Outcome]:
+        """Directories of one schema in one job; what is left, and what fails, one by one."""
+        done: list[_Outcome] = []
+        free = [i for i in items if config.overwrite or not target_exists(spark, config.output, i[0])]
+        for group in together([(d, df) for d, df, _ in free]):
+            schema, table_rules = next((df.schema, rules) for d, df, rules in items if d == group[0])
+            number = "__directory"
+            while number in schema.names:
+                number += "_"
+            try:
+                df = read_together(spark, config.input, group, schema, number)
+                df = spread(df, sum(d.n_files for d in group), sum(d.n_bytes for d in group))
+                n_rows = write_together(masked(df, table_rules), config.output, group, number, config.overwrite)
+            except Exception:  # to find the directory at fault
+                continue
+            done.extend(_Outcome(d, "masked", n_rows[d.path]) for d in group)
+        paths = {o.dataset for o in done}
+        return done + [write(i) for i in items if i[0] not in paths]
+
     # Datasets of one table stay in order, as one may lie inside another.
     tables: dict[str, list[_Item]] = {}
     for item in ready:
         tables.setdefault(item[0].path.split("/")[0], []).append(item)
     try:
         with ThreadPoolExecutor(config.tables_at_once) as pool:
-            for part in pool.map(lambda items: [write(i) for i in items], tables.values()):
+            for part in pool.map(write_table, tables.values()):
                 outcomes.extend(part)
     finally:
         if lookups is not None:

@@ -8,6 +8,7 @@ partitions, or a single file directly in the root.
 from __future__ import annotations
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskwright.sources.local import local_frame
+
 FORMATS = ("csv", "parquet")
 
 # Stands for "no value" while reading CSV, so that "" stays an empty text.
@@ -234,6 +237,80 @@ def read_dataset(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _leaf(dataset: Dataset) -> bool:
+    return dataset.format == "parquet" and dataset.layout == "flat" and not dataset.shared
+
+
+def together(found: list[tuple[Dataset, DataFrame]]) -> list[list[Dataset]]:
+    """The Parquet directories of one table that can be read and written as one: those of the
+    same columns and types, none of which lies inside another dataset or holds one."""
+    paths = {d.path for d, _ in found}
+    above = {p: {"/".join(p.split("/")[:i]) for i in range(1, p.count("/") + 1)} & paths for p in paths}
+    nested = {p for p, parents in above.items() if parents}.union(*above.values())
+    groups: dict[tuple[str, str], list[Dataset]] = {}
+    for d, df in found:
+        if _leaf(d) and d.path not in nested:
+            groups.setdefault((d.table, df.schema.json()), []).append(d)
+    return [group for group in groups.values() if len(group) > 1]
+
+
+_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def _encoded(spark: SparkSession, path: str) -> str:
+    """A directory the way ``_metadata.file_path`` writes it, without store and host."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toUri().getRawPath()
+
+
+def read_together(spark: SparkSession, root: str, found: list[Dataset], schema: T.StructType, number: str) -> DataFrame:
+    """Directories of one schema as one DataFrame; column ``number`` has each row's directory."""
+    where = [f"{root.rstrip('/')}/{d.path}" for d in found]
+    files = spark.read.schema(schema).parquet(*[f"{_escaped(w)}/[!._]*.parquet" for w in where])
+    folder = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""), _AUTHORITY, "")
+    names = local_frame(spark, [(_encoded(spark, w), i) for i, w in enumerate(where)], "__folder string, __number int")
+    # A row per directory, known to the driver anyway. No row may get lost for want of one.
+    placed = files.withColumn("__folder", folder).join(F.broadcast(names), "__folder", "left")
+    lost = F.raise_error(F.lit("a row of no known directory")).cast("int")
+    return placed.withColumn(number, F.coalesce("__number", lost)).drop("__folder", "__number")
+
+
+def write_together(df: DataFrame, root: str, found: list[Dataset], number: str, overwrite: bool = False) -> dict[str, int]:
+    """Write rows to the directory their ``number`` says, all in one job; rows per dataset path.
+
+    The job writes partitions into a staging directory, which then take their places: until
+    it has ended well, nothing is seen of it.
+    """
+    spark, base = df.sparkSession, root.rstrip("/")
+    staging = f"{base}/_staging-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm_path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.mode("error").partitionBy(number).parquet(staging)
+        # Without columns, counting reads footers only.
+        staged = spark.read.schema(f"{number} int").option("basePath", staging).parquet(staging)
+        counts = {r[number]: r["count"] for r in staged.groupBy(number).count().collect()}
+
+        def place(i: int) -> None:
+            target, written = jvm_path(f"{base}/{found[i].target}"), jvm_path(f"{staging}/{number}={i}")
+            if overwrite and fs.exists(target):
+                fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if i in counts and not fs.rename(written, target):
+                raise OSError(f"cannot place {found[i].target}")
+
+        with ThreadPoolExecutor(HEADER_THREADS) as pool:
+            list(pool.map(place, range(len(found))))
+    finally:
+        fs.delete(jvm_path(staging), True)
+    return {d.path: counts.get(i, 0) for i, d in enumerate(found)}
+
+
+def target_exists(spark: SparkSession, root: str, dataset: Dataset) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{dataset.target}")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def spread(df: DataFrame, n_files: int, n_bytes: int, splittable: bool = True) -> DataFrame:
     """Give small or unsplittable input to all cores.
 

@@ -208,6 +208,49 @@ def test_job(spark, tree, with_dictionary):
         assert load_dictionary(spark, cfg.dictionary).count() == size
 
 
+@pytest.mark.parametrize("with_dictionary", [False, True])
+def test_directories_of_one_schema_are_one_job(spark, tmp_path, monkeypatch, with_dictionary):
+    """However many there are, and with the same layout; rows are counted for each."""
+    import maskwright.plans.job as job
+
+    root = tmp_path / "in put"
+    for i in range(40):
+        for part in range(1 + i % 2):
+            parquet(root / "t" / f"area {i % 4}" / f"d%{i}" / f"{part}.parquet", v=[f"n{i}", "Ana"], __directory=[i, part])
+    more = {"dictionary": str(tmp_path / "dictionary")} if with_dictionary else {}
+    cfg = MaskingConfig(project="p", key="test-key", input=str(root), output=str(tmp_path / "out"), **more)
+    monkeypatch.setattr(job, "write_dataset", None)
+    rules = rulebook(spark, [("t", "v", "Standard", "Y")])
+    got = by_dataset(run_job(spark, cfg, rules))
+    assert got == {(f"t/area {i % 4}/d%{i}", "parquet"): ("masked", 2 * (1 + i % 2), None) for i in range(40)}
+    for i in range(40):
+        files = sorted((tmp_path / "out" / "t" / f"area {i % 4}" / f"d%{i}").glob("*.parquet"))
+        rows = [r for f in files for r in pq.ParquetFile(f).read().to_pylist()]
+        want = [{"v": standard(v), "__directory": d} for part in range(1 + i % 2) for v, d in ((f"n{i}", i), ("Ana", part))]
+        assert sorted(map(repr, rows)) == sorted(map(repr, want))
+    assert sorted(os.listdir(tmp_path / "out")) == ["t"]
+    assert {r[0] for r in by_dataset(run_job(spark, cfg, rules)).values()} == {"failed"}  # nothing is overwritten unasked
+    assert by_dataset(run_job(spark, dataclasses.replace(cfg, overwrite=True), rules)) == got
+
+
+def test_directories_inside_others_stay_apart(spark, tree):
+    parquet(tree / "nested" / "sub" / "deep" / "a.parquet", v=["deep"])
+    parquet(tree / "nested" / "leaf1" / "a.parquet", v=["one"])
+    parquet(tree / "nested" / "leaf2" / "a.parquet", v=["two"])
+    got = by_dataset(run_job(spark, config(tree, overwrite=True), rulebook(spark, [("nested", "v", "Standard", "Y")])))
+    assert {k: r[:2] for k, r in got.items() if r[0] == "masked"} == {
+        (f"nested{d}", "parquet"): ("masked", 1) for d in ("", "/sub", "/sub/deep", "/leaf1", "/leaf2")}
+    for d, v in (("sub", "inner"), ("sub/deep", "deep"), ("leaf1", "one"), ("leaf2", "two")):
+        assert spark.read.parquet(f"{tree.parent}/out/nested/{d}/*.parquet").first()["v"] == standard(v)
+
+
+def test_a_failing_directory_does_not_stop_its_neighbours(spark, tree):
+    for name, values in (("a", [1.5]), ("b", WIDE), ("c", [2.5])):
+        parquet(tree / "deep" / name / "x.parquet", v=values)
+    got = by_dataset(run_job(spark, config(tree), rulebook(spark, [("deep", "v", "Standard", "Y")])))
+    assert [got[(f"deep/{n}", "parquet")][0] for n in "abc"] == ["masked", "failed", "masked"]
+
+
 # The masks of some of these are beyond what a double can hold.
 WIDE = [1.0e308 + i * 1e306 for i in range(20)]
 
