@@ -303,7 +303,8 @@ def dict_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     emails = (pii_customer(spark, sf).select("email"), [ColumnRule("email", "Email")])
     names = (pii_customer(spark, sf).select("username"), [ColumnRule("username", "Standard")])
     for tables in ([emails], [emails, names]):
-        append_entries(dic.new_entries(tables, CONTEXT, load_dictionary(spark, base)), base)
+        known = load_dictionary(spark, base, makers_too=True)
+        append_entries(dic.new_entries(tables, CONTEXT, known, makers_too=True), base)
     return load_dictionary(spark, base)
 
 

@@ -6,6 +6,7 @@ over built-in functions, so a table is masked in a single projection.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -109,6 +110,7 @@ class Rule:
     ``requires``    further columns the rule reads
     ``whole_digits``  digits before the point the result may need in a decimal
     ``keys``        the rule is for keys: texts, and integers of 16 bits or more
+    ``made_by``     the rule whose masks of dictionary keys are the same, if not its own name
     """
 
     name: str
@@ -126,6 +128,14 @@ class Rule:
     requires: tuple[str, ...] = ()
     whole_digits: int = 0
     keys: bool = False
+    made_by: str | None = None
+
+    def maker(self, context: RuleContext) -> str:
+        """Names the generator of dictionary keys: equal names give equal masks in a scope. The
+        key is part of it, as entries made with another key are not what would be made now."""
+        kind = "string" if is_text(context.dtype) else context.dtype.simpleString()
+        check = hashlib.sha256(f"maker|{context.tag(self.namespace)}".encode()).hexdigest()[:8]
+        return f"{self.made_by or self.name}/{kind}/{check}"
 
     def accepts(self, dtype: T.DataType) -> bool:
         if self.keys:
@@ -344,7 +354,8 @@ def mask_where(
         other = ~F.coalesce(condition(), F.lit(True))
         return other if base.keeps is None else (other | base.keeps(value))
 
-    return replace(base, name=name, keeps=keeps, requires=base.requires + requires)
+    made_by = base.made_by or base.name
+    return replace(base, name=name, keeps=keeps, requires=base.requires + requires, made_by=made_by)
 
 
 register_rule(Rule("Standard", _standard))
@@ -358,13 +369,14 @@ register_rule(
         key=_user,
         use=_with_domain,
         generate_key=_standard,
+        made_by="Standard",
     )
 )
 register_rule(Rule("Full Name", _full_name, text_only=True, parts=_name_words, pieces=_words_and_gaps))
 register_rule(Rule("Physical Address", _address, namespace="/address", text_only=True))
-register_rule(Rule("IP Address", _standard, text_only=True))
+register_rule(Rule("IP Address", _standard, text_only=True, made_by="Standard"))
 register_rule(
-    Rule("IP Address - Ignore 10.", _standard, keeps=_is_private_ten, text_only=True)
+    Rule("IP Address - Ignore 10.", _standard, keeps=_is_private_ten, text_only=True, made_by="Standard")
 )
 register_rule(Rule("Credit Card", _credit_card, namespace="/card", text_only=True))
 register_rule(

@@ -9,6 +9,7 @@ are joined, never collected.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,10 @@ from maskwright.functions.rules import Cell, Rule, RuleContext, quoted, rule
 from maskwright.operators.masking import FOUND, ColumnRule, mask
 
 DICTIONARY_SCHEMA = "scope string, original string, masked string"
+# A dictionary may say who made an entry (``Rule.maker``): what a generator made it would make
+# again, so that a lookup passes over those partitions. Anything else was handed over or put
+# together from known pieces.
+MAKER, IMPORTED, PIECED = "maker", "imported", "pieces"
 
 # A lookup side is broadcast only when it was measured to be at most this big.
 BROADCAST_ROWS = 500_000
@@ -128,11 +133,13 @@ def new_entries(
     tables: Iterable[tuple[DataFrame, Sequence[ColumnRule]]],
     context: MaskContext,
     existing: DataFrame,
+    makers_too: bool = False,
 ) -> DataFrame:
     """Entries for all values of the tables that the dictionary does not have yet.
 
     Values are reduced to distinct ones (combined before the shuffle) before any
     mask is computed.  The aggregate and the anti-join share one partitioning.
+    With ``makers_too`` each entry also says who made it.
     """
     found: DataFrame | None = None
     makers: dict[tuple[str, str, int], tuple[list[int], Rule, T.DataType]] = {}
@@ -148,10 +155,12 @@ def new_entries(
                 makers.setdefault(known, ([], rule(r.rule), dtype))[0].append(order + p)
     if found is None:
         return existing.limit(0)
+    existing = existing.select("scope", "original", "masked", *[c for c in (MAKER,) if c in existing.columns])
 
     # Each maker is given only the values it is responsible for.
     masks: dict[str, Column] = {}
     texts: list[Column] = []
+    maker = F.lit(IMPORTED)
     for n, ((_, _, p), (orders, r, dtype)) in enumerate(makers.items()):
         own = F.when(F.col("ord").isin(orders), F.col("original"))
         if p == 1:
@@ -162,10 +171,12 @@ def new_entries(
             ).masked_whole()
         else:
             masks[f"mask_{n}"] = r.masked_key(own, RuleContext(context, dtype))
+        made_by = rule("Standard") if p == 1 else r
+        maker = F.when(F.col("ord").isin(orders), made_by.maker(RuleContext(context, dtype))).otherwise(maker)
         texts.append(_dictionary_text(F.col(f"mask_{n}"), F.col("original"), dtype))
 
     distinct = least_order(found, ("scope", "original"), "ord")
-    fresh = distinct.join(existing, ["scope", "original"], "left_anti")
+    fresh = distinct.join(existing.select("scope", "original"), ["scope", "original"], "left_anti")
     masked = F.coalesce(*texts)
     # Values with a piece the dictionary knows better than the generator.
     lookups = Lookups(existing, context, keep=False)
@@ -178,7 +189,9 @@ def new_entries(
                 mine = F.col("ord").isin(orders) & (F.col("original") == F.col(f"value_{n}"))
                 fresh = fresh.join(named, mine, "left")
                 masked = F.coalesce(F.col(f"pieces_{n}"), masked)
-    return fresh.withColumns(masks).select("scope", "original", masked.alias("masked"))
+                maker = F.when(F.col(f"pieces_{n}").isNotNull(), PIECED).otherwise(maker)
+    columns = ["scope", "original", masked.alias("masked"), *([maker.alias(MAKER)] if makers_too else [])]
+    return fresh.withColumns(masks).select(*columns)
 
 
 # --------------------------------------------------------------------- lookup
@@ -195,15 +208,14 @@ def small_size(side: DataFrame) -> int | None:
 
 
 def _differing(dictionary: DataFrame, r: Rule, dtype: T.DataType, context: MaskContext) -> DataFrame:
-    """The entries of a rule's scope that do not just repeat the generator."""
+    """The entries of a rule's scope that do not just repeat the generator. Those that this very
+    generator made are partitions that are not read."""
     generated = r.masked_key(F.col("original"), RuleContext(context, dtype))
     text = _dictionary_text(F.col("generated"), F.col("original"), dtype)
-    return (
-        dictionary.where(F.col("scope") == context.scope("Y") + r.namespace)
-        .withColumn("generated", generated)
-        .where(F.col("masked") != text)
-        .select("original", "masked")
-    )
+    entries = dictionary.where(F.col("scope") == context.scope("Y") + r.namespace)
+    if MAKER in dictionary.columns:
+        entries = entries.where(F.col(MAKER) != r.maker(RuleContext(context, dtype)))
+    return entries.withColumn("generated", generated).where(F.col("masked") != text).select("original", "masked")
 
 
 class _Side:
@@ -291,28 +303,53 @@ def resolve_pieces(values: DataFrame, r: Rule, lookups: Lookups) -> DataFrame |
     return hits.select("original", F.array_join(whole, r.glue).alias("masked"))
 
 
-def _side_of(df: DataFrame, r: ColumnRule, lookups: Lookups) -> tuple[DataFrame, int | None]:
-    """What the dictionary says beyond the generator on the values of a column, and its number
-    of rows if that is small.  A side too large for a broadcast is cut down to the values the
-    column really has, and measured again."""
+def _keys(df: DataFrame, r: ColumnRule) -> Column:
+    """What a column's values are looked up by; null where they stay as they are."""
     dtype, this = df.schema[r.attribute].dataType, rule(r.rule)
     value = quoted(r.attribute)
-    key = this.key(canonical_text(value, dtype))
-    values = df.where(~this.untouched(value, dtype)).select(key.alias("original")).distinct()
-    side, size = lookups.side(this, dtype)
-    if size is None:
-        present, size = lookups.measured(side.join(values, "original", "left_semi"))
-        side = side if size is None else present
-    if this.pieces is None or not is_text(dtype):
+    return F.when(~this.untouched(value, dtype), this.key(canonical_text(value, dtype)))
+
+
+def _sides(df: DataFrame, rules: Sequence[ColumnRule], lookups: Lookups) -> list[tuple[DataFrame, int | None]]:
+    """Per column what the dictionary says beyond the generator, and its number of rows if that
+    is small.  Sides too large for a broadcast are cut down to the values that the columns
+    really have, of all columns in one scan and one join, and measured again."""
+    found = [lookups.side(rule(r.rule), df.schema[r.attribute].dataType) for r in rules]
+    large = [i for i, (_, size) in enumerate(found) if size is None]
+    if large:
+        every = F.array(*[F.struct(F.lit(i).alias("column"), _keys(df, rules[i]).alias("original")) for i in large])
+        values = df.select(F.explode(every).alias("e")).select("e.*").where("original is not null").distinct()
+        # Columns of one rule and type share a side, which then is read once for all of them.
+        shared: dict[int, list[int]] = {}
+        for i in large:
+            same = [j for j in shared if found[j][0] is found[i][0]]
+            shared.setdefault(same[0] if same else i, []).append(i)
+        sides = [
+            found[j][0].select("original", "masked", F.explode(F.array(*map(F.lit, columns))).alias("column"))
+            for j, columns in shared.items()
+        ]
+        entries = reduce(DataFrame.unionByName, sides)
+        present = values.join(entries, ["column", "original"]).select("column", "original", "masked")
+        present, size = lookups.measured(present)
+        if size is not None:
+            for i in large:
+                found[i] = present.where(F.col("column") == i).select("original", "masked"), size
+    return found
+
+
+def _with_pieces(df: DataFrame, r: ColumnRule, side: DataFrame, size: int | None, lookups: Lookups) -> tuple[DataFrame, int | None]:
+    """A side and what known pieces make of the column's other values."""
+    this = rule(r.rule)
+    if this.pieces is None or not is_text(df.schema[r.attribute].dataType):
         return side, size
+    values = df.select(_keys(df, r).alias("original")).where("original is not null")
     resolved = resolve_pieces(values, this, lookups)
     if resolved is None:
         return side, size
     resolved, n = lookups.measured(resolved)
     if n == 0:
         return side, size
-    both = side.unionByName(resolved)
-    return both, None if size is None or n is None else size + n
+    return side.unionByName(resolved), None if size is None or n is None else size + n
 
 
 def apply_dictionary(
@@ -331,10 +368,9 @@ def apply_dictionary(
     lookups = dictionary if isinstance(dictionary, Lookups) else Lookups(dictionary, context, keep=False)
     found: dict[str, Column] = {}
     joined = df
-    for i, r in enumerate(rules):
-        if r.ref_integrity != "Y":
-            continue
-        side, size = _side_of(df, r, lookups)
+    lasting = [r for r in rules if r.ref_integrity == "Y"]
+    for i, (r, (side, size)) in enumerate(zip(lasting, _sides(df, lasting, lookups))):
+        side, size = _with_pieces(df, r, side, size, lookups)
         if size == 0:
             continue
         if size is not None:

@@ -172,7 +172,7 @@ def run_job(
     if config.dictionary is not None:
         ready, failed = _extend_dictionary(spark, config, ready)
         outcomes.extend(failed)
-        lookups = Lookups(load_dictionary(spark, config.dictionary), config.context)
+        lookups = Lookups(load_dictionary(spark, config.dictionary, makers_too=True), config.context)
 
     def masked(df: DataFrame, table_rules: list[ColumnRule]) -> DataFrame:
         if lookups is None:
@@ -265,8 +265,8 @@ def _extend_dictionary(
     base, context = config.dictionary, config.context
 
     def extend(items: list[_Item]) -> None:
-        existing = load_dictionary(spark, base)
-        append_entries(new_entries([(df, rs) for _, df, rs in items], context, existing), base)
+        existing = load_dictionary(spark, base, makers_too=True)
+        append_entries(new_entries([(df, rs) for _, df, rs in items], context, existing, makers_too=True), base)
 
     if not ready:
         return ready, []

@@ -7,10 +7,12 @@ marker is there.  Nothing that is being read is ever overwritten.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.operators.dictionary import DICTIONARY_SCHEMA, empty_dictionary
+from maskwright.operators.dictionary import DICTIONARY_SCHEMA, IMPORTED, MAKER, empty_dictionary
 from maskwright.sources.files import csv_options
 
 _VERSION = "version="
@@ -40,16 +42,28 @@ def _directory(base: str, version: int) -> str:
     return f"{base.rstrip('/')}/{_VERSION}{version}"
 
 
-def load_dictionary(spark: SparkSession, base: str) -> DataFrame:
+def _has_makers(spark: SparkSession, directory: str) -> bool:
+    """Whether a version says who made its entries, as all do but old ones."""
+    fs, path = _file_system(spark, directory)
+    parts = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, f"scope=*/{MAKER}=*"))
+    return len(parts) > 0
+
+
+def load_dictionary(spark: SparkSession, base: str, makers_too: bool = False) -> DataFrame:
     """All committed entries; an empty dictionary where none was written yet.
 
-    The scope is a partition column, so a lookup reads only its own scope.
+    Scope and maker are partition columns, so a lookup reads only entries of its own scope, and
+    none that it could make itself.
     """
+    columns = ["scope", "original", "masked", *([MAKER] if makers_too else [])]
     committed = [_directory(base, v) for v, done in _versions(spark, base) if done]
-    if not committed:
-        return empty_dictionary(spark)
-    reader = spark.read.option("basePath", base).schema(f"{DICTIONARY_SCHEMA}, version int")
-    return reader.parquet(*committed).select("scope", "original", "masked")
+    named = [d for d in committed if _has_makers(spark, d)]
+    found = [empty_dictionary(spark).withColumn(MAKER, F.lit(IMPORTED))] if not committed else []
+    for paths, schema in ((named, f"{DICTIONARY_SCHEMA}, {MAKER} string"), ([d for d in committed if d not in named], DICTIONARY_SCHEMA)):
+        if paths:
+            part = spark.read.option("basePath", base).schema(f"{schema}, version int").parquet(*paths)
+            found.append(part if MAKER in part.columns else part.withColumn(MAKER, F.lit(IMPORTED)))
+    return reduce(DataFrame.unionByName, [f.select("scope", "original", "masked", MAKER) for f in found]).select(*columns)
 
 
 def append_entries(entries: DataFrame, base: str) -> None:
@@ -57,7 +71,9 @@ def append_entries(entries: DataFrame, base: str) -> None:
     spark = entries.sparkSession
     versions = _versions(spark, base)
     target = _directory(base, versions[-1][0] + 1 if versions else 1)
-    entries.write.mode("error").partitionBy("scope").parquet(target)
+    if MAKER not in entries.columns:
+        entries = entries.withColumn(MAKER, F.lit(IMPORTED))
+    entries.write.mode("error").partitionBy("scope", MAKER).parquet(target)
 
 
 def import_csv(spark: SparkSession, path: str, scope: str) -> DataFrame:
