@@ -20,6 +20,7 @@ import os
 import shutil
 import sys
 import tempfile
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -112,7 +113,7 @@ def store(uri: str, values: np.ndarray) -> None:
     """Writes an array; a task that runs again writes the same, and nobody sees half of it."""
     system, path = _filesystem(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
-    part = f"{path}.{os.getpid()}"
+    part = f"{path}.{uuid.uuid4().hex}"  # of no other host or attempt
     with system.open_output_stream(part) as out:
         out.write(np.ascontiguousarray(values).data if len(values) else b"")
     system.move(part, path)
@@ -123,7 +124,7 @@ def mapped(uri: str, kind: str) -> np.ndarray:
     if uri not in _open:
         system, path = _filesystem(uri)
         if not isinstance(system, fs.LocalFileSystem):
-            local = os.path.join(tempfile.gettempdir(), f"model-{os.getpid()}-{len(_open)}")
+            local = os.path.join(tempfile.gettempdir(), f"model-{uuid.uuid4().hex}")
             with system.open_input_stream(path) as source, open(local, "wb") as target:
                 shutil.copyfileobj(source, target)
             path = local
@@ -237,7 +238,7 @@ def _pair_counts(model: Model):
                 own = order[cuts[p] : cuts[p + 1]]
                 step = np.append(left[own][:1], left[own][1:] - left[own][:-1])
                 rows.append(p)
-                for column, value in zip(blobs, (step.astype("<u4"), right[own].astype("<u4"), count[own].astype("<u4"))):
+                for column, value in zip(blobs, (step.astype("<u4"), right[own].astype("<u4"), count[own].astype("<u8"))):
                     column.append(pa.compress(value.tobytes(), codec="zstd", asbytes=True))
             sizes = [int(cuts[p + 1] - cuts[p]) for p in rows]
             return pa.RecordBatch.from_arrays(
@@ -276,14 +277,14 @@ def _store_pairs(model: Model):
             values, counts = [], []
             for row in rows.to_pylist():
                 step, right, n = (
-                    np.frombuffer(pa.decompress(row[c], 4 * row["size"], codec="zstd"), dtype="<u4").astype(np.int64)
-                    for c in ("step", "right", "n")
+                    np.frombuffer(pa.decompress(row[c], width * row["size"], codec="zstd"), dtype=f"<u{width}").astype(np.int64)
+                    for c, width in (("step", 4), ("right", 4), ("n", 8))
                 )
                 values.append(np.cumsum(step) << 32 | right)
                 counts.append(n)
             value, count = _summed(values, counts)
             store(f"{model.path}/pairs-{p}", value.astype("<i8"))
-            store(f"{model.path}/pair-counts-{p}", np.minimum(count, 0xFFFFFFFF).astype("<u4"))
+            store(f"{model.path}/pair-counts-{p}", count.astype("<i8"))
             left, right = value >> 32, value & 0xFFFFFFFF
             heads, at = np.unique(left, return_inverse=True)
             kinds = _kinds(count, at, len(heads))
@@ -413,8 +414,8 @@ def _probabilities(token: np.ndarray, before: np.ndarray, model: Model):
         known = mapped(f"{model.path}/pairs-{p}", "<i8")
         if len(known):
             found = np.minimum(np.searchsorted(known, codes[own]), len(known) - 1)
-            n = mapped(f"{model.path}/pair-counts-{p}", "<u4")
-            seen[own] = np.where(known[found] == codes[own], n[found].astype(np.int64), 0)
+            n = mapped(f"{model.path}/pair-counts-{p}", "<i8")
+            seen[own] = np.where(known[found] == codes[own], n[found], 0)
     pair = _less(seen, model.pair_discounts)[at] / total[previous]
     return count[place], base[place], np.log10(pair + left_over[previous] * unigram[place])
 

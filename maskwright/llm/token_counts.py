@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import sys
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +32,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: How texts are cut before merging: a fixed pattern of this family of vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK_BYTES = 1 << 21
-#: Counts remembered between blocks; beyond this many they are forgotten and counted anew.
-REMEMBERED = 1 << 20
+#: Pre-tokens remembered between blocks, in number and in characters together; beyond either they
+#: are forgotten and counted anew.
+REMEMBERED, REMEMBERED_CHARS = 1 << 20, 1 << 24
 _NO_RANK = np.int64(1 << 40)
 
 
@@ -70,6 +70,7 @@ class Vocabulary:
         self.library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         self.agreed: set[str] = set()
         self.known: dict[str, int] = {}
+        self.chars = 0
 
     def _same_kind(self, char: str) -> bool:
         """Whether library and pattern see ``char`` alike (Unicode versions differ)."""
@@ -125,18 +126,26 @@ class Vocabulary:
                 n = len(parts) - 1
             cut.append([p for part in parts if part for p in self.pieces(part)])
             fixed.append(n)
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.known.clear()
+            self.chars = 0
         new = list({p for pieces in cut for p in pieces if p not in self.known})
         if new:
             self.known.update(zip(new, self.count(new).tolist(), strict=True))
+            self.chars += sum(map(len, new))
         look = self.known.__getitem__
         return [n + sum(map(look, pieces)) for n, pieces in zip(fixed, cut, strict=True)]
 
 
-@cache
+#: Vocabularies that a task has read. Not ``functools.cache``, whose functions executors would
+#: have to import.
+_read: dict[str, Vocabulary] = {}
+
+
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    if path not in _read:
+        _read[path] = Vocabulary(path)
+    return _read[path]
 
 
 def blocks(texts: list[str | None], limit: int):

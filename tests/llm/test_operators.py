@@ -277,6 +277,36 @@ def test_words_as_arrays(rows):
     assert len({(h, w) for h, w in zip(hashes.tolist(), flat)}) == len(set(flat))
 
 
+@pytest.mark.parametrize("comment", [
+    "<article>C</article>", "<div class='user-comments'>C</div>", "<section class='x reader-comments'>C</section>",
+    "<div id=respond>C</div>", "<ol class='comment-thread depth-1'><li>C</ol>", "<div class=post-comments><p>C<p>C</div>",
+])
+def test_html_extraction_drops_reader_comments(comment):
+    page = f"<body><article class='post comments-open'><div class='body has-comments'><p>the text</div>{comment}<p>of it</article>"
+    assert html_text.lines(page) == (True, ["the text", "of it"], [])
+    assert html_text.lines(f"<main><p>the text</p>{comment.replace('article', 'div class=comments')}</main>")[1] == ["the text"]
+
+
+def test_common_lines_of_many_repeated_ones():
+    import random
+    import time
+
+    rng, started = random.Random(4), time.time()
+    for size, kinds in ((20_000, 1), (20_000, 3), (8_000, 4_000)):
+        a, b = ([rng.randrange(kinds) for _ in range(size + d)] for d in (0, 77))
+        found = html_text.common_lines(a, b)
+        assert found == sorted(set(found)) and len(found) == html_text._lengths(a, b)[-1] >= size // 2 * (kinds < 4)
+    assert time.time() - started < 120
+    for _ in range(300):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(12))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        found, rest = html_text.common_lines(a, b), iter(b)
+        assert len(found) == best[-1][-1] and all(a[i] in rest for i in found)
+
+
 def test_html_extraction_pairs_nearest_urls_on_a_large_host(spark):
     """A section's frame goes at every size of the host, and also behind a run of copies."""
     page = lambda k, s: f"<div>Site</div><div>Section {s}</div><p>text {k}<p>more {k}<p>end {k}"

@@ -6,6 +6,8 @@ from __future__ import annotations
 import collections
 import math
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -72,6 +74,40 @@ def test_op3(spark, documents):
         assert math.isclose(r["target"], targets[source], rel_tol=1e-9)
 
 
+def test_op2(spark, documents):
+    """Against the library itself."""
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    found = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op2_token_counts"](spark, SF).collect()}
+    for key, text, _ in documents:
+        n = len(theirs.encode(text or "", add_special_tokens=False).ids)
+        assert found[key] == (len((text or "").encode()), n, n > 512)
+
+
+WITH_PYTHON = ["op2", "op4", "op5", "op6", "op8", "op10", "op11", "op12", "op13"]
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """Executors get the operators' functions with the job."""
+    script = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))!r})
+from pyspark.sql import SparkSession
+from maskwright.llm.queries import QUERIES
+session = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+spark = session.config("spark.executorEnv.PYTHONPATH", "").getOrCreate()
+for name, query in QUERIES.items():
+    if name.split("_")[0] in {WITH_PYTHON}:
+        assert query(spark, {SF!r}).count(), name
+spark.stop()
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=1500)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
 def test_every_query_runs(spark):
     for name in set(QUERIES) - set(ORACLE) - {"op3_mixing", "op8_suffix_dedup", "op10_lm_scoring"}:
         kind = "pages" if name.startswith("op6") else "documents"
