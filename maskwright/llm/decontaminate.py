@@ -37,7 +37,7 @@ WINDOW = 13
 #: Bytes of benchmark text per broadcast: the bound on what each worker holds of it.
 BLOCK_BYTES = 32 << 20
 #: Bytes of documents per suffix array.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 
 _ARROW = {
     "_spans": pa.list_(pa.int64()), "_items": pa.list_(pa.string()),
