@@ -6,7 +6,7 @@ Spark expressions.
 
 from __future__ import annotations
 
-from checks.views import EVENT_RULES, LEGACY_DICTIONARY, LEGACY_PIECES, PII_CUSTOMER, TABLES, duck_view
+from checks.views import EVENT_CONDITIONS, EVENT_RULES, LEGACY_DICTIONARY, LEGACY_PIECES, PII_CUSTOMER, TABLES, duck_view
 from maskwright.functions.places import CITIES, STATES, STREET_TYPES, STREETS
 
 KEY = "correctness-check-key"
@@ -225,8 +225,28 @@ def _words_of(column: str, source: str) -> str:
     return f"(select distinct unnest(regexp_extract_all({column}, '{_WORDS}')) as w from {source})"
 
 
+# Known pieces as one map; a whole value that is known wins over them.
+KNOWN = "known as (select map(list(original), list(masked)) as m from legacy)"
+_PIECES = f"legacy as ({LEGACY_PIECES}), {KNOWN}"
+
+
+def _piece(value: str) -> str:
+    return f"coalesce(m[{value}], {std(value)})"
+
+
+def _email_pieces(value: str) -> str:
+    user, domain = (_piece(f"split_part({value}, '@', {i})") for i in (1, 2))
+    return f"case when len(string_split({value}, '@')) = 2 then {user} || '@' || {domain} else {std(value)} end"
+
+
+def _name_pieces(value: str) -> str:
+    """Word by word, a known word by its entry."""
+    words = f"regexp_extract_all({value}, '{_WORDS}|[^\\p{{L}}\\p{{N}}_]+')"
+    return f"array_to_string(list_transform({words}, lambda w: coalesce(m[w], {std('w')})), '')"
+
+
 _EMAIL_ENTRIES = (
-    entry("email", email("email"), 0, "(select distinct email from pii where email <> 'null')"),
+    entry("email", _email_pieces("email"), 0, "(select distinct email, m from pii, known where email <> 'null')"),
     entry("u", std("u"), 1, _USER),
 )
 _DICTIONARY_ENTRIES = (
@@ -247,29 +267,8 @@ _DICTIONARY_ENTRIES = (
           "(select distinct o_orderpriority from orders)"),
 )
 
-# Known pieces as one map; a whole value that is known wins over them.
-_PIECES = f"""legacy as ({LEGACY_PIECES}),
-    known as (select map(list(original), list(masked)) as m from legacy)"""
-
-
-def _piece(value: str) -> str:
-    return f"coalesce(m[{value}], {std(value)})"
-
-
-def _email_pieces(value: str) -> str:
-    user, domain = (_piece(f"split_part({value}, '@', {i})") for i in (1, 2))
-    return f"case when len(string_split({value}, '@')) = 2 then {user} || '@' || {domain} else {std(value)} end"
-
-
-def _name_pieces(value: str) -> str:
-    """Word by word, a known word by its entry."""
-    words = f"regexp_extract_all({value}, '{_WORDS}|[^\\p{{L}}\\p{{N}}_]+')"
-    return f"array_to_string(list_transform({words}, lambda w: coalesce(m[w], {std('w')})), '')"
-
-
 _PIECE_ENTRIES = (
-    entry("email", _email_pieces("email"), 0, "(select distinct email, m from pii, known where email <> 'null')"),
-    entry("u", std("u"), 1, _USER),
+    *_EMAIL_ENTRIES,
     entry("full_name", _name_pieces("full_name"), 10, "(select distinct full_name, m from pii, known)"),
     entry("w", std("w"), 11, _words_of("full_name", "pii")),
     entry("first_name", std("first_name"), 20, "(select distinct first_name from pii)"),
@@ -341,6 +340,34 @@ def large(value: str) -> str:
     return _scientific(f"'-' || {digits}[1] || '.' || {fraction}", f"length({digits}) - 1")
 
 
+def _masks(name: str, attribute: str, rule: str, masked: str) -> str:
+    return f"""select '{name}' as "table", '{attribute}' as attribute, '{rule}' as rule, count(*) as n_masks,
+      count(*) filter (n > 1) as n_colliding from (select {masked} as m, count(*) as n
+        from (select distinct {attribute} from {name} where {attribute} is not null) group by m)"""
+
+
+# Columns of the given tables that can hold keys: integers, and texts.
+_KEYS = {
+    "number": "region.r_regionkey nation.n_nationkey nation.n_regionkey customer.c_custkey customer.c_nationkey supplier.s_suppkey"
+    " supplier.s_nationkey part.p_partkey part.p_size orders.o_orderkey orders.o_custkey lineitem.l_orderkey lineitem.l_partkey"
+    " lineitem.l_suppkey lineitem.l_linenumber events.event_id events.user_id documents.doc_id documents.n_chars embeddings.vec_id"
+    " embeddings.label pages.page_id benchmark.item_id labels.doc_id labels.quality labels.toxic conversations.conv_id conversations.turn",
+    "text": "region.r_name nation.n_name customer.c_name customer.c_mktsegment supplier.s_name part.p_name part.p_brand part.p_type"
+    " orders.o_orderstatus orders.o_orderpriority lineitem.l_returnflag lineitem.l_linestatus events.event_type events.props"
+    " documents.text documents.lang documents.source pages.url pages.html benchmark.text conversations.role conversations.text",
+}
+_REFERENCES = f"""vals as ({' union all '.join(
+    f"select '{t}' as t, '{c}' as c, '{kind}' as kind, {c}::varchar as v, count(*) as n from {t} where {c} is not null group by {c}"
+    for kind, names in _KEYS.items() for t, c in (name.split('.') for name in names.split()))}),
+  sizes as (select t, c, kind, count(*) as n_distinct, max(n) as most from vals group by all),
+  refs as (select a.t as child_table, a.c as child_column, p.t as parent_table, p.c as parent_column,
+      any_value(a.n_distinct) as n_child, any_value(p.n_distinct) as n_parent
+    from sizes a join sizes p on a.kind = p.kind and (a.t <> p.t or a.c <> p.c) and p.most = 1
+      and a.n_distinct <= p.n_distinct and a.n_distinct >= 50
+    join vals x on x.t = a.t and x.c = a.c left join vals y on y.t = p.t and y.c = p.c and y.v = x.v
+    group by a.t, a.c, p.t, p.c having count(*) = count(y.v))"""
+
+
 _JOB_MASKED = ("customer", "orders", "supplier", "conversations")
 
 ORACLE: dict[str, str] = {
@@ -363,6 +390,18 @@ ORACLE: dict[str, str] = {
     "mask_ip_ignore_10": pii_query(ip_ignore_10(IP)),
     "mask_credit_card": pii_query(card("card_no")),
     "mask_conditional": pii_query(full_name("full_name", f"coalesce({IP}, '') like '10.%'")),
+    "mask_condition_rows": f"""with {PII} select c_custkey,
+        {full_name('full_name', f"coalesce({IP}, '') like '10.%'")} as full_name,
+        {keep('username', std('username'), 'not (age >= 40 and c_acctbal > 0)')} as username,
+        {address('address')} as address from pii""",
+    "rules_conditions": f"""with {CATALOG}, conditions as ({duck_view(EVENT_CONDITIONS)}),
+        problems as (
+          select 'BAD_CONDITION' as code, r.* from conditions r where ordinal % 7 in (2, 4, 5)
+          union all select 'UNKNOWN_CONDITION_COLUMN', r.* from conditions r
+            join (values (0, 'c_acctbal'), (1, 'nowhere'), (3, 'text')) n(k, name) on k = ordinal % 7
+            where {_KNOWN_TABLE} and not exists (select 1 from catalog c
+              where c.table_norm = {_TABLE_ID} and c."column" = n.name))
+        select code, "table", attribute, count(*) as n_rules, min(ordinal) as first_ordinal from problems group by all""",
     "mask_null_passthrough": f"""with {PII} select c_custkey, {standard('email')} as email,
         {address('full_name')} as full_name,
         ({age('nullif(age, 18)::varchar', PROJECT)})::int as age from pii""",
@@ -405,8 +444,8 @@ ORACLE: dict[str, str] = {
         count(distinct ("rule", coalesce(ref_integrity, ''))) as n_treatments, count(*) as n_rules
         from rules group by attribute
         having count(distinct ("rule", coalesce(ref_integrity, ''))) > 1""",
-    "dict_new_entries": f"with {PII}, {LEGACY} {entries(*_DICTIONARY_ENTRIES)}",
-    "dict_email_users": f"with {PII}, {LEGACY} {entries(*_EMAIL_ENTRIES)}",
+    "dict_new_entries": f"with {PII}, {LEGACY}, {KNOWN} {entries(*_DICTIONARY_ENTRIES)}",
+    "dict_email_users": f"with {PII}, {LEGACY}, {KNOWN} {entries(*_EMAIL_ENTRIES)}",
     "dict_name_parts": f"""with {PII}, {LEGACY} {entries(
         entry('full_name', name_words('full_name'), 0, '(select distinct full_name from pii)'),
         entry('w', std('w'), 1, _words_of('full_name', 'pii')),
@@ -430,7 +469,9 @@ ORACLE: dict[str, str] = {
         {keep('first_name', _piece('first_name'))} as first_name from pii, known""",
     "dict_new_parts": f"with {PII}, {_PIECES} {entries(*_PIECE_ENTRIES)}",
     "dict_load": LEGACY_DICTIONARY,
-    "dict_roundtrip": f"""with {PII}, legacy as (select null as scope, null as original) {entries(
+    "dict_many_runs": LEGACY_DICTIONARY,
+    "dict_roundtrip": f"""with {PII}, legacy as (select ''::varchar as scope, ''::varchar as original, ''::varchar as masked),
+        {KNOWN} {entries(
         *_EMAIL_ENTRIES,
         entry('username', std('username'), 10, '(select distinct username from pii)'))}""",
     "mask_collisions": f"""select masked, count(*) as n_originals from (
@@ -449,6 +490,37 @@ ORACLE: dict[str, str] = {
             ('card_no', 'Credit Card', 'card_no', card('card_no')),
             ('address', 'Physical Address', 'address', address('address', RUN)),
             ('c_acctbal', 'Standard', 'c_acctbal', double('c_acctbal'))))}""",
+    "mask_job_collisions": " union all ".join((
+        _masks("customer", "c_custkey", "Standard", bigint("c_custkey")), _masks("customer", "c_name", "Standard", standard("c_name")),
+        _masks("customer", "c_mktsegment", "Standard", standard("c_mktsegment")),
+        _masks("orders", "o_custkey", "Standard", bigint("o_custkey")),
+        _masks("orders", "o_orderkey", "Standard - Unique", "o_orderkey"),
+        _masks("orders", "o_orderpriority", "Full Name", full_name("o_orderpriority")),
+        _masks("events", "user_id", "Standard", bigint("user_id")), _masks("events", "event_type", "Standard", standard("event_type")),
+    )),
+    "mask_leaks": f"""with {PII},
+        notes as (select *, case when c_custkey % 17 = 0 then coalesce('see ' || email || ', or (' || username || ').',
+          'nothing to see') else 'nothing to see' end as note from pii),
+        cells as (
+          select 'customers' as "table", unnest([{{'a': 'username', 't': {standard('username')}}}, {{'a': 'email', 't': {email('email')}}},
+            {{'a': 'full_name', 't': {full_name('full_name')}}}, {{'a': 'note', 't': note}}]) as c from notes
+          union all select 'conversations', unnest([{{'a': 'role', 't': role}}, {{'a': 'text', 't': text}}]) from conversations),
+        words as (select "table", c.a as attribute, unnest(list_distinct(list_concat([c.t],
+          regexp_extract_all(c.t, '[\\p{{L}}\\p{{N}}](?:[\\p{{L}}\\p{{N}}@._-]*[\\p{{L}}\\p{{N}}])?')))) as original
+          from cells where c.t is not null),
+        originals as (select distinct unnest([username, email, full_name]) as o from pii)
+        select "table", attribute, original, count(*) as n_values from words
+        where length(original) >= 5 and original <> 'null' and original in (select o from originals where o is not null)
+        group by all""",
+    "references_found": f"with {_REFERENCES} select * from refs",
+    "references_mismatched": f"""with {_REFERENCES}, {RULES},
+        firsts as (select regexp_replace("table", '[ -]', '_', 'g') as t, attribute as a, arg_min("rule", ordinal) as "rule",
+          arg_min({{'f': ref_integrity}}, ordinal).f as flag from rules group by 1, 2)
+        select child_table, child_column, parent_table, parent_column, x."rule" as child_rule, x.flag as child_flag,
+          y."rule" as parent_rule, y.flag as parent_flag from refs
+        left join firsts x on x.t = child_table and x.a = child_column
+        left join firsts y on y.t = parent_table and y.a = parent_column
+        where x."rule" is distinct from y."rule" or x.flag is distinct from y.flag""",
     "catalog_normalized": f"""with {CATALOG}, names as (select "table" as n from catalog
         union select o_orderpriority from orders union select p_name from part
         union select url from pages)
@@ -477,6 +549,22 @@ ORACLE: dict[str, str] = {
     )),
     "mask_job_layout": f"""select 'orders/' || o_orderstatus || '/' || strftime(o_orderdate, '%Y-%m') as directory,
         o_orderkey, {bigint('o_custkey')} as o_custkey, o_orderpriority from orders""",
+    "mask_job_restart": " union all ".join(
+        f"select '{t}' as \"table\", '{status}' as status, count(*) as n_rows, count(*) as n_noted from {t}"
+        for t, status in (("customer", "unchanged"), ("conversations", "unchanged"), ("orders", "unchanged"),
+                          ("supplier", "unchanged"), ("nation", "masked"))),
+    "mask_job_csv": f"""with {PII}, {_PIECES} select c_custkey::varchar as c_custkey,
+        {keep('email', f"coalesce(m[email], {_email_pieces('email')})")} as email,
+        {keep('full_name', f"coalesce(m[full_name], {_name_pieces('full_name')})")} as full_name,
+        {keep('first_name', _piece('first_name'))} as first_name, {_piece('username')} as username,
+        ({age('age::varchar', PROJECT)})::varchar as age, {std('c_acctbal::varchar')} as c_acctbal from pii, known""",
+    "mask_job_partitions": f"""select o_orderkey, {bigint('o_custkey')} as o_custkey,
+        strftime(o_orderdate, '%Y') as year, '0' || strftime(o_orderdate, '%m') as month from orders""",
+    "rules_from_file": f"""with {RULES} select "table", attribute, "rule", ref_integrity,
+        cast(row_number() over (order by ordinal) - 1 as int) as ordinal from rules""",
+    "dict_csv": f"with legacy as ({LEGACY_PIECES}) select scope, original, min(masked) as masked from legacy group by scope, original",
+    "mask_registered_rule": pii_query(
+        keep("full_name", "regexp_replace(full_name, '([A-Za-z])[A-Za-z]*', '\\1.', 'g')", "not (age > 30)")),
     "job_status": f"""with {RULES}, {CATALOG}, {_INVALID},
         m as (select regexp_replace("table", '[ -]', '_', 'g') as t, string_agg(code || ' ' || n, '; '
           order by code || ' ' || n) as message from (select "table", code, count(*) as n from invalid

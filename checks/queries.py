@@ -7,21 +7,26 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import event_rules, legacy_dictionary, legacy_pieces, pii_customer, spread_table, table
+from checks.views import TABLES, event_conditions, event_rules, legacy_dictionary, legacy_pieces, pii_customer, spread_table, table
 from maskwright.functions.generator import MaskContext
-from maskwright.functions.rules import quoted
+from maskwright.functions.rules import Rule, mask_where, quoted, register_rule
 from maskwright.operators import audit, rulebook
 from maskwright.operators import catalog as cat
 from maskwright.operators import dictionary as dic
+from maskwright.operators import references as ref
 from maskwright.operators.masking import ColumnRule, mask, mask_column
-from maskwright.plans.job import MaskingConfig, run_job
-from maskwright.sources.dictionary_store import append_entries, load_dictionary
-from maskwright.sources.files import Dataset, inventory, write_together
+from maskwright.plans.job import MaskingConfig, run_job, select_project
+from maskwright.plans.manifest import manifest
+from maskwright.sources.dictionary_store import (
+    append_entries, compact_dictionary, export_csv, extend_dictionary, import_csv, load_dictionary, vacuum_dictionary,
+)
+from maskwright.sources.files import Dataset, csv_options, inventory, write_dataset, write_together
 from maskwright.sources.local import local_frame
 
 KEY = "correctness-check-key"
@@ -113,6 +118,24 @@ def _pii_rule(column: str, name: str, flag: str = "Y") -> Callable[[SparkSession
     return query
 
 
+def mask_condition_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Conditions that come with the rulebook, as rows of a table."""
+    rules = rulebook.rulebook(spark, [
+        ("customer", "full_name", "Full Name", "Y", "not (`IP Address v4` like '10.%')"),
+        ("customer", "username", "Standard", "Y", "age >= 40 and c_acctbal > 0"),
+        ("customer", "address", "Physical Address", "Y"),
+    ])
+    names = local_frame(spark, [("customer",)], "table_norm string")
+    plan = rulebook.plan_rules(rules, names)["customer"]
+    return mask(pii_customer(spark, sf), plan, CONTEXT).select("c_custkey", "full_name", "username", "address")
+
+
+def rules_conditions(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors of a rulebook whose rules have conditions, good and bad ones."""
+    return rulebook.invalid_rules(event_conditions(spark, sf), cat.catalog(spark, sf)).where(
+        F.col("code").isin("BAD_CONDITION", "UNKNOWN_CONDITION_COLUMN"))
+
+
 def mask_null_passthrough(spark: SparkSession, sf: str) -> DataFrame:
     some = pii_customer(spark, sf).withColumn("age", F.nullif("age", F.lit(18)))
     rules = [
@@ -303,14 +326,24 @@ def dict_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     emails = (pii_customer(spark, sf).select("email"), [ColumnRule("email", "Email")])
     names = (pii_customer(spark, sf).select("username"), [ColumnRule("username", "Standard")])
     for tables in ([emails], [emails, names]):
-        known = load_dictionary(spark, base, makers_too=True)
-        append_entries(dic.new_entries(tables, CONTEXT, known, makers_too=True), base)
+        extend_dictionary(spark, base, lambda known, tables=tables: dic.new_entries(tables, CONTEXT, known, makers_too=True))
     return load_dictionary(spark, base)
 
 
 # --------------------------------------------------------------------- audits
 
 
+def dict_many_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary that grew over many runs, merged on the way."""
+    base = shared_folder(spark) + "/dictionary"
+    entries = legacy_dictionary(spark, sf)
+    for part in range(12):
+        append_entries(entries.where(F.pmod(F.substring("original", 5, 20).cast("int"), F.lit(12)) == part), base)
+        compact_dictionary(spark, base)
+    vacuum_dictionary(spark, base)
+    return load_dictionary(spark, base)
+
+
 def mask_collisions(spark: SparkSession, sf: str) -> DataFrame:
     return audit.collisions(table(spark, sf, "orders"), "o_custkey", "Standard", CONTEXT)
 
@@ -319,6 +352,42 @@ def mask_unchanged(spark: SparkSession, sf: str) -> DataFrame:
     return audit.unchanged(pii_customer(spark, sf), CUSTOMER_RULES, CONTEXT)
 
 
+AUDITED = {
+    "customer": [ColumnRule("c_custkey", "Standard"), ColumnRule("c_name", "Standard"), ColumnRule("c_mktsegment", "Standard")],
+    "orders": [ColumnRule("o_custkey", "Standard"), ColumnRule("o_orderkey", UNIQUE), ColumnRule("o_orderpriority", "Full Name")],
+    "events": [ColumnRule("user_id", "Standard"), ColumnRule("event_type", "Standard")],
+}
+
+
+def mask_job_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Masks of several originals, counted for all ruled columns at once."""
+    return audit.job_collisions([(name, table(spark, sf, name), rules) for name, rules in AUDITED.items()], CONTEXT)
+
+
+def mask_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Originals that stand in the masked copy: in a note that no rule speaks of, and by chance."""
+    customers = pii_customer(spark, sf).select("c_custkey", "username", "email", "full_name")
+    note = F.when(F.col("c_custkey") % 17 == 0, F.concat(F.lit("see "), "email", F.lit(", or ("), "username", F.lit(").")))
+    customers = customers.withColumn("note", F.coalesce(note, F.lit("nothing to see")))
+    rules = [ColumnRule("username", "Standard"), ColumnRule("email", "Email"), ColumnRule("full_name", "Full Name")]
+    written = {"customers": mask(customers, rules, CONTEXT), "conversations": table(spark, sf, "conversations")}
+    return audit.leaks([(customers, rules)], written)
+
+
+def _all_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {name: table(spark, sf, name) for name in TABLES}
+
+
+def references_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of any table that refer to a key of any table."""
+    return ref.references(spark, _all_tables(spark, sf))
+
+
+def references_mismatched(spark: SparkSession, sf: str) -> DataFrame:
+    """References whose columns the rulebook of events does not treat alike."""
+    return ref.mismatched(ref.references(spark, _all_tables(spark, sf)), event_rules(spark, sf))
+
+
 # -------------------------------------------------------------------- catalog
 
 
@@ -406,6 +475,78 @@ def mask_job_layout(spark: SparkSession, sf: str) -> DataFrame:
     return written.select(place.alias("directory"), "o_orderkey", "o_custkey", "o_orderpriority")
 
 
+def mask_job_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that has done half of the tables, and one that goes on from there."""
+    config = MaskingConfig(project="checks", key=KEY, input=sf, output=f"{shared_folder(spark)}/masked", resume=True)
+    lasting = [r for r in JOB_RULES if r[0] in ("customer", "orders", "supplier", "conversations") and r[3] == "Y"]
+    run_job(spark, config, rulebook.rulebook(spark, [r for r in lasting if r[0] < "o"]))
+    run_job(spark, config, rulebook.rulebook(spark, lasting))
+    summary = run_job(spark, config, rulebook.rulebook(spark, [*lasting, ("nation", "n_name", "Standard", "Y")]))
+    written = manifest(spark, config.output).select(F.regexp_replace("target", "[.]parquet$", "").alias("table"), F.col("n_rows").alias("n_noted"))
+    return summary.where("status in ('masked', 'unchanged')").select("table", "status", "n_rows").join(written, "table")
+
+
+CSV_RULES = [
+    ("customers", "email", "Email", "Y"), ("customers", "full_name", "Full Name", "Y"), ("customers", "first_name", "Standard", "Y"),
+    ("customers", "username", "Standard", "Y"), ("customers", "age", "Age", "Y"), ("customers", "c_acctbal", "Standard", "Y"),
+]
+
+
+def mask_job_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """From CSV to CSV with a rulebook and a dictionary kept as CSV, for one project of two."""
+    folder = shared_folder(spark)
+    customers = pii_customer(spark, sf).select("c_custkey", *[r[1] for r in CSV_RULES])
+    write_dataset(customers, f"{folder}/input", Dataset("customers", "customers", "csv", "flat"))
+    names = ("Table", "Attribute", "Masking Rule", "Ref Integrity")
+    spark.createDataFrame(CSV_RULES, names).coalesce(1).write.csv(f"{folder}/rules.csv", header=True)
+    export_csv(legacy_pieces(spark, sf), f"{folder}/legacy.csv")
+    config = MaskingConfig(
+        project="checks", key=KEY, input=f"{folder}/input", output=f"{folder}/masked", rulebook=f"{folder}/rules.csv",
+        dictionary=f"{folder}/dictionary", dictionary_csv=f"{folder}/legacy.csv",
+    )
+    other = replace(config, project="other", output=f"{folder}/other")
+    run_job(spark, select_project({"checks": config, "other": other}, "checks"))
+    return spark.read.options(**csv_options()).csv(f"{config.output}/customers")
+
+
+def mask_job_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of ``key=value`` directories of several files each; partition values stay text."""
+    folder = shared_folder(spark)
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy").alias("year"),
+        F.lpad(F.date_format("o_orderdate", "MM"), 3, "0").alias("month"))
+    orders.repartition(3).write.partitionBy("year", "month").parquet(f"{folder}/input/orders")
+    config = MaskingConfig(project="checks", key=KEY, input=f"{folder}/input", output=f"{folder}/masked")
+    run_job(spark, config, rulebook.rulebook(spark, [("orders", "o_custkey", "Standard", "Y")]))
+    schema = "o_orderkey long, o_custkey long, year string, month string"
+    return spark.read.schema(schema).parquet(f"{config.output}/orders")
+
+
+def rules_from_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A rulebook written as CSV and read back, in the order of the file."""
+    path = f"{shared_folder(spark)}/rules.csv"
+    rules = event_rules(spark, sf).orderBy("ordinal").select(
+        F.col("table").alias("Table"), F.col("attribute").alias("Attribute"), F.col("rule").alias("Masking Rule"),
+        F.col("ref_integrity").alias("Ref Integrity"))
+    rules.coalesce(1).write.csv(path, header=True, escape='"')
+    return rulebook.read_rulebook(spark, path)
+
+
+def dict_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary written as CSV and taken over from there."""
+    path = f"{shared_folder(spark)}/dictionary.csv"
+    export_csv(legacy_pieces(spark, sf), path)
+    return import_csv(spark, path, CONTEXT.scope())
+
+
+def mask_registered_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule that a user adds: initials of names, for people above 30."""
+    initials = Rule("Initials", lambda cell: F.regexp_replace(cell.text, "([A-Za-z])[A-Za-z]*", "$1."), text_only=True)
+    register_rule(mask_where("Initials", initials, lambda: F.col("age") > 30, requires=("age",)))
+    result = mask_column(pii_customer(spark, sf), "full_name", "Initials", CONTEXT)
+    return result.select("c_custkey", F.col("full_name").alias("masked"))
+
+
 def job_status(spark: SparkSession, sf: str) -> DataFrame:
     """A rulebook with every kind of error beside good tables: only the faulty ones stay out."""
     good = rulebook.rulebook(spark, [r for r in JOB_RULES if r[0] in ("supplier", "conversations")])
@@ -438,6 +579,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mask_ip_ignore_10": _pii_rule("IP Address v4", "IP Address - Ignore 10."),
     "mask_credit_card": _pii_rule("card_no", "Credit Card"),
     "mask_conditional": _pii_rule("full_name", "Custom Rule #1"),
+    "mask_condition_rows": mask_condition_rows,
+    "rules_conditions": rules_conditions,
     "mask_null_passthrough": mask_null_passthrough,
     "mask_table_customer": mask_table_customer,
     "mask_single_run": mask_single_run,
@@ -462,12 +605,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dict_new_parts": dict_new_parts,
     "dict_load": dict_load,
     "dict_roundtrip": dict_roundtrip,
+    "dict_many_runs": dict_many_runs,
     "mask_collisions": mask_collisions,
     "mask_unchanged": mask_unchanged,
+    "mask_job_collisions": mask_job_collisions,
+    "mask_leaks": mask_leaks,
+    "references_found": references_found,
+    "references_mismatched": references_mismatched,
     "catalog_normalized": catalog_normalized,
     "mask_job": mask_job,
     "mask_job_output": mask_job_output,
     "mask_job_layout": mask_job_layout,
+    "mask_job_restart": mask_job_restart,
+    "mask_job_csv": mask_job_csv,
+    "mask_job_partitions": mask_job_partitions,
+    "rules_from_file": rules_from_file,
+    "dict_csv": dict_csv,
+    "mask_registered_rule": mask_registered_rule,
     "job_status": job_status,
     "mask_double_exponent": mask_double_exponent,
 }

@@ -67,6 +67,13 @@ select
 from events
 """
 
+# The same with conditions: whole, unreadable, on columns that are there and on others.
+EVENT_CONDITIONS = f"""
+select r.*, case ordinal % 7 when 0 then 'c_acctbal > 0' when 1 then 'o_totalprice > 1 and nowhere = 2'
+  when 2 then 'c_acctbal >' when 3 then 'length(text) > 3' when 4 then 'exists (select 1)'
+  when 5 then 'rand() < 0.5' end as condition from ({EVENT_RULES}) r
+"""
+
 # Masks handed over from an earlier system: one per customer who ever ordered.
 LEGACY_DICTIONARY = """
 select 'project:checks' as scope, concat('user', cast(o_custkey as varchar(20))) as original,
@@ -125,6 +132,10 @@ def event_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_view(spark, sf_dir, EVENT_RULES, events="events")
 
 
+def event_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark_view(spark, sf_dir, EVENT_CONDITIONS, events="events")
+
+
 def legacy_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_view(spark, sf_dir, LEGACY_PIECES, orders="orders", customer="customer")
 

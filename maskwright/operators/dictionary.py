@@ -24,7 +24,7 @@ from maskwright.functions.generator import (
     seed_of,
 )
 from maskwright.functions.rules import Cell, Rule, RuleContext, quoted, rule
-from maskwright.operators.masking import FOUND, ColumnRule, mask
+from maskwright.operators.masking import FOUND, ColumnRule, mask, rule_of
 
 DICTIONARY_SCHEMA = "scope string, original string, masked string"
 # A dictionary may say who made an entry (``Rule.maker``): what a generator made it would make
@@ -106,7 +106,7 @@ def column_entries(
             dtype = df.schema[r.attribute].dataType
             order = table_order * TABLE_STRIDE + i * RULE_STRIDE
             lists.append(
-                _entries(quoted(r.attribute), rule(r.rule), RuleContext(context, dtype), order)
+                _entries(quoted(r.attribute), rule_of(r), RuleContext(context, dtype), order)
             )
     if not lists:
         return df.sparkSession.createDataFrame([], "scope string, original string, ord long")
@@ -305,7 +305,7 @@ def resolve_pieces(values: DataFrame, r: Rule, lookups: Lookups) -> DataFrame |
 
 def _keys(df: DataFrame, r: ColumnRule) -> Column:
     """What a column's values are looked up by; null where they stay as they are."""
-    dtype, this = df.schema[r.attribute].dataType, rule(r.rule)
+    dtype, this = df.schema[r.attribute].dataType, rule_of(r)
     value = quoted(r.attribute)
     return F.when(~this.untouched(value, dtype), this.key(canonical_text(value, dtype)))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions.generator import MaskContext, canonical_text, is_text
-from maskwright.functions.rules import Cell, Rule, RuleContext, quoted, rule
+from maskwright.functions.rules import Cell, Rule, RuleContext, mask_where, quoted, rule
 
 # Prefixes of columns that exist only while a table is being masked.
 STEP = "__step_"
@@ -24,6 +24,13 @@ class ColumnRule:
     rule: str
     ref_integrity: str = "Y"
     ordinal: int = 0
+    condition: str | None = None
+
+
+def rule_of(r: ColumnRule) -> Rule:
+    """The rule of a rulebook row, limited to the rows that meet its condition."""
+    base = rule(r.rule)
+    return base if r.condition is None else mask_where(base.name, base, lambda: F.expr(r.condition))
 
 
 def mask(
@@ -50,7 +57,7 @@ def mask(
         dtype = df.schema[r.attribute].dataType
         if not rule(r.rule).accepts(dtype):
             raise ValueError(f"rule {r.rule} does not support {r.attribute} {dtype.simpleString()}")
-        seen[r.attribute] = rule(r.rule), RuleContext(context, dtype, r.ref_integrity)
+        seen[r.attribute] = rule_of(r), RuleContext(context, dtype, r.ref_integrity)
 
     texts: dict[str, Column] = {}
     seeds: dict[str, Column] = {}

@@ -1,7 +1,8 @@
 """Rulebooks as tables: selection of rules and checks against the catalog.
 
 A rulebook says which attribute of which table gets which rule:
-``rules(table, attribute, rule, ref_integrity, ordinal)``.
+``rules(table, attribute, rule, ref_integrity, ordinal)``, and may say on which rows, in a column
+``condition`` (``conditions``), null for all.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.functions.rules import accepts_type, rule_names
+from maskwright.operators.conditions import columns_of
 from maskwright.operators.dictionary import earliest
 from maskwright.operators.masking import ColumnRule
 from maskwright.sources.local import local_frame
@@ -24,23 +26,31 @@ def table_id(name: Column) -> Column:
     return F.regexp_replace(name, "[ -]", "_")
 
 
-def rulebook(spark: SparkSession, rows: Iterable[tuple[str, str, str, str]]) -> DataFrame:
-    """A rulebook from (table, attribute, rule, ref_integrity) rows, in order."""
-    return local_frame(spark, [(*row, i) for i, row in enumerate(rows)], RULES_SCHEMA)
+def rulebook(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
+    """A rulebook from (table, attribute, rule, ref_integrity) rows, in order; rows may have a
+    condition behind."""
+    rows = list(rows)
+    if all(len(row) == 4 for row in rows):
+        return local_frame(spark, [(*row, i) for i, row in enumerate(rows)], RULES_SCHEMA)
+    full = [(*row[:4], i, row[4] if len(row) > 4 else None) for i, row in enumerate(rows)]
+    return local_frame(spark, full, f"{RULES_SCHEMA}, condition string")
 
 
 def read_rulebook(spark: SparkSession, path: str) -> DataFrame:
-    """A rulebook CSV with the headers Table, Attribute, Masking Rule, Ref Integrity.
+    """A rulebook CSV with the headers Table, Attribute, Masking Rule, Ref Integrity, and maybe
+    Condition.
 
     One file, so the row number in file order is its ordinal.
     """
     raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    condition = [F.col("Condition").alias("condition")] if "Condition" in raw.columns else []
     return raw.select(
         F.col("Table").alias("table"),
         F.col("Attribute").alias("attribute"),
         F.col("`Masking Rule`").alias("rule"),
         F.col("`Ref Integrity`").alias("ref_integrity"),
         F.monotonically_increasing_id().cast("int").alias("ordinal"),
+        *condition,
     )
 
 
@@ -111,14 +121,39 @@ def invalid_rules(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     resolved = F.when(
         F.col("code") == "DUPLICATE_RULE", resolved_tables(F.col("table"), F.col("__tables"))
     ).otherwise(F.array("table"))
+    found = coded.select("code", F.explode(resolved).alias("table"), "attribute", "ordinal")
+    if "condition" in rules.columns:
+        found = found.unionByName(condition_errors(rules, catalog))
     return (
-        coded.select("code", F.explode(resolved).alias("table"), "attribute", "ordinal")
-        .groupBy("code", "table", "attribute")
+        found.groupBy("code", "table", "attribute")
         .agg(F.count("*").alias("n_rules"), F.min("ordinal").alias("first_ordinal"))
         .where((F.col("code") != "DUPLICATE_RULE") | (F.col("n_rules") > 1))
     )
 
 
+def condition_errors(rules: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(code, table, attribute, ordinal) of rules whose condition is no predicate, or reads a column
+    that their table does not have.
+
+    Each different condition is parsed once, on the driver; the columns then meet the catalog
+    as data.
+    """
+    spark = rules.sparkSession
+    texts = [r[0] for r in rules.select("condition").where("condition is not null").distinct().collect()]
+    parsed = [(text, columns_of(spark, text)) for text in texts]
+    rows = [(text, name) for text, columns in parsed for name in columns or ()]
+    bad = local_frame(spark, [(text,) for text, columns in parsed if columns is None], "condition string")
+    reads = local_frame(spark, rows, "condition string, __name string")
+    kept = ("table", "attribute", "ordinal")
+    broken = rules.join(bad, "condition", "left_semi").select(F.lit("BAD_CONDITION").alias("code"), *kept)
+    same_table = table_id(F.col("table")) == F.col("__norm")
+    tables = catalog.select(F.col("table_norm").alias("__norm")).distinct()
+    columns = catalog.select(F.col("table_norm").alias("__norm"), F.col("column").alias("__column")).distinct()
+    needed = rules.join(reads, "condition").join(tables, same_table, "left_semi")
+    lacking = needed.join(columns, same_table & (F.col("__name") == F.col("__column")), "left_anti")
+    return broken.unionByName(lacking.select(F.lit("UNKNOWN_CONDITION_COLUMN").alias("code"), *kept).distinct())
+
+
 def resolved_tables(name: Column, candidates: Column) -> Column:
     """The tables a rule's table name means: the one of that very name, else all of the same
     normalised name, else the name itself."""
@@ -155,6 +190,7 @@ def plan_rules(rules: DataFrame, tables: DataFrame) -> dict[str, list[ColumnRule
     plan: dict[str, list[ColumnRule]] = {}
     for row in mine.orderBy("ordinal").collect():
         plan.setdefault(row["table"], []).append(
-            ColumnRule(row["attribute"], row["rule"], row["ref_integrity"], row["ordinal"])
+            ColumnRule(row["attribute"], row["rule"], row["ref_integrity"], row["ordinal"],
+                       row["condition"] if "condition" in mine.columns else None)
         )
     return plan

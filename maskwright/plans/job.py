@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 from maskwright.functions.generator import MaskContext
 from maskwright.functions.rules import rule
 from maskwright.operators.catalog import catalog_of, read_all
+from maskwright.operators.conditions import fits
 from maskwright.operators.dictionary import Lookups, apply_dictionary, new_entries
 from maskwright.operators.masking import ColumnRule, mask
 from maskwright.operators.rulebook import errors_by_table, invalid_rules, plan_rules, read_rulebook, table_id
-from maskwright.sources.dictionary_store import append_entries, load_dictionary
+from maskwright.plans.manifest import fingerprint, manifest, record
+from maskwright.sources.dictionary_store import compact_dictionary, extend_dictionary, import_csv, load_dictionary
 from maskwright.sources.files import (
     Dataset,
     datasets,
@@ -44,7 +47,9 @@ SUMMARY_SCHEMA = (
 class MaskingConfig:
     """One project: where its data, rulebook and dictionary are, and its key.
 
-    Without ``dictionary`` masks come from the generator alone.  Without ``run_id`` each
+    With ``resume`` a run passes over what an earlier one has written and nothing has changed
+    (``manifest``), and replaces what has.  Without ``dictionary`` masks come from the generator alone; ``dictionary_csv`` is one kept as
+    CSV elsewhere, whose entries it takes over first, but for originals it knows.  Without ``run_id`` each
     run draws its own, so that masks of rules with flag ``N`` differ from run to run.
     """
 
@@ -54,8 +59,10 @@ class MaskingConfig:
     output: str
     rulebook: str | None = None
     dictionary: str | None = None
+    dictionary_csv: str | None = None
     run_id: str | None = None
     overwrite: bool = False
+    resume: bool = False
     csv_multiline: bool = True
     tables_at_once: int = 4
 
@@ -127,6 +134,8 @@ def run_job(
     source, target = qualified(spark, config.input), qualified(spark, config.output)
     if f"{target}/".startswith(f"{source}/"):
         raise ValueError("the output must not lie inside the input")
+    if config.dictionary_csv is not None and config.dictionary is None:
+        raise ValueError("a dictionary to take the CSV entries over is required")
     rules = _rules(spark, config, rules)
 
     found = datasets(inventory(spark, config.input))
@@ -166,12 +175,35 @@ def run_job(
         if missing:
             outcomes.append(_Outcome(d, "failed", message="no column " + ", ".join(missing)))
             continue
+        unfit = [r.attribute for r in by_table[d.table] if r.condition is not None and not fits(df, r.condition)]
+        if unfit:
+            outcomes.append(_Outcome(d, "failed", message="no predicate for " + ", ".join(unfit)))
+            continue
         ready.append((d, df, by_table[d.table]))
 
+    prints = {
+        d.target: fingerprint(d, df, table_rules, config.context, config.dictionary is not None) for d, df, table_rules in ready
+    }
+    replaced: set[str] = set()
+    if config.resume:
+        # A line per dataset, as the driver has them anyway.
+        before = {r["target"]: r for r in manifest(spark, config.output).collect()}
+        there = [i for i in ready if i[0].target in before and target_exists(spark, config.output, i[0])]
+        same = {i[0].target for i in there if before[i[0].target]["print"] == prints[i[0].target]}
+        replaced = {i[0].target for i in there} - same
+        outcomes += [_Outcome(i[0], "unchanged", before[i[0].target]["n_rows"]) for i in there if i[0].target in same]
+        ready = [i for i in ready if i[0].target not in same]
+
+    def overwrites(d: Dataset) -> bool:
+        return config.overwrite or d.target in replaced
+
     lookups = None
     if config.dictionary is not None:
+        if config.dictionary_csv is not None:
+            _take_over(spark, config.dictionary, config.dictionary_csv, config.context.scope())
         ready, failed = _extend_dictionary(spark, config, ready)
         outcomes.extend(failed)
+        compact_dictionary(spark, config.dictionary)
         lookups = Lookups(load_dictionary(spark, config.dictionary, makers_too=True), config.context)
 
     def masked(df: DataFrame, table_rules: list[ColumnRule]) -> DataFrame:
@@ -187,15 +219,17 @@ def run_job(
                 df = spread(df, d.n_files, d.n_bytes, splittable)
             counted = Observation()
             result = masked(df, table_rules).observe(counted, F.count(F.lit(1)).alias("n"))
-            write_dataset(result, config.output, d, config.overwrite)
-            return _Outcome(d, "masked", counted.get["n"])
+            write_dataset(result, config.output, d, overwrites(d))
+            n_rows = counted.get["n"]
+            record(spark, config.output, [(d, prints[d.target], n_rows)], config.run_id)
+            return _Outcome(d, "masked", n_rows)
         except Exception as error:  # one table's failure must not stop the others
             return _Outcome(d, "failed", message=_message(error))
 
     def write_table(items: list[_Item]) -> list[_Outcome]:
         """Directories of one schema in one job; what is left, and what fails, one by one."""
         done: list[_Outcome] = []
-        free = [i for i in items if config.overwrite or not target_exists(spark, config.output, i[0])]
+        free = [i for i in items if overwrites(i[0]) or not target_exists(spark, config.output, i[0])]
         for group in together([(d, df) for d, df, _ in free]):
             schema, table_rules = next((df.schema, rules) for d, df, rules in items if d == group[0])
             number = "__directory"
@@ -204,7 +238,8 @@ def run_job(
             try:
                 df = read_together(spark, config.input, group, schema, number)
                 df = spread(df, sum(d.n_files for d in group), sum(d.n_bytes for d in group))
-                n_rows = write_together(masked(df, table_rules), config.output, group, number, config.overwrite)
+                n_rows = write_together(masked(df, table_rules), config.output, group, number, overwrites)
+                record(spark, config.output, [(d, prints[d.target], n_rows[d.path]) for d in group], config.run_id)
             except Exception:  # to find the directory at fault
                 continue
             done.extend(_Outcome(d, "masked", n_rows[d.path]) for d in group)
@@ -253,6 +288,13 @@ def rulebook_errors(
     return invalid_rules(_rules(spark, config, rules), catalog_of(spark, found, frames))
 
 
+def _take_over(spark: SparkSession, base: str, path: str, scope: str) -> None:
+    """Entries of a CSV dictionary whose originals the dictionary lacks."""
+    handed = import_csv(spark, path, scope)
+    extend_dictionary(
+        spark, base, lambda known: handed.join(known.select("scope", "original"), ["scope", "original"], "left_anti"))
+
+
 def _extend_dictionary(
     spark: SparkSession,
     config: MaskingConfig,
@@ -265,15 +307,16 @@ def _extend_dictionary(
     base, context = config.dictionary, config.context
 
     def extend(items: list[_Item]) -> None:
-        existing = load_dictionary(spark, base, makers_too=True)
-        append_entries(new_entries([(df, rs) for _, df, rs in items], context, existing, makers_too=True), base)
+        tables = [(df, rules) for _, df, rules in items]
+        extend_dictionary(spark, base, lambda existing: new_entries(tables, context, existing, makers_too=True))
 
     if not ready:
         return ready, []
     try:
         extend(ready)
         return ready, []
-    except Exception:
+    except Exception as reason:
+        warnings.warn(f"the pass over all tables failed ({_message(reason)}); table by table", stacklevel=2)
         good, failed = [], []
         for item in ready:
             try:

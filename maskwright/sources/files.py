@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -24,6 +25,8 @@ FORMATS = ("csv", "parquet")
 # Stands for "no value" while reading CSV, so that "" stays an empty text.
 NO_VALUE = "\u0001"
 
+# A header that is longer has a quote that nothing closes.
+HEADER_CHARS = 1 << 20
 # CSV headers read at a time.
 HEADER_THREADS = 32
 # Parquet is split by row groups, usually of about this size.
@@ -41,7 +44,7 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """``files(path, n_bytes, rel_dir, table, file_name, format, dataset, layout, keys)``.
+    """``files(path, n_bytes, changed, rel_dir, table, file_name, format, dataset, layout, keys)``.
 
     Only file names are read, not contents.  Hidden files and markers such as
     ``_SUCCESS`` or ``.crc`` are left out, and files of other kinds have a null
@@ -59,11 +62,12 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     top = F.regexp_replace(F.substring_index("rel_dir", "/", 1), r"\.(csv|parquet)$", "")
     partition_dirs = F.regexp_extract("rel_dir", _PARTITION_DIRS, 0)
     return (
-        files.select("path", F.col("length").alias("n_bytes"), relative.alias("relative"))
-        .select("path", "n_bytes", rel_dir.alias("rel_dir"), file_name.alias("file_name"))
+        files.select("path", F.col("length").alias("n_bytes"), F.col("modificationTime").alias("changed"), relative.alias("relative"))
+        .select("path", "n_bytes", "changed", rel_dir.alias("rel_dir"), file_name.alias("file_name"))
         .select(
             "path",
             "n_bytes",
+            "changed",
             "rel_dir",
             F.when(in_root, stem).otherwise(top).alias("table"),
             "file_name",
@@ -97,6 +101,7 @@ class Dataset:
     shared: bool = False
     n_files: int = 1
     n_bytes: int = 0
+    stamp: int = 0  # of the names, sizes and times of its files
 
     @property
     def target(self) -> str:
@@ -116,6 +121,7 @@ def datasets(files: DataFrame) -> list[Dataset]:
             F.first("keys").alias("keys"),
             F.count("*").alias("n_files"),
             F.sum("n_bytes").alias("n_bytes"),
+            F.bit_xor(F.xxhash64("path", "n_bytes", "changed")).alias("stamp"),
         )
         .collect()
     )
@@ -132,6 +138,7 @@ def datasets(files: DataFrame) -> list[Dataset]:
             kinds[r["dataset"]] > 1,
             r["n_files"],
             r["n_bytes"],
+            r["stamp"],
         )
         for r in rows
     ]
@@ -168,6 +175,8 @@ def _first_record(spark: SparkSession, path) -> str:
     try:
         record = line = reader.readLine()
         while line is not None and record.count('"') % 2:
+            if len(record) > HEADER_CHARS:
+                raise ValueError("a header has an open quote")
             line = reader.readLine()
             record = f"{record}\n{line or ''}"
         return record or ""
@@ -275,7 +284,9 @@ def read_together(spark: SparkSession, root: str, found: list[Dataset], schema:
     return placed.withColumn(number, F.coalesce("__number", lost)).drop("__folder", "__number")
 
 
-def write_together(df: DataFrame, root: str, found: list[Dataset], number: str, overwrite: bool = False) -> dict[str, int]:
+def write_together(
+    df: DataFrame, root: str, found: list[Dataset], number: str, overwrites: Callable[[Dataset], bool] = lambda d: False
+) -> dict[str, int]:
     """Write rows to the directory their ``number`` says, all in one job; rows per dataset path.
 
     The job writes partitions into a staging directory, which then take their places: until
@@ -293,7 +304,7 @@ def write_together(df: DataFrame, root: str, found: list[Dataset], number: str,
 
         def place(i: int) -> None:
             target, written = jvm_path(f"{base}/{found[i].target}"), jvm_path(f"{staging}/{number}={i}")
-            if overwrite and fs.exists(target):
+            if overwrites(found[i]) and fs.exists(target):
                 fs.delete(target, True)
             fs.mkdirs(target.getParent())
             if i in counts and not fs.rename(written, target):

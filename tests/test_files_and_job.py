@@ -228,11 +228,46 @@ def test_directories_of_one_schema_are_one_job(spark, tmp_path, monkeypatch, wit
         rows = [r for f in files for r in pq.ParquetFile(f).read().to_pylist()]
         want = [{"v": standard(v), "__directory": d} for part in range(1 + i % 2) for v, d in ((f"n{i}", i), ("Ana", part))]
         assert sorted(map(repr, rows)) == sorted(map(repr, want))
-    assert sorted(os.listdir(tmp_path / "out")) == ["t"]
+    assert sorted(os.listdir(tmp_path / "out")) == ["_manifest", "t"]
     assert {r[0] for r in by_dataset(run_job(spark, cfg, rules)).values()} == {"failed"}  # nothing is overwritten unasked
     assert by_dataset(run_job(spark, dataclasses.replace(cfg, overwrite=True), rules)) == got
 
 
+def test_a_run_goes_on_where_another_stopped(spark, tmp_path, monkeypatch):
+    """What was written and has not changed is passed over; what has changed is replaced."""
+    import maskwright.plans.job as job
+
+    for name in "abcd":
+        parquet(tmp_path / "in" / name / "x.parquet", v=[f"value {name}"])
+    cfg = MaskingConfig(project="p", key="test-key", input=str(tmp_path / "in"), output=str(tmp_path / "out"), resume=True, tables_at_once=1)
+    rules = rulebook(spark, [(t, "v", "Standard", "Y") for t in "abcd"])
+    real, done = job.write_dataset, []
+
+    def until_killed(df, root, dataset, overwrite):
+        if len(done) == 2:
+            raise KeyboardInterrupt
+        done.append(dataset.path)
+        real(df, root, dataset, overwrite)
+
+    monkeypatch.setattr(job, "write_dataset", until_killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_job(spark, cfg, rules)
+    monkeypatch.setattr(job, "write_dataset", real)
+
+    def statuses(config=cfg, rules=rules):
+        return {r["table"]: (r["status"], r["n_rows"]) for r in run_job(spark, config, rules).collect()}
+
+    assert statuses() == {"a": ("unchanged", 1), "b": ("unchanged", 1), "c": ("masked", 1), "d": ("masked", 1)}
+    parquet(tmp_path / "in" / "b" / "x.parquet", v=["another value", "and one"])
+    assert statuses() == {"a": ("unchanged", 1), "b": ("masked", 2), "c": ("unchanged", 1), "d": ("unchanged", 1)}
+    rows = spark.read.parquet(f"{tmp_path}/out/b").collect()
+    assert sorted(r["v"] for r in rows) == sorted([standard("another value"), standard("and one")])
+    other = rulebook(spark, [(t, "v", "Full Name" if t == "d" else "Standard", "Y") for t in "abcd"])
+    assert {t for t, s in statuses(rules=other).items() if s[0] == "masked"} == {"d"}
+    assert {s[0] for s in statuses(dataclasses.replace(cfg, key="new"), other).values()} == {"masked"}
+    assert {s[0] for s in statuses(dataclasses.replace(cfg, key="new", resume=False), other).values()} == {"failed"}
+
+
 def test_directories_inside_others_stay_apart(spark, tree):
     parquet(tree / "nested" / "sub" / "deep" / "a.parquet", v=["deep"])
     parquet(tree / "nested" / "leaf1" / "a.parquet", v=["one"])
