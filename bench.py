@@ -33,6 +33,8 @@ HEADLINE = (
     "rules_invalid",
     "catalog_normalized",
     "mask_job",
+    "mask_key_permuted",
+    "mask_job_collisions",
 )
 
 
