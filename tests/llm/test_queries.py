@@ -30,7 +30,7 @@ def documents(spark):
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     with duckdb.connect() as con:
-        for t in ("documents", "benchmark"):
+        for t in ("documents", "benchmark", "embeddings"):
             con.sql(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
         result = con.execute(ORACLE[name])
         columns = [d[0] for d in result.description]
