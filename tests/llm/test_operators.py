@@ -336,6 +336,29 @@ def test_html_extraction_keeps_the_text_of_near_copies(spark):
     }
 
 
+def test_html_extraction_differences_marked_pages_too(spark):
+    """Every page meets its nearest differing URL, menus and articles included; what an article
+    shares with another one stays."""
+    page = lambda k, text: f"<nav><ul><li>Home<li>Only {k}</ul></nav><article>{text}</article><div>Site</div><footer>Legal</footer>"
+    same = "".join(f"<p>line {i} of the copies" for i in range(5))
+    rows = [
+        (1, "http://h/a/1", page(1, "<h1>One</h1><p>first text of the page<p>MIT License")), (2, "http://h/a/2", page(2, "<h1>Two</h1><p>another text here<p>MIT License")),
+        (3, "http://h/b/1", page(3, same)), (4, "http://h/b/2", page(4, same)), (5, "http://g/1", page(5, same)),
+        (6, "http://k/1", page(6, "<p>marked text of both<p>and more of it")), (7, "http://k/2", "<p>Home<p>marked text of both<p>its own<p>and this as well<p>Site"),
+    ]
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    text = " ".join(f"line {i} of the copies" for i in range(5))
+    assert {r["page_id"]: (r["text"], r["n_shared"]) for r in found} == {
+        1: ("One first text of the page MIT License", 4), 2: ("Two another text here MIT License", 4),
+        3: (text, 3), 4: (text, 3), 5: (text, 0),
+        6: ("marked text of both and more of it", 3), 7: ("marked text of both its own and this as well", 3),
+    }
+
+
+def test_noise_left_open_inside_a_line_ends_with_its_parent():
+    assert html_text.lines("<p>a <b>c <i hidden>x</b> d") == (False, [], ["a c", "d"])
+
+
 @pytest.mark.parametrize("wrapped", [
     '<div class="layout has-sidebar">{}</div>', '<div id="search-results">{}</div>', '<div class="sidebar"><i>top</i>{}</div>',
     '<div class="menu"><section id="widget">{}</section></div>', '{}<div id="comments"><article class="comment">so true</article></div>',
