@@ -38,8 +38,14 @@ from maskwright.llm.common import shared_path, written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FOLDS, HELD_OUT = 7, 2
-#: Entries a task counts before it hands them on.
-COUNTED = 1 << 22
+#: Entries a task holds before it counts them and hands them on: some eight arrays of as
+#: many numbers, beside a JVM and as many other workers as an executor has cores.
+COUNTED = 1 << 20
+#: Entries whose parts are looked up at a time.
+LOOKED_UP = 1 << 17
+#: Tokens for each part of the pairs, and words for each shard, at most about: one task holds one.
+PART_TOKENS = 1 << 21
+SHARD_WORDS = 1 << 20
 #: A first word is spread over so many parts per part's fair share of all pairs.
 SPREAD = 4
 _START, _END = np.uint64(0x6A09E667F3BCC909), np.uint64(0xBB67AE8584CAA73B)
@@ -70,11 +76,19 @@ def tokens(column) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         yield out, before, begins
 
 
+def _firsts(value: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, dtype=np.int64)
+
+
 def _summed(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order and their counts; empties the lists, whose arrays may be large."""
     value, count = np.concatenate(values), np.concatenate(counts)
+    values.clear()
+    counts.clear()
     order = np.argsort(value, kind="stable")
     value, count = value[order], count[order]
-    firsts = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, dtype=np.int64)
+    firsts = _firsts(value)
     return value[firsts], np.add.reduceat(count, firsts) if len(firsts) else count
 
 
@@ -83,10 +97,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: list[np.ndarray] = []
     held = 0
 
-    def flush():
-        value, count = _summed(values, counts)
-        values.clear()
-        counts.clear()
+    def rows(value, count):
         return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count.astype(np.int64))], names=["word", "n"])
 
     for batch in batches:
@@ -96,10 +107,16 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(count)
             held += len(value)
             if held >= COUNTED:
-                yield flush()
-                held = 0
+                value, count = _summed(values, counts)
+                held = len(value)
+                if held > COUNTED // 2:
+                    yield rows(value, count)
+                    held = 0
+                else:  # the same words again and again
+                    values.append(value)
+                    counts.append(count)
     if values:
-        yield flush()
+        yield rows(*_summed(values, counts))
 
 
 # Files of the shared folder.
@@ -220,57 +237,59 @@ def _coded(token: np.ndarray, before: np.ndarray, model: Model):
     return distinct, numbers, place, previous
 
 
-def _pair_counts(model: Model):
-    def run(batches):
-        values, counts, held = [], [], 0
+def _parts(value: np.ndarray, model: Model) -> np.ndarray:
+    """The part of each pair, of pairs in order."""
+    out = np.empty(len(value), dtype=np.int32)
+    for lo in range(0, len(value), LOOKED_UP):
+        left, right = value[lo : lo + LOOKED_UP] >> 32, value[lo : lo + LOOKED_UP] & 0xFFFFFFFF
+        heads, at = np.unique(left, return_inverse=True)
+        out[lo : lo + LOOKED_UP] = model.part_of(left, right, model.looked_up(heads, "counts", "<i8")[at])
+    return out
 
-        def flush():
-            value, count = _summed(values, counts)
-            values.clear()
-            counts.clear()
-            left, right = value >> 32, value & 0xFFFFFFFF
-            heads, at = np.unique(left, return_inverse=True)
-            part = model.part_of(left, right, model.looked_up(heads, "counts", "<i8")[at])
-            order = np.argsort(part, kind="stable")  # values stay sorted within a part
-            cuts = np.searchsorted(part[order], np.arange(model.parts + 1))
-            rows, blobs = [], [[], [], []]
-            for p in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-                own = order[cuts[p] : cuts[p + 1]]
-                step = np.append(left[own][:1], left[own][1:] - left[own][:-1])
-                rows.append(p)
-                for column, value in zip(blobs, (step.astype("<u4"), right[own].astype("<u4"), count[own].astype("<u8"))):
-                    column.append(pa.compress(value.tobytes(), codec="zstd", asbytes=True))
-            sizes = [int(cuts[p + 1] - cuts[p]) for p in rows]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(sizes, pa.int64()), *[pa.array(b, pa.binary()) for b in blobs]],
-                names=["part", "size", "step", "right", "n"],
-            )
 
+def _blobs(codes: np.ndarray, model: Model) -> pa.RecordBatch:
+    """Counts pairs, which it sorts in place -> a row per part."""
+    codes.sort()
+    firsts = _firsts(codes)
+    value, count = codes[firsts], np.diff(firsts, append=len(codes)).astype("<u4")
+    del firsts
+    part = _parts(value, model)
+    order = np.argsort(part, kind="stable")  # values stay sorted within a part
+    sizes = np.bincount(part, minlength=model.parts)
+    cuts = np.append(0, np.cumsum(sizes))
+    rows, blobs = np.flatnonzero(sizes), [[], [], []]
+    for p in rows.tolist():
+        own = order[cuts[p] : cuts[p + 1]]
+        left, right = value[own] >> 32, value[own] & 0xFFFFFFFF
+        step = np.append(left[:1], left[1:] - left[:-1])
+        for column, numbers in zip(blobs, (step.astype("<u4"), right.astype("<u4"), count[own].astype("<u8"))):
+            column.append(pa.compress(numbers.tobytes(), codec="zstd", asbytes=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows, pa.int64()), pa.array(sizes[rows], pa.int64()), *[pa.array(b, pa.binary()) for b in blobs]],
+        names=["part", "size", "step", "right", "n"],
+    )
+
+
+def _pair_counts(model: Model):
+    def run(batches):
+        held, n = np.empty(COUNTED, dtype=np.int64), 0
         for batch in batches:
             for token, before, _ in tokens(batch.column(0)):
                 _, numbers, place, previous = _coded(token, before, model)
-                value, count = np.unique(numbers[previous] << 32 | numbers[place], return_counts=True)
-                values.append(value)
-                counts.append(count)
-                held += len(value)
-                if held >= COUNTED:
-                    yield flush()
-                    held = 0
-        if values:
-            yield flush()
+                codes = numbers[previous] << 32 | numbers[place]
+                while len(codes):
+                    taken, codes = codes[: COUNTED - n], codes[COUNTED - n :]
+                    held[n : n + len(taken)] = taken
+                    n += len(taken)
+                    if n == COUNTED:
+                        yield _blobs(held, model)
+                        n = 0
+        if n:
+            yield _blobs(held[:n], model)
 
     return run
 
 
-def _kinds(counts: np.ndarray, by: np.ndarray, n: int) -> np.ndarray:
-    """Per group: total, and how many are 1, 2 and more."""
-    out = np.zeros((n, 4), dtype=np.int64)
-    np.add.at(out[:, 0], by, counts)
-    for k in (1, 2, 3):
-        np.add.at(out[:, k], by, (np.minimum(counts, 3) == k).astype(np.int64))
-    return out
-
-
 def _store_pairs(model: Model):
     def run(batches):
         for p, rows in _runs(batches, "part"):
@@ -283,20 +302,22 @@ def _store_pairs(model: Model):
                 values.append(np.cumsum(step) << 32 | right)
                 counts.append(n)
             value, count = _summed(values, counts)
-            store(f"{model.path}/pairs-{p}", value.astype("<i8"))
-            store(f"{model.path}/pair-counts-{p}", count.astype("<i8"))
-            left, right = value >> 32, value & 0xFFFFFFFF
-            heads, at = np.unique(left, return_inverse=True)
-            kinds = _kinds(count, at, len(heads))
-            tails, cont = np.unique(right, return_counts=True)
-            number = np.concatenate([heads, tails, [-1]])
+            store(f"{model.path}/pairs-{p}", value.astype("<i8", copy=False))
+            store(f"{model.path}/pair-counts-{p}", count.astype("<i8", copy=False))
+            left = value >> 32
+            firsts = _firsts(left)
+            heads = left[firsts]
+            tails, cont = np.unique(value & 0xFFFFFFFF, return_counts=True)
             four = np.bincount(np.minimum(count, 5), minlength=6)[1:5]
-            table = np.zeros((len(number), 5), dtype=np.int64)
-            table[: len(heads), :4] = kinds
-            table[len(heads) : -1, 4] = cont
-            table[-1, :4] = four
+            number = np.concatenate([heads, tails, [-1]])
+            table = np.zeros((5, len(number)), dtype=np.int64)
+            table[0, : len(heads)] = np.add.reduceat(count, firsts)
+            for k in (1, 2, 3):  # how many are 1, 2 and more
+                table[k, : len(heads)] = np.add.reduceat(np.minimum(count, 3) == k, firsts, dtype=np.int64)
+            table[4, len(heads) : -1] = cont
+            table[:4, -1] = four
             shard = np.where(number < 0, -1, np.searchsorted(model.first, np.maximum(number, 0), side="right") - 1)
-            columns = [shard, number, *table.T]
+            columns = [shard, number, *table]
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=_STATS)
 
     return run
@@ -309,9 +330,11 @@ def _store_stats(model: Model):
     def run(batches):
         for s, rows in _runs(batches, "shard"):
             size = int(model.first[s + 1] - model.first[s])
-            table = np.zeros((size, 5), dtype=np.int64)
-            table[rows.column("number").to_numpy() - model.first[s]] = np.stack([rows.column(c).to_numpy() for c in _STATS[2:]], 1)
-            store(f"{model.path}/stats-{s}", table.astype("<i8").reshape(-1))
+            table = np.zeros((size, 5), dtype="<i8")
+            at = rows.column("number").to_numpy() - model.first[s]
+            for k, c in enumerate(_STATS[2:]):
+                table[at, k] = rows.column(c).to_numpy()
+            store(f"{model.path}/stats-{s}", table.reshape(-1))
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64())], names=["shard"])
 
     return run
@@ -331,14 +354,14 @@ def trained(texts: DataFrame) -> Model:
     """Counts a one-column DataFrame of texts and stores the model in the shared folder."""
     spark = texts.sparkSession
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bits = (width - 1).bit_length()
-    model = Model(shared_path(spark, "model"), bits, 2 * width)
     words = texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     words = written(words, "words")
     row = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    model.v, model.n = int(row[0]), int(row[1])
-    if model.v >= 1 << 32:
+    v, n = int(row[0]), int(row[1])
+    if v >= 1 << 32:
         raise ValueError("more than 2^32 distinct words")
+    bits = max(width - 1, v // SHARD_WORDS).bit_length()
+    model = Model(shared_path(spark, "model"), bits, max(2 * width, -(-n // PART_TOKENS)), v=v, n=n)
     start = spark.createDataFrame([(int(_START.view(np.int64)), 0)], words.schema)
     shard = F.shiftrightunsigned("word", 64 - bits) if bits else F.lit(0).cast("long")
     sharded = words.unionByName(start).select(shard.alias("shard"), "word", "n")
@@ -352,7 +375,7 @@ def trained(texts: DataFrame) -> Model:
         store(f"{model.path}/words-{s}", empty)
     blobs = texts.mapInArrow(_pair_counts(model), "part long, size long, step binary, right binary, n binary")
     stats = written(
-        blobs.repartition("part").sortWithinPartitions("part").mapInArrow(_store_pairs(model), ", ".join(f"{c} long" for c in _STATS)),
+        blobs.repartition(model.parts, "part").sortWithinPartitions("part").mapInArrow(_store_pairs(model), ", ".join(f"{c} long" for c in _STATS)),
         "pair-stats",
     )
     four = stats.where("number < 0").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in _STATS[2:6]]).first()

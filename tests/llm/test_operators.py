@@ -259,6 +259,46 @@ def test_language_model(docs, rows, empty):
     assert language_model.scored(empty).collect() == []
 
 
+def test_language_model_counted_in_many_steps_and_parts(docs, rows, monkeypatch):
+    """Results do not depend on how much a task holds, nor on the number of parts and shards."""
+    for name, value in (("COUNTED", 300), ("LOOKED_UP", 64), ("PART_TOKENS", 1500), ("SHARD_WORDS", 100)):
+        monkeypatch.setattr(language_model, name, value)
+    made: list[language_model.Model] = []
+    build = language_model.Model
+    monkeypatch.setattr(language_model, "Model", lambda *a, **k: made.append(build(*a, **k)) or made[-1])
+    got = sorted(round(r["score"], 6) for r in language_model.scored(docs).collect())
+    assert got == sorted(round(r[6], 6) for r in plain.language_model(pairs(rows), language_model.discounts))
+    assert made[0].parts >= made[0].n / 1500 and 1 << made[0].bits >= made[0].v / 100
+
+
+def test_language_model_counts_pairs_in_bounded_memory(tmp_path):
+    """A task's pairs used to be held as some twenty arrays of up to 2^22 numbers."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    texts = [" ".join(draw.choices([f"w{i}" for i in range(3000)], k=100_000)) for _ in range(30)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 10])], names=["text"]) for i in range(0, 30, 10)]
+    words = pa.Table.from_batches(language_model._word_counts(iter(batches))).group_by("word").aggregate([("n", "sum")])
+    columns = [pa.array(np.zeros(len(words) + 1, dtype=np.int64))]
+    columns += [pa.array([*words["word"].to_pylist(), int(language_model._START.view(np.int64))]), pa.array([*words["n_sum"].to_pylist(), 0])]
+    path = str(tmp_path / "model")
+    list(language_model._store_words(path)([pa.RecordBatch.from_arrays(columns, names=["shard", "word", "n"])]))
+    model = language_model.Model(path, 0, 8, first=np.array([0, len(words) + 1]), n=3_000_030, v=len(words))
+    tracemalloc.start()
+    try:
+        found = list(language_model._pair_counts(model)(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    counts = [np.frombuffer(pa.decompress(r["n"], 8 * r["size"], codec="zstd"), dtype="<u8") for b in found for r in b.to_pylist()]
+    assert sum(int(c.sum()) for c in counts) == 3_000_030 == sum(words["n_sum"].to_pylist())
+    assert peak < 120e6, peak
+
+
 def test_language_model_without_training_texts(spark):
     held = next(k for k in range(100) if plain.held_out(k))
     df = spark.createDataFrame([(held, "a b")], "doc_id long, text string")
