@@ -439,3 +439,94 @@ def test_suffix_dedup_sorts_no_common_passage_in_one_task(spark, monkeypatch, ro
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got, want = [tuple(r[:5]) for r in suffix_dedup.removed(docs).collect()], plain.repeats(rows)
     assert ordered(got) == ordered(want) and sum(w[2] > 0 for w in want) >= 20
+
+
+def test_html_extraction_needs_few_rounds_on_pages_without_text(spark, monkeypatch):
+    """No page differs from one without text, which once tried all pages of its host one by one."""
+    page = lambda k: f"<div>Site</div><p>text {k}<p>more {k}<p>end {k}"
+    rows = [(k, f"http://h/{k:03d}", page(k)) for k in range(30)]
+    rows += [(100, "http://h/900", None), (101, "http://h/901", ""), (102, "http://h/902", "<nav><p>Site</nav>")]
+    rounds, write = [], html_text.written
+
+    def written(df, what, **options):
+        rounds.extend([what] * (what == "tried"))
+        return write(df, what, **options)
+
+    monkeypatch.setattr(html_text, "written", written)
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    want = {k: (f"text {k} more {k} end {k}", 1) for k in range(30)} | {k: ("", 0) for k in (100, 101, 102)}
+    assert {r["page_id"]: (r["text"], r["n_shared"]) for r in found} == want
+    assert len(rounds) <= 4
+
+
+def _plain_differs(page, other, common):
+    own, its = (html_text.INSIDE if p["marked"] else html_text.OUTSIDE for p in (page, other))
+    if sum(page["kinds"][i] == own for i, _ in common) == page["kinds"].count(own):
+        return False
+    text = [i for i, j in common if page["kinds"][i] == own and other["kinds"][j] == its]
+    size = sum(len(page["texts"][i]) for i in text)
+    return not any(
+        2 * len(text) > p["kinds"].count(kind) and 2 * size > sum(len(x) for x, k in zip(p["texts"], p["kinds"]) if k == kind)
+        for p, kind in ((page, own), (other, its))
+    )
+
+
+@pytest.mark.parametrize("lines_at_once", [html_text.TRIED_LINES, 5])
+def test_html_extraction_aligns_whole_batches_as_page_by_page(monkeypatch, lines_at_once):
+    import random
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(html_text, "TRIED_LINES", lines_at_once)
+    draw = random.Random(11)
+
+    def drawn():
+        texts = draw.choices(["a", "bb", "ccc", "dé", "eeeee", "f" * 9, "g", "h"][: draw.choice([2, 8])], k=draw.choice([0, 1, 3, 6, 9]))
+        marked = draw.random() < 0.4
+        kinds = draw.choices(range(3 if marked else 2), k=len(texts))
+        return {"host": draw.choice("hhhk"), "path": "/" + "".join(draw.choices("xy", k=3)), "marked": marked, "texts": texts, "kinds": kinds}
+
+    rows = [(drawn(), drawn(), draw.random() < 0.8, draw.random() < 0.8) for _ in range(600)]
+    rows += [(x, {**x, "path": "/x"}, True, True) for x, *_ in rows[:40]]
+    batch = {"a": list(range(0, 2 * len(rows), 2)), "b": list(range(1, 2 * len(rows), 2)), "up": [r[2] for r in rows], "down": [r[3] for r in rows]}
+    for k, side in enumerate("ab"):
+        batch |= {f"{side}_{c}": [r[k][c] for r in rows] for c in ("host", "path", "marked")}
+        batch[f"{side}_frame"] = [html_text._frames(r[k]["texts"], r[k]["kinds"], [0, len(r[k]["texts"])])[0] for r in rows]
+    want = []
+    for k, (a, b, up, down) in enumerate(rows):
+        for side, page, other, wanted in ((1, a, b, up), (-1, b, a, down)):
+            if not wanted or a["host"] != b["host"]:
+                continue
+            common = html_text.common_places(page["texts"], other["texts"])
+            state = int(_plain_differs(page, other, common))
+            near = shared = kept = None
+            if state:
+                near, shared = html_text._shared_prefix(page["path"], other["path"]), len(common)
+                if shared and not page["marked"]:
+                    kept = [True] * len(page["texts"])
+                    for i, j in common:
+                        kept[i] = other["kinds"][j] == html_text.INSIDE
+            elif not any(kind == (html_text.INSIDE if page["marked"] else html_text.OUTSIDE) for kind in page["kinds"]):
+                state = -1
+            pos = 2 * k if side > 0 else 2 * k + 1
+            want.append((pos, side, pos + side, state, near, shared, kept))
+    got = [tuple(r.values()) for x in html_text._tried(iter([pa.RecordBatch.from_pydict(batch)])) for r in x.to_pylist()]
+    assert sorted(got, key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+    assert sum(r[3] == 0 for r in want) > 50 and sum(r[6] is not None for r in want) > 50 and sum(r[3] == -1 for r in want) > 20
+
+
+def test_html_extraction_without_broadcasts(spark, monkeypatch):
+    """Pairs still to be tried and what was found are joined by shuffle on larger tables."""
+    page = lambda k, s: f"<div>Site</div><div>Section {s}</div><p>text {k}<p>more {k}<p>end {k}"
+    rows = [(k, f"http://h/s{k // 3:04d}/{k % 3}", page(k, k // 3)) for k in range(30)]
+    rows += [(k, f"http://c/a/{k:03d}", page("same", "c")) for k in range(200, 206)] + [(300, "http://c/a/999", page("other", "c")), (300, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    want = ordered(map(tuple, html_text.main_text(pages).collect()))
+    monkeypatch.setattr(html_text, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(html_text, "BROADCAST_PAIRS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert ordered(map(tuple, html_text.main_text(pages).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r[4] == 2 for r in want) >= 36
